@@ -82,11 +82,13 @@ def _tracked(start: Column, steps: Column, nets: Column) -> Column:
     )
 
 
-def track_inventory(flows: DataFrame, init: DataFrame, seconds: int = HOUR) -> DataFrame:
+def track_inventory(flows: DataFrame, init: DataFrame, seconds: int = HOUR, windows: DataFrame | None = None) -> DataFrame:
     """Observed inventory over [test_start, test_end): trips of a bucket show
     one step later, so those of the last bucket never do, and there is no
-    upper cap. ``flows`` are bucketed by ``seconds``."""
-    windows = init.select("fold_id", "test_start", "test_end").distinct()
+    upper cap. ``flows`` are bucketed by ``seconds``; ``windows`` saves finding
+    the distinct windows of ``init``."""
+    windows = init if windows is None else windows
+    windows = windows.select("fold_id", "test_start", "test_end").distinct()
     step = F.timestamp_diff("SECOND", F.col("test_start"), F.col("bucket")) / F.lit(float(seconds))
     inside = on_fold_days(flows, fold_days(windows, "test", keep=("test_start", "test_end"))).withColumn("_step", step)
     steps = grid_size(F.col("test_start"), F.col("test_end"), seconds)

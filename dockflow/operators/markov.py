@@ -13,7 +13,7 @@ from dockflow.functions.text import short_label
 from dockflow.functions.time import is_weekend
 from dockflow.operators.folds import context_days, fold_days, on_fold_days, stations_by_fold, time_grid
 from dockflow.params import DEFAULT_CAPACITY, HOUR
-from dockflow.session import cut, setting, written
+from dockflow.session import cut, setting, union_all, written
 
 CONTEXT = ["fold_id", "hour", "is_weekend"]
 
@@ -102,9 +102,8 @@ def fit_markov(od: DataFrame, folds: DataFrame, min_transitions: int = 1) -> Mar
 def effective_edges(fit: MarkovFit) -> DataFrame:
     """Edges of all 48 contexts: the context's own, or the fallback's."""
     failing = F.broadcast(fit.contexts.where(~F.col("valid")).select(*CONTEXT))
-    return fit.edges.select(*CONTEXT, "from_station", "to_station", "prob", "rate").unionByName(
-        fit.fallback.join(failing, "fold_id").select(*CONTEXT, "from_station", "to_station", "prob", "rate")
-    )
+    columns = [*CONTEXT, "from_station", "to_station", "prob", "rate"]
+    return union_all(fit.edges.select(*columns), fit.fallback.join(failing, "fold_id").select(*columns))
 
 
 def departure_rates(edges: DataFrame) -> DataFrame:
@@ -215,7 +214,7 @@ def context_net_flow(edges: DataFrame) -> DataFrame:
     less departures at the full departure rates."""
     arrivals = edges.select(*CONTEXT, F.col("to_station").alias("station_name"), (F.col("prob") * F.col("rate")).alias("flow"))
     departures = departure_rates(edges).select(*CONTEXT, "station_name", (-F.col("rate")).alias("flow"))
-    return arrivals.unionByName(departures).groupBy(*CONTEXT, "station_name").agg(F.sum("flow").alias("net_flow"))
+    return union_all(arrivals, departures).groupBy(*CONTEXT, "station_name").agg(F.sum("flow").alias("net_flow"))
 
 
 def forecast_net_flow(edges: DataFrame, station_stats: DataFrame, windows: DataFrame, seconds: int = HOUR) -> DataFrame:
@@ -257,7 +256,7 @@ def walk_edges(edges: DataFrame, init: DataFrame) -> DataFrame:
     along = origin.orderBy(F.col("prob").isNull().desc(), "to_station")
     upto = F.sum("prob").over(along.rowsBetween(Window.unboundedPreceding, 0))
     is_last = F.lead("to_station").over(along).isNull()
-    rows = edges.select(*CONTEXT, "from_station", "to_station", "prob", "rate").unionByName(stays)
+    rows = union_all(edges.select(*CONTEXT, "from_station", "to_station", "prob", "rate"), stays)
     table = rows.select(
         *CONTEXT,
         "from_station",
@@ -328,7 +327,7 @@ def run_walk(
         return f"""s{n} AS (SELECT *, greatest(0D, least(capacity, total)) AS x{n} FROM (
             SELECT {by}, {carried}, sum(moved) AS total FROM ({moved}) GROUP BY {by}))"""
 
-    pieces = state.select(*keys, F.lit(0).alias("piece"), F.array("x0").alias("values"))
+    pieces = [state.select(*keys, F.lit(0).alias("piece"), F.array("x0").alias("values"))]
     done = 0
     while done < steps - 1:
         upto = min(done + _STEPS_PER_PLAN, steps - 1)
@@ -342,12 +341,12 @@ def run_walk(
         with setting(spark, "spark.sql.adaptive.enabled", "false" if small else None):
             state = cut(state)
         values = F.array(*[f"x{i}" for i in range(1, n + 1)])
-        pieces = pieces.unionByName(state.select(*keys, F.lit(upto).alias("piece"), values.alias("values")))
+        pieces.append(state.select(*keys, F.lit(upto).alias("piece"), values.alias("values")))
         state = state.select(*keys, "ts", "capacity", F.col(f"x{n}").alias("x0"))
         done = upto
     for at in kept.values():
         at.unpersist()
-    return pieces
+    return union_all(*pieces)
 
 
 def forecast_markov(edges: DataFrame, init: DataFrame, steps: int, seconds: int = HOUR) -> DataFrame:

@@ -9,6 +9,7 @@ from dockflow.functions.time import duration_minutes
 from dockflow.operators.endpoints import station_names
 from dockflow.operators.quantiles import exact_quantiles
 from dockflow.operators.routes import od_counts, route_diversity, self_loops, sparsity
+from dockflow.session import union_all
 
 
 def null_census(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -63,7 +64,7 @@ def describe_durations(trips: DataFrame) -> DataFrame:
         F.concat(F.lit("q"), (F.col("prob") * 100).cast("int").cast("string")).alias("stat"),
         F.col("quantile").alias("value"),
     )
-    return moments.select(F.inline(cells)).unionByName(quartiles)
+    return union_all(moments.select(F.inline(cells)), quartiles)
 
 
 def median_duration(trips: DataFrame) -> DataFrame:

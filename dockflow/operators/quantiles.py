@@ -27,9 +27,8 @@ def _at_targets(hist: DataFrame, targets: DataFrame) -> DataFrame:
     targets (two per wanted quantile) travel as one array literal."""
     packed = targets.agg(F.collect_list(F.struct("prob", "rank", "low", "high", "before"))).scalar()
     value = F.col("value")
-    return hist.select(
-        "value", "n", F.inline(F.filter(packed, lambda t: (value >= t["low"]) & (value <= t["high"])))
-    )
+    inside = (value >= F.col("low")) & (value <= F.col("high"))
+    return hist.select("value", "n", F.inline(packed)).where(inside)
 
 
 def _holding_rank(counted: DataFrame, order: str) -> DataFrame:

@@ -21,7 +21,7 @@ from dockflow.params import (
     TEST_WEEKS,
     TRAIN_WEEKS,
 )
-from dockflow.session import cut
+from dockflow.session import cut, resident, union_all
 
 MODELS = ("persistence", "station_avg", "temporal_flow", "baseline", "markov")
 
@@ -62,15 +62,19 @@ def prepared(trips: DataFrame, stations: DataFrame, min_trips: int = MIN_TRIPS)
 
 def folded(data: Prepared, folds: DataFrame) -> Folded:
     """Facts, initial inventories and observed trajectories of the folds."""
-    facts = cut(fold_facts(folds, data.flows))
+    facts = facts_of(data, folds)
     init = cut(initial_inventory(data.flows, data.stations, facts))
-    return Folded(facts, init, track_inventory(data.flows, init))
+    return Folded(facts, init, track_inventory(data.flows, init, windows=facts))
 
 
 def folds_of(
     data: Prepared, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, increment_days: int | None = None
 ) -> DataFrame:
-    return rolling_folds(data.flows, train_weeks, test_weeks, increment_days, ts="bucket")
+    return resident(rolling_folds(data.flows, train_weeks, test_weeks, increment_days, ts="bucket"))
+
+
+def facts_of(data: Prepared, folds: DataFrame) -> DataFrame:
+    return resident(fold_facts(folds, data.flows))
 
 
 def forecast(
@@ -110,13 +114,12 @@ def cross_validate(
     their test windows are ``test_weeks`` long."""
     fold = folded(data, folds)
     steps = test_weeks * 7 * 86400 // HOUR
-    whole: DataFrame | None = None
-    for model in models:
-        paths = forecast(model, data, fold, steps, **options).withColumn("model", F.lit(model_name(model)))
-        whole = paths if whole is None else whole.unionByName(paths)
-    if whole is None:
+    paths = [
+        forecast(model, data, fold, steps, **options).withColumn("model", F.lit(model_name(model))) for model in models
+    ]
+    if not paths:
         raise ValueError("no models")
-    pairs = evaluate.align_paths(fold.truth, whole, "model")
+    pairs = evaluate.align_paths(fold.truth, union_all(*paths), "model")
     metrics = evaluate.fold_metrics(pairs, "model", empty=empty, full=full)
     dates = fold.folds.select("fold_id", F.to_date("train_start").alias("train_start"), F.to_date("test_start").alias("test_start"))
     return metrics.join(F.broadcast(dates), "fold_id")

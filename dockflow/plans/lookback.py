@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dockflow.operators.compare import normalized_configs, recommend_configs
 from dockflow.operators.evaluate import summarize_folds
 from dockflow.plans.cross_validation import Prepared, cross_validate, folds_of
+from dockflow.session import union_all
 
 # Fixed configurations of the sweep: (train weeks, test weeks, increment days).
 CONFIGURATIONS = [(1, 1, 7), (2, 1, 7), (3, 1, 7)]
@@ -23,13 +24,11 @@ def configurations(spark: SparkSession, configs: list[tuple[int, int, int]] | No
 
 def sweep_folds(data: Prepared, configs: list[tuple[int, int, int]] | None = None) -> DataFrame:
     """The folds of all configurations, numbered so that they stay apart."""
-    whole: DataFrame | None = None
-    for i, (train, test, step) in enumerate(configs or CONFIGURATIONS, 1):
-        folds = folds_of(data, train, test, step).withColumn("fold_id", F.col("fold_id") + i * _FOLDS_PER_CONFIG)
-        whole = folds if whole is None else whole.unionByName(folds)
-    if whole is None:
-        raise ValueError("no configurations")
-    return whole
+    parts = [
+        folds_of(data, train, test, step).withColumn("fold_id", F.col("fold_id") + i * _FOLDS_PER_CONFIG)
+        for i, (train, test, step) in enumerate(configs or CONFIGURATIONS, 1)
+    ]
+    return union_all(*parts)
 
 
 def lookback_sweep(
@@ -39,13 +38,12 @@ def lookback_sweep(
     different test length need separate grids, so they are validated per length."""
     chosen = list(enumerate(configs or CONFIGURATIONS, 1))
     folds = sweep_folds(data, configs)
-    whole: DataFrame | None = None
+    results = []
     for weeks in sorted({c[1] for _, c in chosen}):
         ids = [i for i, c in chosen if c[1] == weeks]
         part = folds.where((F.col("fold_id") / F.lit(_FOLDS_PER_CONFIG)).cast("int").isin(ids))
-        metrics = cross_validate(data, [model], part, weeks, **options)
-        whole = metrics if whole is None else whole.unionByName(metrics)
-    return whole.withColumns(
+        results.append(cross_validate(data, [model], part, weeks, **options))
+    return union_all(*results).withColumns(
         {
             "config_id": (F.col("fold_id") / F.lit(_FOLDS_PER_CONFIG)).cast("int"),
             "fold_id": F.col("fold_id") % _FOLDS_PER_CONFIG,

@@ -52,6 +52,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def resident(df: DataFrame) -> DataFrame:
+    """A table bounded by the calendar (one row per fold, or a few) as a local
+    relation: later plans see its exact size and run no job for it."""
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
+def union_all(*tables: DataFrame) -> DataFrame:
+    """Union by name.
+
+    Spark 4.1 lets a union keep its inputs' hash partitioning, but adaptive
+    coalescing may then change the inputs one by one: a join above it fails with
+    "can't zip RDDs with unequal numbers of partitions". The union therefore
+    promises no partitioning here.
+    """
+    tables[0].sparkSession.conf.set("spark.sql.unionOutputPartitioning", "false")
+    whole = tables[0]
+    for table in tables[1:]:
+        whole = whole.unionByName(table, allowMissingColumns=True)
+    return whole
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str | None) -> Iterator[None]:
     """A session setting for the plans made inside; ``None`` leaves it alone."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockflow.schema import FEED, STATIONS
+from dockflow.session import union_all
 from dockflow.sources.trips import exists
 
 # Fixed order of the regions in which a station id is looked for first.
@@ -64,13 +65,7 @@ def feed_stations(feed: DataFrame) -> DataFrame:
 
 def union_regions(feeds: dict[str, DataFrame]) -> DataFrame:
     """Station rows of several regional feeds, tagged with their region."""
-    whole: DataFrame | None = None
-    for region, rows in feeds.items():
-        rows = rows.withColumn("region", F.lit(region))
-        whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
-    if whole is None:
-        raise ValueError("no feeds")
-    return whole
+    return union_all(*[rows.withColumn("region", F.lit(region)) for region, rows in feeds.items()])
 
 
 def first_per_id(stations: DataFrame, regions: list[str] | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from dockflow.functions.text import month_in_path
 from dockflow.functions.time import started_between
 from dockflow.schema import TRIPS, TRIPS_PARTITIONED
+from dockflow.session import union_all
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -160,12 +161,10 @@ def audit_totals(audit: DataFrame) -> DataFrame:
 def unified_view(spark: SparkSession, months: dict[tuple[int, int], DataFrame], name: str = "trips") -> DataFrame:
     """UNION ALL of monthly tables with year and month columns, as a view;
     columns missing from a month are null."""
-    whole: DataFrame | None = None
-    for (year, month), df in sorted(months.items()):
-        df = df.withColumns({"year": F.lit(year), "month": F.lit(month)})
-        whole = df if whole is None else whole.unionByName(df, allowMissingColumns=True)
-    if whole is None:
-        raise ValueError("no months")
+    parts = [
+        df.withColumns({"year": F.lit(year), "month": F.lit(month)}) for (year, month), df in sorted(months.items())
+    ]
+    whole = union_all(*parts)
     whole.createOrReplaceTempView(name)
     return whole
 
