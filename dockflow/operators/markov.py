@@ -13,7 +13,7 @@ from dockflow.functions.text import short_label
 from dockflow.functions.time import is_weekend
 from dockflow.operators.folds import context_days, fold_days, on_fold_days, stations_by_fold, time_grid
 from dockflow.params import DEFAULT_CAPACITY, HOUR
-from dockflow.session import cut, setting, union_all, written
+from dockflow.session import cut, setting, union_all
 
 CONTEXT = ["fold_id", "hour", "is_weekend"]
 
@@ -238,8 +238,13 @@ _STEPS_PER_PLAN = 8
 
 def walk_edges(edges: DataFrame, init: DataFrame) -> DataFrame:
     """The edges with the span of their probability on [0,1), plus one self row
-    (``prob`` null) per station and context for the bikes that stay. Written
-    once, laid out by hour, because each step of a walk reads one hour only."""
+    (``prob`` null) per station and context for the bikes that stay.
+
+    Cut once and kept by destination, so that a step sums arrivals where the
+    edges are, and in hour order, so that the cached batches of other hours are
+    skipped.
+    """
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hours = F.explode(F.sequence(F.lit(0), F.lit(23)))
     stays = init.select("fold_id", F.col("station_name").alias("from_station"), hours.alias("hour")).select(
         "*", F.explode(F.array(F.lit(False), F.lit(True))).alias("is_weekend")
@@ -266,7 +271,7 @@ def walk_edges(edges: DataFrame, init: DataFrame) -> DataFrame:
         (upto - F.col("prob")).alias("low"),
         F.when(F.col("prob").isNotNull(), F.when(is_last, F.lit(1.0)).otherwise(upto)).alias("high"),
     )
-    return written(table.hint("rebalance", "hour"), "walk-edges", partition_by=("hour",))
+    return cut(table.repartition(parts, "fold_id", "to_station").sortWithinPartitions("hour")).persist()
 
 
 def walk_state(init: DataFrame) -> DataFrame:
@@ -295,25 +300,17 @@ def run_walk(
     ``x``, rows (station_name, moved, is_self, other state columns). A step sums
     ``moved`` per key and clips it to [0, capacity]; the values of earlier steps
     ride along on the self rows, so each step reads the state once and plans
-    grow linearly. Every few steps the lineage is cut.
-
-    The edges of an hour are kept by destination: a step sums arrivals where the
-    edges are, and only the small state travels.
+    grow linearly. Every few steps the lineage is cut. Only the small state
+    travels; ``table`` (see ``walk_edges``) stays where it is.
     """
     spark = table.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    state = cut(state)
     start_hours = [r[0] for r in state.select(F.hour("ts")).distinct().limit(24).collect()]
-    kept: dict[str, DataFrame] = {}
 
     def edges_at(step: int) -> str:
         hours = sorted({(h * HOUR + step * seconds) // HOUR % 24 for h in start_hours})
-        name = "edges_" + "_".join(map(str, hours))
-        if name not in kept:
-            at = table.where(F.col("hour").isin(*hours)).repartition(parts, "fold_id", "to_station")
-            kept[name] = at.persist()
-        return name
+        return f"(SELECT * FROM {{table}} WHERE hour IN ({', '.join(map(str, hours))}))"
 
-    state = cut(state)
     # Not a guess: the rows were counted. Beyond the bound the planner shuffles.
     small = state.count() <= _BROADCAST_ROWS
     by = ", ".join(keys)
@@ -323,7 +320,7 @@ def run_walk(
         carried = ", ".join(f"max(CASE WHEN is_self THEN {c} END) AS {c}" for c in ("ts", "capacity", *before))
         at = f"""(SELECT *, hour(ts) AS hour, weekday(ts) IN (5, 6) AS is_weekend, x{n - 1} AS x FROM (
             SELECT * EXCEPT (ts), timestampadd(SECOND, {int(seconds)}, ts) AS ts FROM s{n - 1}))"""
-        moved = moves("{" + edges + "}", at, "/*+ BROADCAST(s) */" if small else "")
+        moved = moves(edges, at, "/*+ BROADCAST(s) */" if small else "")
         return f"""s{n} AS (SELECT *, greatest(0D, least(capacity, total)) AS x{n} FROM (
             SELECT {by}, {carried}, sum(moved) AS total FROM ({moved}) GROUP BY {by}))"""
 
@@ -332,20 +329,18 @@ def run_walk(
     while done < steps - 1:
         upto = min(done + _STEPS_PER_PLAN, steps - 1)
         n = upto - done
-        names = [edges_at(step) for step in range(done + 1, upto + 1)]
-        chain = ",\n".join(step_sql(i + 1, name) for i, name in enumerate(names))
+        chain = ",\n".join(step_sql(i, edges_at(done + i)) for i in range(1, n + 1))
         columns = ", ".join(f"x{i}" for i in range(n + 1))
         query = f"WITH s0 AS (SELECT * FROM {{state}}),\n{chain}\nSELECT {by}, ts, capacity, {columns} FROM s{n}"
-        state = spark.sql(query, state=state, **{name: kept[name] for name in set(names)})
-        # Broadcasts into resident edges leave nothing to re-plan at run time.
+        state = spark.sql(query, state=state, table=table)
+        # Broadcasts into the kept edges leave nothing to re-plan at run time.
         with setting(spark, "spark.sql.adaptive.enabled", "false" if small else None):
             state = cut(state)
         values = F.array(*[f"x{i}" for i in range(1, n + 1)])
         pieces.append(state.select(*keys, F.lit(upto).alias("piece"), values.alias("values")))
         state = state.select(*keys, "ts", "capacity", F.col(f"x{n}").alias("x0"))
         done = upto
-    for at in kept.values():
-        at.unpersist()
+    table.unpersist()
     return union_all(*pieces)
 
 

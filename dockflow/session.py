@@ -93,13 +93,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-
-def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, so that later
-    steps prune its partitions instead of recomputing it."""
-    path = scratch_path(df.sparkSession, name)
-    writer = df.write.mode("errorifexists").option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,17 +44,50 @@ def read_trips_parquet(
     return trips.where(_month_bounds(start, end)).where(started_between(start, end, whole_end_day))
 
 
-def _raw_csv(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """CSV parts with all trip columns as text, whatever their column order."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in TRIPS.fields])
-    return (
-        spark.read.schema(text)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .csv(root)
-    )
+def csv_files(spark: SparkSession, root: str, glob: str) -> list[str]:
+    """Paths of the CSV parts below ``root``."""
+    listing = spark.read.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    try:
+        files = listing.load(root).inputFiles()
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no trip data files in {root}") from e
+    if not files:
+        raise FileNotFoundError(f"no trip data files in {root}")
+    return sorted(unquote(f) for f in files)
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    jvm = spark._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine() or ""
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([line.lstrip("\ufeff")]), []))
+
+
+def _raw_csv(spark: SparkSession, files: list[str]) -> DataFrame:
+    """The trip columns of CSV parts as text, matched by header name.
+
+    Spark matches CSV columns by position, so parts are read per distinct
+    header (one group as a rule) and united by name; columns a part lacks are
+    null. Only the first line of each file is looked at here.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path in files:
+        layouts.setdefault(_header(spark, path), []).append(path)
+    wanted = [f.name for f in TRIPS.fields]
+    parts = []
+    for header, paths in layouts.items():
+        text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        reader = spark.read.schema(text).option("header", True).option("enforceSchema", False)
+        part = reader.option("recursiveFileLookup", True).csv(paths)
+        columns = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in wanted]
+        source = [F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_bytes")]
+        parts.append(part.select(*columns, *source))
+    return union_all(*parts)
 
 
 def typed_trips(raw: DataFrame) -> DataFrame:
@@ -69,12 +105,7 @@ def read_trips_csv(
     glob: str = "202*.csv",
 ) -> DataFrame:
     """All CSV parts below ``root``."""
-    try:
-        raw = _raw_csv(spark, root, glob)
-    except AnalysisException as e:
-        raise FileNotFoundError(f"no trip data files in {root}") from e
-    if not raw.inputFiles():
-        raise FileNotFoundError(f"no trip data files in {root}")
+    raw = _raw_csv(spark, csv_files(spark, root, glob)).drop("_path", "_bytes")
     return typed_trips(raw).where(started_between(start, end, whole_end_day))
 
 
@@ -91,25 +122,25 @@ def read_trips(
 def read_monthly_csv(spark: SparkSession, root: str, glob: str = "*.csv", first_months: int | None = None) -> DataFrame:
     """CSV parts with the year and month found in their names; parts of one
     month are simply rows of that month. ``first_months`` keeps the earliest n."""
-    raw = _raw_csv(spark, root, glob).withColumns({"_path": F.col("_metadata.file_path"), "_bytes": F.col("_metadata.file_size")})
-    year, month = month_in_path("_path")
-    dated = typed_trips(raw.withColumns({"year": year, "month": month})).where(F.col("year").isNotNull())
+    files = csv_files(spark, root, glob)
     if first_months:
-        stamp = F.col("year") * 100 + F.col("month")
-        # The names alone decide: a list of files, not of rows.
-        seen = spark.createDataFrame([(p,) for p in raw.inputFiles()], "path string")
+        # The names alone decide which parts are read.
+        named = spark.createDataFrame([(f,) for f in files], "path string")
         y, m = month_in_path("path")
-        stamps = seen.select((y * 100 + m).alias("s")).where("s IS NOT NULL").distinct().orderBy("s").limit(first_months)
-        dated = dated.where(stamp <= stamps.agg(F.max("s")).scalar())
-    return dated
+        stamps = named.select("path", (y * 100 + m).alias("stamp")).where(F.col("stamp").isNotNull())
+        early = stamps.select("stamp").distinct().orderBy("stamp").limit(first_months)
+        files = [r.path for r in stamps.join(early, "stamp", "left_semi").select("path").collect()]
+    year, month = month_in_path("_path")
+    raw = _raw_csv(spark, files).withColumns({"year": year, "month": month})
+    return typed_trips(raw).where(F.col("year").isNotNull())
 
 
-def convert_to_parquet(csv: DataFrame, target: str, compression: str = "zstd") -> None:
+def convert_to_parquet(trips: DataFrame, target: str, compression: str = "zstd") -> None:
     """Write monthly CSV rows as ``year=/month=`` Parquet, replacing exactly the
     months present. A split belongs to one part, hence one month, so nothing is
     shuffled and no month has to fit one task."""
     (
-        csv.drop("_path", "_bytes")
+        trips.drop("_path", "_bytes")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", compression)
@@ -118,12 +149,12 @@ def convert_to_parquet(csv: DataFrame, target: str, compression: str = "zstd") -
     )
 
 
-def conversion_audit(csv: DataFrame, target: str) -> DataFrame:
+def conversion_audit(trips: DataFrame, target: str) -> DataFrame:
     """Per month: rows in the CSV parts and in the written Parquet, both sizes,
     their ratio, and whether the rows agree."""
-    spark = csv.sparkSession
+    spark = trips.sparkSession
     mb = F.lit(1024.0 * 1024.0)
-    parts = csv.groupBy("year", "month", "_path", "_bytes").agg(F.count(F.lit(1)).alias("rows"))
+    parts = trips.groupBy("year", "month", "_path", "_bytes").agg(F.count(F.lit(1)).alias("rows"))
     source = parts.groupBy("year", "month").agg(
         F.sum("rows").alias("csv_rows"), (F.sum("_bytes") / mb).alias("csv_mb"), F.count(F.lit(1)).alias("parts")
     )
