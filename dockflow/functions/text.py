@@ -24,9 +24,8 @@ def month_in_path(path: Column | str) -> tuple[Column, Column]:
     """(year, month) from the first YYYYMM in a file name; Spark's own part
     files carry no month, so their folder is looked at instead."""
     path = F.col(path) if isinstance(path, str) else path
-    file_name = F.regexp_extract(path, r"([^/]*)$", 1)
-    folder = F.regexp_extract(path, r"([^/]*)/[^/]*$", 1)
-    named = F.when(file_name.startswith("part-"), folder).otherwise(file_name)
-    year = F.regexp_extract(named, r"(\d{4})(\d{2})", 1)
-    month = F.regexp_extract(named, r"(\d{4})(\d{2})", 2)
-    return year.try_cast("int"), month.try_cast("int")
+    # Cut at slashes first: a pattern over the whole path costs far more per row.
+    file_name = F.substring_index(path, "/", -1)
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    stamp = F.regexp_extract(F.when(file_name.startswith("part-"), folder).otherwise(file_name), r"(\d{4}\d{2})", 1)
+    return F.substring(stamp, 1, 4).try_cast("int"), F.substring(stamp, 5, 2).try_cast("int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -15,6 +16,8 @@ from dockflow.functions.time import started_between
 from dockflow.schema import TRIPS, TRIPS_PARTITIONED
 from dockflow.session import union_all
 
+_HEADER_READERS = 32
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path (or glob) exists on its file system."""
@@ -76,8 +79,9 @@ def _raw_csv(spark: SparkSession, files: list[str]) -> DataFrame:
     null. Only the first line of each file is looked at here.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in files:
-        layouts.setdefault(_header(spark, path), []).append(path)
+    with ThreadPoolExecutor(_HEADER_READERS) as readers:
+        for path, header in zip(files, readers.map(lambda f: _header(spark, f), files)):
+            layouts.setdefault(header, []).append(path)
     wanted = [f.name for f in TRIPS.fields]
     parts = []
     for header, paths in layouts.items():

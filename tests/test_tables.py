@@ -195,6 +195,22 @@ def test_exact_quantiles(spark, values):
     assert np.allclose([got[p] for p in probs], np.quantile(data, probs))
 
 
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans(spark, tmp_path):
+    as_trips(spark, random_trips(1, 50, list("AB"), 3)).withColumn("extra", F.lit(1)).write.parquet(str(tmp_path / "t"))
+    trips = spark.read.parquet(str(tmp_path / "t"))
+    plan = physical(endpoints.station_activity(trips))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "ended_at" not in plan and "extra" not in plan
+    found = physical(trips.where(name_contains("start_station_name", "A")))
+    assert "StringContains(start_station_name,A)" in found
+    for df in (endpoints.trips_by_station(trips), query.hourly_od_summary(trips), exact_quantiles(trips, F.hour("started_at"), [0.5])):
+        assert "CartesianProduct" not in physical(df) and "NestedLoop" not in physical(df)
+
+
 def test_filters_and_labels(spark):
     df = spark.createDataFrame([("a_b", 1), ("axb", 2), (None, 3)], "s string, n int")
     assert [r.n for r in df.where(name_contains("s", "a_")).collect()] == [1]
