@@ -306,6 +306,7 @@ def run_walk(
     spark = table.sparkSession
     state = cut(state)
     start_hours = [r[0] for r in state.select(F.hour("ts")).distinct().limit(24).collect()]
+    steps = steps if start_hours else 1
 
     def edges_at(step: int) -> str:
         hours = sorted({(h * HOUR + step * seconds) // HOUR % 24 for h in start_hours})
