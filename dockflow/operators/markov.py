@@ -234,6 +234,7 @@ def forecast_net_flow(edges: DataFrame, station_stats: DataFrame, windows: DataF
 # A state of at most this many rows (some tens of MB) is broadcast to the edges.
 _BROADCAST_ROWS = 200_000
 _STEPS_PER_PLAN = 8
+_UNFILTERED_ROWS = 500_000
 
 
 def walk_edges(edges: DataFrame, init: DataFrame) -> DataFrame:
@@ -308,7 +309,13 @@ def run_walk(
     start_hours = [r[0] for r in state.select(F.hour("ts")).distinct().limit(24).collect()]
     steps = steps if start_hours else 1
 
+    # The filter skips cached batches of other hours, at the price of compiling
+    # each hour's plan; a table of few batches is read whole.
+    few_edges = table.count() <= _UNFILTERED_ROWS
+
     def edges_at(step: int) -> str:
+        if few_edges:
+            return "{table}"
         hours = sorted({(h * HOUR + step * seconds) // HOUR % 24 for h in start_hours})
         return f"(SELECT * FROM {{table}} WHERE hour IN ({', '.join(map(str, hours))}))"
 

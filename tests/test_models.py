@@ -163,8 +163,12 @@ def numpy_markov(trips, min_transitions=1):
     return contexts, everything
 
 
-@pytest.mark.parametrize("min_transitions", [1, 7])
-def test_markov_walk_matches_numpy(spark, data, whole, trips, min_transitions):
+@pytest.mark.parametrize("min_transitions, large", [(1, False), (7, False), (7, True)])
+def test_markov_walk_matches_numpy(spark, data, whole, trips, min_transitions, large, monkeypatch):
+    if large:
+        # The plans of a state too large to broadcast and an edge table worth filtering.
+        monkeypatch.setattr(markov, "_BROADCAST_ROWS", -1)
+        monkeypatch.setattr(markov, "_UNFILTERED_ROWS", -1)
     fit = markov.fit_markov(data.od, whole, min_transitions)
     edges = markov.effective_edges(fit)
     contexts, fallback = numpy_markov(trips, min_transitions)
