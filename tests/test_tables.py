@@ -237,3 +237,12 @@ def test_constant_configurations_score_half(spark):
     got = {(r.config_id, r.metric): (r.score, r.score_std) for r in compare.normalized_configs(summary).collect()}
     assert got[1, "inventory_mae"] == (0.0, 0.1) and got[2, "inventory_mae"] == (1.0, 0.1)
     assert got[1, "full_recall"] == (0.5, 0.0)
+
+
+def test_month_inventory_files(spark, tmp_path):
+    trips = as_trips(spark, random_trips(4, 300, list("AB"), 40))
+    inferred, summary = monthly.infer_months(trips, None, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "month_inventory")).count() == inferred.count() == 4
+    start = spark.read.option("header", True).csv(str(tmp_path / "start_inventory"))
+    assert start.columns == ["station_name", "bikes", "year", "month"] and start.count() == 4
+    assert spark.read.json(str(tmp_path / "inventory_summary")).count() == summary.count() == 2
