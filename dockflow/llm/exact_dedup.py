@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,22 +33,25 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body")).rdd.map(lambda r: (r[0], bytes(r[1])))
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body"))
+    rows = own.rdd.map(lambda r: (r[0], bytes(r[1])))
     owners = max(rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def fingerprints(part, of):
-        prints = np.fromiter((xxhash.xxh3_64_intdigest(r[1]) for r in of), np.uint64)
-        if len(prints):
-            yield part, len(prints), prints.tobytes()
+    def fingerprints(batches):
+        prints = [xxhash.xxh3_64_intdigest(t) for batch in batches for t in batch.column(1).to_pylist()]
+        if prints:
+            part, packed = TaskContext.get().partitionId(), np.array(prints, np.uint64).tobytes()
+            columns = [pa.array([part], pa.int32()), pa.array([len(prints)], pa.int32()), pa.array([packed], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "n", "prints"])
 
-    packed = cut(spark.createDataFrame(rows.mapPartitionsWithIndex(fingerprints), "part int, n int, prints binary", verifySchema=False))
+    packed = cut(own.mapInArrow(fingerprints, "part int, n int, prints binary"))
     counts = {r[0]: r[1] for r in packed.select("part", "n").toLocalIterator()}
     sent = packed.rdd.flatMap(lambda r: exchange.messages(r[0], np.frombuffer(bytes(r[2]), np.uint64), None, owners))
     replies = exchange.answers(sent, owners)
     kept_prints = packed.rdd.map(lambda r: (r[0], (-1, bytes(r[2]), b"")))
 
     def marks(part, mail, n):
-        prints, _, _, = next(np.frombuffer(m[1], np.uint64) for m in mail if m[0] < 0), None, None
+        prints = next(np.frombuffer(m[1], np.uint64) for m in mail if m[0] < 0)
         unique, back = np.unique(prints, return_inverse=True)
         bits, to = np.zeros(len(unique), bool), ((unique >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
         for owner, _, flags in mail:

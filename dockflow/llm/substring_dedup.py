@@ -23,8 +23,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark import RDD
+from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -226,28 +227,27 @@ def _filed_windows(n_words: np.ndarray, words: np.ndarray):
 
 
 _SENT = "owner int, part int, codes binary, twice binary, tags binary"
-
-
-def _shared(rows: RDD, with_mail: RDD | None, per_group, owners: int, spark) -> RDD:
-    """``rows`` with, beside each partition's first row, the coded hashes that
-    ``per_group`` gave for it and that occur elsewhere too. ``with_mail`` are the
-    rows with what an earlier call gave, if there was one."""
-    source, mailed = (rows, False) if with_mail is None else (with_mail, True)
-
-    def send(part, of):
-        values, tags, n = [], [], 0
-        for group, shared in _groups(of, mailed):
-            n += len(group)
-            value, tag = per_group(group, shared)
-            values.append(value)
-            tags.append(tag)
-        if n:
-            yield -1, n, part.to_bytes(4, "little"), b"", b""
-            value = np.concatenate(values)
-            if len(value):
-                yield from exchange.messages(part, value, None if tags[0] is None else np.concatenate(tags), owners)
-
-    sent = cut(spark.createDataFrame(source.mapPartitionsWithIndex(send), _SENT, verifySchema=False))
+_KINDS = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+
+def _messages(part: int, groups: Iterator, per_group, owners: int) -> Iterator[tuple]:
+    """What a partition sends: its number of rows, and its hashes to their owners."""
+    values, tags, n = [], [], 0
+    for group, shared in groups:
+        n += len(group)
+        value, tag = per_group(group, shared)
+        values.append(value)
+        tags.append(tag)
+    if n:
+        yield -1, n, part.to_bytes(4, "little"), b"", b""
+        value = np.concatenate(values)
+        if len(value):
+            yield from exchange.messages(part, value, None if tags[0] is None else np.concatenate(tags), owners)
+
+
+def _with_shared(rows: RDD, sent: DataFrame, owners: int) -> RDD:
+    """``rows`` with, beside each partition's first row, the coded hashes among
+    those it sent that occur elsewhere too."""
     counts = {int.from_bytes(bytes(r.codes), "little"): r.part for r in sent.where("owner < 0").toLocalIterator()}
     replies = exchange.answers(sent.where("owner >= 0").rdd, owners)
 
@@ -286,10 +286,21 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body")).rdd.map(lambda r: (r[0], bytes(r[1])))
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body"))
+    rows = own.rdd.map(lambda r: (r[0], bytes(r[1])))
     owners = max(rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    with_keys = _shared(rows, None, _keys_of, owners, spark)
-    with_windows = _shared(rows, with_keys, _candidates_of, owners, spark)
+
+    def send_keys(batches):
+        pairs = (pair for batch in batches for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for row in _messages(TaskContext.get().partitionId(), _groups(pairs, False), _keys_of, owners):
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, _KINDS)], names=_SENT.replace(",", "").split()[::2])
+
+    def send_windows(part, of):
+        return _messages(part, _groups(of, True), _candidates_of, owners)
+
+    with_keys = _with_shared(rows, cut(own.mapInArrow(send_keys, _SENT)), owners)
+    sent = spark.createDataFrame(with_keys.mapPartitionsWithIndex(send_windows), _SENT, verifySchema=False)
+    with_windows = _with_shared(rows, cut(sent), owners)
 
     def clean(of):
         for group, shared in _groups(of, True):
