@@ -14,7 +14,7 @@ import pyarrow as pa
 from dockflow.llm.pretokens import piece_starts
 
 #: Distinct pieces kept by a worker; beyond it the cache starts anew.
-CACHED = 1_000_000
+CACHED = 800_000
 #: Longer pieces aren't kept.
 LONGEST = 64
 

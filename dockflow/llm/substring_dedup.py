@@ -18,19 +18,18 @@ their partitions.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm import exchange, golomb
 from dockflow.llm.common import cut
+from dockflow.llm.xxh64 import hash_slices
 
 WINDOW = 35
 #: Longest run that gets a name, and the longest symbol of each round of pairs.
@@ -40,18 +39,8 @@ _BASES = (0x2545F4914F6CDD1D, 0xD1342543DE82EF95)
 _STEP = 1 << 21
 
 
-class _Names(dict):
-    def __missing__(self, word: bytes) -> int:
-        name = xxhash.xxh3_64_intdigest(word)
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = name
-        return name
-
-
-@lru_cache(1)
-def _names() -> _Names:
-    return _Names()
+_WHITE = np.zeros(256, bool)
+_WHITE[[32, *range(9, 14)]] = True
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,8 +60,8 @@ class Symbols:
     def __init__(self, words: np.ndarray, firsts: np.ndarray):
         n = len(words)
         self.words, self.firsts = words, firsts  # firsts: where texts begin
-        self.name, self.at, self.span = words, np.arange(n), np.ones(n, np.int64)
-        self.low, self.high = np.arange(n), np.arange(n)
+        self.name, self.at, self.span = words, np.arange(n, dtype=np.int32), np.ones(n, np.int32)
+        self.low = self.high = self.at
 
     def _opens(self) -> np.ndarray:
         """Whether a symbol is its text's first one."""
@@ -88,19 +77,26 @@ class Symbols:
         n = len(self.name)
         new = self._opens()
         new[1:] |= self.name[1:] != self.name[:-1]
-        first = np.flatnonzero(new)
-        size = np.diff(first, append=n)
-        run = np.cumsum(new) - 1
-        a, b = first[run], first[run] + size[run] - 1
-        short = size[run] <= RUN
-        i = np.arange(n)
-        # A word is settled by its whole run and the words beside it, in a long run by so many equal neighbours.
-        low = np.where(short, a - 1, np.maximum(a - 1, i - RUN))
-        high = np.where(short, b + 1, np.minimum(b + 1, i + RUN))
-        many = short & (size[run] > 1)
-        name = np.where(many, _named(self.name, size[run].astype(np.uint64) * _A), self.name)
-        span = np.where(many, size[run], 1)
-        self._keep(name, span, low, high, ~many | new)
+        i = np.arange(n, dtype=np.int32)
+        low, high, name, span, keep = i - 1, i + 1, self.name, self.span, np.ones(n, bool)
+        repeats = np.flatnonzero(~new)
+        if len(repeats):
+            first = np.flatnonzero(new)
+            size = np.diff(first, append=n)
+            # The words of runs alone: their run's first and last word.
+            among = np.flatnonzero(np.repeat(size > 1, size))
+            run = np.searchsorted(first, among, side="right") - 1
+            a, b, k = first[run], first[run] + size[run] - 1, size[run]
+            short = k <= RUN
+            # A word is settled by its whole run and the words beside it, in a long run by so many equal neighbours.
+            low[among] = np.where(short, a - 1, np.maximum(a - 1, among - RUN))
+            high[among] = np.where(short, b + 1, np.minimum(b + 1, among + RUN))
+            at = among[short & new[among]]
+            name, span = name.copy(), span.copy()
+            name[at] = _named(name[at], k[short & new[among]].astype(np.uint64) * _A)
+            span[at] = k[short & new[among]]
+            keep[among[short & ~new[among]]] = False
+        self._keep(name, span, low, high, keep)
 
     def pairs(self, round_: int, longest: int) -> None:
         """Name pairs of a left and a right symbol up to ``longest`` words."""
@@ -114,9 +110,9 @@ class Symbols:
         # A left symbol is settled by the next one, a right one by the one before; a text's
         # ends are settled by what isn't there. Symbols of full length need no neighbour.
         open_ = self.span < longest
-        low, high = self.low.copy(), self.high.copy()
-        before_low, before_high = np.append(-1, self.low[:-1]), np.append(-1, self.high[:-1])
-        after_low, after_high = np.append(self.low[1:], n), np.append(self.high[1:], len(self.words))
+        low, high = self.low, self.high
+        before_low, before_high = np.roll(self.low, 1), np.roll(self.high, 1)  # never asked for at a text's ends
+        after_low, after_high = np.roll(self.low, -1), np.roll(self.high, -1)
         closes = np.append(opens[1:], True)
         look = left & open_
         low = np.where(look & ~closes, np.minimum(low, after_low), low)
@@ -174,18 +170,27 @@ def filed(starts: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return found
 
 
-def hashes(words: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of the windows: 64 bits, and 32 bits as a tag."""
+@lru_cache(2)
+def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2**bits powers of a base and of its inverse, modulo 2**64."""
+    out = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        row = np.full(1 << bits, factor, np.uint64)
+        row[0] = 1
+        out.append(np.cumprod(row, dtype=np.uint64))
+    return out[0], out[1]
+
+
+def hashes(words: np.ndarray, starts: np.ndarray, bases: tuple = _BASES) -> tuple[np.ndarray, np.ndarray]:
+    """Independent hashes of the windows: 64 bits, and with two bases 32 bits as a tag."""
     out = []
     with np.errstate(over="ignore"):
-        for base in _BASES:
-            inverse = pow(base, -1, 1 << 64)
-            n = len(words) + 1
-            down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, inverse, np.uint64)]))
-            up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, base, np.uint64)]))
-            total = np.concatenate([[np.uint64(0)], np.cumsum(words * down[:-1])])
+        for base in bases:
+            up, down = _powers(base, max(10, len(words).bit_length()))
+            total = np.zeros(len(words) + 1, np.uint64)
+            np.cumsum(words * down[: len(words)], out=total[1:])
             out.append(_mixed((total[starts + WINDOW] - total[starts]) * up[starts]))
-    return out[0], (out[1] >> np.uint64(32)).astype(np.uint32)
+    return out[0], (out[-1] >> np.uint64(32)).astype(np.uint32)
 
 
 def _groups(rows: Iterator, payloads: bool) -> Iterator[tuple[list, np.ndarray | None]]:
@@ -205,17 +210,30 @@ def _groups(rows: Iterator, payloads: bool) -> Iterator[tuple[list, np.ndarray |
         yield waiting, shared
 
 
-def _words(rows: list) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    names = _names()
-    split = [body.split() for _, body in rows]
-    n_words = np.array([len(w) for w in split], np.int64)
-    return split, n_words, np.fromiter((names[w] for ws in split for w in ws), np.uint64, int(n_words.sum()))
+class _Group:
+    """The words of some rows: name, first and last byte of each, and how many a row has."""
+
+    def __init__(self, rows: list):
+        self.data = b"\n".join([b"", *(body for _, body in rows), b""])
+        white = _WHITE[np.frombuffer(self.data, np.uint8)]
+        turns = np.flatnonzero(white[1:] != white[:-1]) + 1
+        self.starts, self.ends = turns[::2], turns[1::2]
+        sizes = np.array([len(body) + 1 for _, body in rows], np.int64)
+        self.n_words = np.diff(np.searchsorted(self.starts, np.append(0, np.cumsum(sizes)) + 1))
+        self.words = hash_slices(self.data, self.starts, self.ends)
 
 
 def _in(values: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    if not len(shared):
-        return np.zeros(len(values), bool)
-    return shared[np.minimum(np.searchsorted(shared, values), len(shared) - 1)] == values
+    """Which values are among the ascending ``shared``; a table of their low bits
+    spares most of the searching."""
+    found = np.zeros(len(values), bool)
+    if len(shared):
+        table = np.zeros(1 << 22, bool)
+        table[(shared & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
+        maybe = np.flatnonzero(table[(values & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        asked = values[maybe]
+        found[maybe] = shared[np.minimum(np.searchsorted(shared, asked), len(shared) - 1)] == asked
+    return found
 
 
 def _filed_windows(n_words: np.ndarray, words: np.ndarray):
@@ -260,17 +278,19 @@ def _with_shared(rows: RDD, sent: DataFrame, owners: int) -> RDD:
 
 
 def _keys_of(group: list, shared) -> tuple[np.ndarray, None]:
-    _, n_words, words = _words(group)
-    _, border, key = _filed_windows(n_words, words)
-    return key[np.unique(border[border >= 0])], None
+    g = _Group(group)
+    _, border, key = _filed_windows(g.n_words, g.words)
+    used = np.zeros(len(key), bool)
+    used[border[border >= 0]] = True
+    return key[used], None
 
 
 def _candidates_of(group: list, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    _, n_words, words = _words(group)
-    starts, border, key = _filed_windows(n_words, words)
+    g = _Group(group)
+    starts, border, key = _filed_windows(g.n_words, g.words)
     suspect = border < 0
     suspect[~suspect] = _in(key, shared)[border[~suspect]]
-    return hashes(words, starts[suspect])
+    return hashes(g.words, starts[suspect])
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -304,19 +324,21 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     def clean(of):
         for group, shared in _groups(of, True):
-            split, n_words, words = _words(group)
-            starts = windows(n_words)
-            again = starts[_in(hashes(words, starts)[0], shared)]
-            edge = np.zeros(len(words) + 1, np.int64)
+            g = _Group(group)
+            starts = windows(g.n_words)
+            again = starts[_in(hashes(g.words, starts, _BASES[:1])[0], shared)]
+            edge = np.zeros(len(g.words) + 1, np.int64)
             edge[again] += 1
             np.subtract.at(edge, again + WINDOW, 1)
-            gone = np.cumsum(edge[:-1]) > 0
-            first = 0
-            for (name, _), own in zip(group, split):
-                drop = gone[first : first + len(own)]
-                first += len(own)
-                kept = own if not drop.any() else [own[i] for i in np.flatnonzero(~drop)]
-                yield name, len(own), len(own) - len(kept), b" ".join(kept)
+            gone, first = np.cumsum(edge[:-1]) > 0, 0
+            for (name, body), n in zip(group, g.n_words.tolist()):
+                kept = first + np.flatnonzero(~gone[first : first + n])
+                if len(kept) == n:
+                    left = b" ".join(body.split())
+                else:
+                    left = b" ".join([g.data[a:b] for a, b in zip(g.starts[kept].tolist(), g.ends[kept].tolist())])
+                yield name, n, n - len(kept), left
+                first += n
 
     schema = "doc_id long, n_words long, n_removed long, kept binary"
     cleaned = spark.createDataFrame(with_windows.mapPartitions(clean), schema, verifySchema=False)

@@ -18,7 +18,7 @@ os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 #: Words in one of a worker's two generations; a full one becomes the old one,
 #: from which words that are used again move back. Longer words aren't kept.
-CACHED, LONGEST = 1_000_000, 64
+CACHED, LONGEST = 600_000, 64
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 #: A letter run ends before one of these, and whatever follows is a part of its own.
 _STOPS = frozenset(".,!?;:")
