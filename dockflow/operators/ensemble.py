@@ -25,20 +25,20 @@ def simulate_walks(
     sims = F.explode(F.sequence(F.lit(0), F.lit(n_simulations - 1)))
     state = walk_state(init).withColumn("sim_id", sims)
 
-    drawn_from = ("s.fold_id", "s.sim_id", "s.station_name", "s.ts")
-    leaving = poisson_sql("e.rate * s.x / greatest(s.capacity, 1D)", uniform_sql(seed, *drawn_from, "0"), "floor(s.x)")
-    bike = uniform_sql(seed, "fold_id", "sim_id", "station_name", "ts", "j")
-
-    def moves(edges: str, state: str, hint: str) -> str:
-        on = """e.fold_id = s.fold_id AND e.hour = s.hour AND e.is_weekend = s.is_weekend
-                AND e.from_station = s.station_name"""
-        drawn = f"""(SELECT *, CASE WHEN leaving > 0 THEN transform(sequence(1, leaving), j -> {bike}) ELSE array() END AS draws
-            FROM (SELECT {hint} s.*, {leaving} AS leaving FROM {edges} e JOIN {state} s ON {on} WHERE e.prob IS NULL))"""
-        # Bikes without any known destination leave the network: nothing routes them.
-        return f"""SELECT {hint} s.* EXCEPT (station_name), e.to_station AS station_name, e.prob IS NULL AS is_self,
-                CASE WHEN e.prob IS NULL THEN s.x - s.leaving
-                    ELSE CAST(size(filter(s.draws, u -> u >= e.low AND u < e.high)) AS DOUBLE) END AS moved
-            FROM {edges} e JOIN {drawn} s ON {on}"""
+    drawn_from = ("fold_id", "sim_id", "station_name", "ts")
+    leaving = poisson_sql("rate * x / greatest(capacity, 1D)", uniform_sql(seed, *drawn_from, "0"), "floor(x)")
+    bike = uniform_sql(seed, *drawn_from, "j")
+
+    def moves(joined: str) -> str:
+        # A row per bike that leaves. Bikes without any known destination leave the network: nothing routes them.
+        return f"""SELECT s.* EXCEPT (station_name, rate, dests, leaving, draws), m.* FROM (
+                SELECT *, CASE WHEN leaving > 0 THEN transform(sequence(1, leaving), j -> {bike}) ELSE array() END AS draws
+                FROM (SELECT *, {leaving} AS leaving FROM {joined})) s
+            LATERAL VIEW inline(concat(
+                array(named_struct('station_name', station_name, 'moved', x - leaving, 'is_self', true)),
+                filter(transform(draws, u -> named_struct('station_name', get(filter(dests, d -> u < d.upto), 0).to_station, 'moved', 1D, 'is_self', false)),
+                    b -> b.station_name IS NOT NULL)
+            )) m"""
 
     pieces = run_walk(state, _KEYS, walk_edges(edges, init), steps, seconds, moves)
     # A piece is labelled with its last step.

@@ -13,7 +13,7 @@ from dockflow.functions.text import short_label
 from dockflow.functions.time import is_weekend
 from dockflow.operators.folds import context_days, fold_days, on_fold_days, stations_by_fold, time_grid
 from dockflow.params import DEFAULT_CAPACITY, HOUR
-from dockflow.session import cut, setting, union_all
+from dockflow.session import cut, union_all
 
 CONTEXT = ["fold_id", "hour", "is_weekend"]
 
@@ -231,48 +231,30 @@ def forecast_net_flow(edges: DataFrame, station_stats: DataFrame, windows: DataF
 
 # -- walks --------------------------------------------------------------------
 
-# A state of at most this many rows (some tens of MB) is broadcast to the edges.
-_BROADCAST_ROWS = 200_000
 _STEPS_PER_PLAN = 8
-_UNFILTERED_ROWS = 500_000
 
 
 def walk_edges(edges: DataFrame, init: DataFrame) -> DataFrame:
-    """The edges with the span of their probability on [0,1), plus one self row
-    (``prob`` null) per station and context for the bikes that stay.
+    """(fold_id, from_station, context, rate, dests): one row per station of the
+    walk and each of its 48 contexts (hour, plus 24 on weekends). ``dests`` holds
+    (to_station, prob, upto) in name order, ``upto`` being the running
+    probability, 1 at the last; a station without departures has none.
 
-    Cut once and kept by destination, so that a step sums arrivals where the
-    edges are, and in hour order, so that the cached batches of other hours are
-    skipped.
+    Cut once and kept by (fold, origin): only the state and the partial arrivals
+    of a step move.
     """
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hours = F.explode(F.sequence(F.lit(0), F.lit(23)))
-    stays = init.select("fold_id", F.col("station_name").alias("from_station"), hours.alias("hour")).select(
-        "*", F.explode(F.array(F.lit(False), F.lit(True))).alias("is_weekend")
-    )
-    unknown = F.lit(None).cast("double")
-    stays = stays.select(
-        *CONTEXT,
-        "from_station",
-        F.col("from_station").alias("to_station"),
-        unknown.alias("prob"),
-        unknown.alias("rate"),
-    )
-    origin = Window.partitionBy(*CONTEXT, "from_station")
-    along = origin.orderBy(F.col("prob").isNull().desc(), "to_station")
-    upto = F.sum("prob").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    is_last = F.lead("to_station").over(along).isNull()
-    rows = union_all(edges.select(*CONTEXT, "from_station", "to_station", "prob", "rate"), stays)
-    table = rows.select(
-        *CONTEXT,
-        "from_station",
-        "to_station",
-        "prob",
-        F.coalesce(F.max("rate").over(origin), F.lit(0.0)).alias("rate"),
-        (upto - F.col("prob")).alias("low"),
-        F.when(F.col("prob").isNotNull(), F.when(is_last, F.lit(1.0)).otherwise(upto)).alias("high"),
-    )
-    return cut(table.repartition(parts, "fold_id", "to_station").sortWithinPartitions("hour")).persist()
+    origin = ["fold_id", "from_station", "context"]
+    context = (F.col("hour") + F.when(F.col("is_weekend"), 24).otherwise(0)).cast("int")
+    every = init.select("fold_id", F.col("station_name").alias("from_station"), F.explode(F.sequence(F.lit(0), F.lit(47))).alias("context"))
+    along = Window.partitionBy(*origin).orderBy("to_station")
+    summed = F.sum("prob").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.when(F.lead("to_station").over(along).isNull(), F.lit(1.0)).otherwise(summed)
+    known = edges.withColumn("context", context).withColumn("upto", upto)
+    known = known.groupBy(*origin).agg(F.max("rate").alias("rate"), F.sort_array(F.collect_list(F.struct("to_station", "prob", "upto"))).alias("dests"))
+    none = F.array().cast("array<struct<to_station:string,prob:double,upto:double>>")
+    table = every.join(known, origin, "left").select(*origin, F.coalesce("rate", F.lit(0.0)).alias("rate"), F.coalesce("dests", none).alias("dests"))
+    return cut(table.repartition(parts, "fold_id", "from_station")).persist()
 
 
 def walk_state(init: DataFrame) -> DataFrame:
@@ -287,63 +269,44 @@ def walk_state(init: DataFrame) -> DataFrame:
 
 
 def run_walk(
-    state: DataFrame,
-    keys: list[str],
-    table: DataFrame,
-    steps: int,
-    seconds: int,
-    moves: Callable[[str, str, str], str],
+    state: DataFrame, keys: list[str], table: DataFrame, steps: int, seconds: int, moves: Callable[[str], str]
 ) -> DataFrame:
     """Walk ``steps`` values from ``state`` and return (*keys, piece, values): the
     path of each key in pieces labelled with their last step.
 
-    ``moves(edges, state, hint)`` is SQL text that gives, for the current bikes
-    ``x``, rows (station_name, moved, is_self, other state columns). A step sums
-    ``moved`` per key and clips it to [0, capacity]; the values of earlier steps
-    ride along on the self rows, so each step reads the state once and plans
-    grow linearly. Every few steps the lineage is cut. Only the small state
-    travels; ``table`` (see ``walk_edges``) stays where it is.
+    ``moves(joined)`` is SQL text over the state joined with its origin's row for
+    the current context (bikes ``x``, ``rate``, ``dests``) that gives rows
+    (station_name, moved, is_self, other state columns). A step sums ``moved``
+    per key and clips it to [0, capacity]; the values of earlier steps ride along
+    on the self rows, so each step reads the state once and plans grow linearly.
+    Every few steps the lineage is cut. There is one plan for every size: the
+    state meets ``table`` (see ``walk_edges``) where that lies, and arrivals are
+    summed before they travel.
     """
     spark = table.sparkSession
     state = cut(state)
-    start_hours = [r[0] for r in state.select(F.hour("ts")).distinct().limit(24).collect()]
-    steps = steps if start_hours else 1
-
-    # The filter skips cached batches of other hours, at the price of compiling
-    # each hour's plan; a table of few batches is read whole.
-    few_edges = table.count() <= _UNFILTERED_ROWS
-
-    def edges_at(step: int) -> str:
-        if few_edges:
-            return "{table}"
-        hours = sorted({(h * HOUR + step * seconds) // HOUR % 24 for h in start_hours})
-        return f"(SELECT * FROM {{table}} WHERE hour IN ({', '.join(map(str, hours))}))"
-
-    # Not a guess: the rows were counted. Beyond the bound the planner shuffles.
-    small = state.count() <= _BROADCAST_ROWS
     by = ", ".join(keys)
 
-    def step_sql(n: int, edges: str) -> str:
+    def step_sql(n: int) -> str:
         before = [f"x{i}" for i in range(n)]
         carried = ", ".join(f"max(CASE WHEN is_self THEN {c} END) AS {c}" for c in ("ts", "capacity", *before))
-        at = f"""(SELECT *, hour(ts) AS hour, weekday(ts) IN (5, 6) AS is_weekend, x{n - 1} AS x FROM (
+        at = f"""(SELECT *, hour(ts) + CASE WHEN weekday(ts) IN (5, 6) THEN 24 ELSE 0 END AS now, x{n - 1} AS x FROM (
             SELECT * EXCEPT (ts), timestampadd(SECOND, {int(seconds)}, ts) AS ts FROM s{n - 1}))"""
-        moved = moves(edges, at, "/*+ BROADCAST(s) */" if small else "")
+        # Two inequalities: an equality would become a key, and the table is laid out by fold and origin.
+        joined = f"""(SELECT s.*, e.rate, e.dests FROM {at} s JOIN {{table}} e
+            ON e.fold_id = s.fold_id AND e.from_station = s.station_name AND e.context <= s.now AND e.context >= s.now)"""
         return f"""s{n} AS (SELECT *, greatest(0D, least(capacity, total)) AS x{n} FROM (
-            SELECT {by}, {carried}, sum(moved) AS total FROM ({moved}) GROUP BY {by}))"""
+            SELECT {by}, {carried}, sum(moved) AS total FROM ({moves(joined)}) GROUP BY {by}))"""
 
     pieces = [state.select(*keys, F.lit(0).alias("piece"), F.array("x0").alias("values"))]
     done = 0
     while done < steps - 1:
         upto = min(done + _STEPS_PER_PLAN, steps - 1)
         n = upto - done
-        chain = ",\n".join(step_sql(i, edges_at(done + i)) for i in range(1, n + 1))
+        chain = ",\n".join(step_sql(i) for i in range(1, n + 1))
         columns = ", ".join(f"x{i}" for i in range(n + 1))
         query = f"WITH s0 AS (SELECT * FROM {{state}}),\n{chain}\nSELECT {by}, ts, capacity, {columns} FROM s{n}"
-        state = spark.sql(query, state=state, table=table)
-        # Broadcasts into the kept edges leave nothing to re-plan at run time.
-        with setting(spark, "spark.sql.adaptive.enabled", "false" if small else None):
-            state = cut(state)
+        state = cut(spark.sql(query, state=state, table=table))
         values = F.array(*[f"x{i}" for i in range(1, n + 1)])
         pieces.append(state.select(*keys, F.lit(upto).alias("piece"), values.alias("values")))
         state = state.select(*keys, "ts", "capacity", F.col(f"x{n}").alias("x0"))
@@ -363,12 +326,12 @@ def forecast_markov(edges: DataFrame, init: DataFrame, steps: int, seconds: int
     """
     keys = ["fold_id", "station_name"]
 
-    def moves(edges: str, state: str, hint: str) -> str:
-        return f"""SELECT {hint} s.* EXCEPT (station_name), e.to_station AS station_name, e.prob IS NULL AS is_self,
-                CASE WHEN e.prob IS NULL THEN s.x - least(e.rate, s.x) ELSE e.prob * least(e.rate, s.x) END AS moved
-            FROM {edges} e JOIN {state} s
-            ON e.fold_id = s.fold_id AND e.hour = s.hour AND e.is_weekend = s.is_weekend
-                AND e.from_station = s.station_name"""
+    def moves(joined: str) -> str:
+        return f"""SELECT s.* EXCEPT (station_name, rate, dests), m.* FROM {joined} s
+            LATERAL VIEW inline(concat(
+                array(named_struct('station_name', station_name, 'moved', x - least(rate, x), 'is_self', true)),
+                transform(dests, d -> named_struct('station_name', d.to_station, 'moved', d.prob * least(rate, x), 'is_self', false))
+            )) m"""
 
     pieces = run_walk(walk_state(init), keys, walk_edges(edges, init), steps, seconds, moves)
     paths = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("piece", "values"))).alias("pieces"))

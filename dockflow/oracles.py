@@ -386,7 +386,7 @@ def folds_sql(train: int, test: int, step: int, source: str = "kept", name: str
     FROM {name}_span, generate_series(0, 4000) g(i) WHERE a + to_days(CAST(i * {step} + {tr + te} AS INTEGER)) <= b)"""
 
 
-PREP = DOCKS + ",\n" + prepared(780)
+PREP, SELECTIVE_PREP = DOCKS + ",\n" + prepared(100), DOCKS + ",\n" + prepared(780)
 FOLDS = folds_sql(2, 1, 1)
 
 # Burn-in by running the hours in order, and truth by the running totals of the
@@ -439,9 +439,9 @@ def recursive(name: str, sql: str, *ctes: str, base: str = TRIPS) -> None:
 trip_sql(
     "prepared_trips",
     f"SELECT ride_id, start_station_name, end_station_name, {HOUR}, {DOW}, CAST(CAST(started_at AS DATE) AS VARCHAR) AS date, {IS_WEEKEND} FROM kept",
-    PREP,
+    SELECTIVE_PREP,
 )
-trip_sql("station_stats", "SELECT * FROM stats", PREP)
+trip_sql("station_stats", "SELECT * FROM stats", SELECTIVE_PREP)
 MONTH_CTES = """listed AS (SELECT DISTINCT name FROM docks),
 inner_trips AS (SELECT * FROM trips WHERE start_station_name IN (SELECT name FROM listed) AND end_station_name IN (SELECT name FROM listed)),
 seen AS (SELECT DISTINCT CAST(year(started_at) AS INTEGER) AS year, CAST(month(started_at) AS INTEGER) AS month, n AS station_name FROM
@@ -617,7 +617,7 @@ recursive(
     f"SELECT model, fold_id, {metric_columns()}, {DATES} FROM metrics JOIN folds f USING (fold_id)",
     ITEM_DOCKS,
     prepared(100),
-    folds_sql(8, 1, 84),
+    folds_sql(8, 1, 63),
     INIT,
     TRUTH,
     STAY,
@@ -760,7 +760,7 @@ def markov_walk(last: int) -> str:
         GROUP BY fold_id, station_name, i, ts))"""
 
 
-recursive("forecast_markov", PATH + "mk_walk", *MK, INIT, markov_walk(23))
+recursive("forecast_markov", PATH + "mk_walk", *MK, INIT, markov_walk(167))
 
 # -- comparison ---------------------------------------------------------------
 
@@ -806,7 +806,7 @@ recursive(
     f"""SELECT fold_id, {r('v1', 'first_value')}, {r('v2', 'second_value')}, {r('v2 - v1', 'diff')},
     CASE WHEN v1 < v2 THEN 'station_avg' ELSE 'temporal_flow' END AS winner, {r('avg(v2 - v1) OVER ()', 'mean_diff')}
     FROM (SELECT a.fold_id, a.inventory_mae AS v1, b.inventory_mae AS v2 FROM metrics a JOIN metrics b ON a.fold_id = b.fold_id
-        WHERE a.model = 'station_avg' AND b.model = 'temporal_flow' AND a.fold_id >= 3)""",
+        WHERE a.model = 'station_avg' AND b.model = 'temporal_flow')""",
     *ALL3,
 )
 recursive(

@@ -163,12 +163,11 @@ def numpy_markov(trips, min_transitions=1):
     return contexts, everything
 
 
-@pytest.mark.parametrize("min_transitions, large", [(1, False), (7, False), (7, True)])
-def test_markov_walk_matches_numpy(spark, data, whole, trips, min_transitions, large, monkeypatch):
-    if large:
-        # The plans of a state too large to broadcast and an edge table worth filtering.
-        monkeypatch.setattr(markov, "_BROADCAST_ROWS", -1)
-        monkeypatch.setattr(markov, "_UNFILTERED_ROWS", -1)
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+@pytest.mark.parametrize("min_transitions, start, seconds", [(1, "2025-09-13 20:00:00", 3600), (7, "2025-09-13 20:00:00", 3600), (7, "2025-09-14 22:30:00", 1800)])
+def test_markov_walk_matches_numpy(spark, data, whole, trips, min_transitions, start, seconds, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     fit = markov.fit_markov(data.od, whole, min_transitions)
     edges = markov.effective_edges(fit)
     contexts, fallback = numpy_markov(trips, min_transitions)
@@ -177,11 +176,12 @@ def test_markov_walk_matches_numpy(spark, data, whole, trips, min_transitions, l
         assert len(contexts) == 48 and fit.fallback.count() == 9
     sums = edges.groupBy("hour", "is_weekend", "from_station").agg(F.sum("prob").alias("p")).collect()
     assert all(abs(r.p - 1) < 1e-9 for r in sums)
-    init = window(spark, "2025-09-13 20:00:00", "2025-09-14 08:00:00")
-    got = paths(markov.forecast_markov(edges, init, 12))
+    init = window(spark, start, "2025-09-16")
+    got = paths(markov.forecast_markov(edges, init, 12, seconds))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     x, cap = np.array([START[s] for s in NAMES]), np.array([CAPS[s] for s in NAMES])
     expected = [x]
-    for ts in pd.date_range("2025-09-13 21:00:00", periods=11, freq="1h"):
+    for ts in pd.date_range(start, periods=12, freq=f"{seconds}s")[1:]:
         p, rate = contexts.get((ts.hour, weekend(ts)), fallback[:2])
         d = np.minimum(rate, x)
         x = np.clip(x - d + p.T @ d, 0, cap)
