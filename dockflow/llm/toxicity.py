@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from dockflow.llm.common import cut, held_out
 
-WORDS, PAIRS = 1 << 19, 1 << 20
+WORDS, PAIRS = 1 << 18, 1 << 19
 #: Labelled rows, chosen by a hash of their id, on which scores are fitted to labels.
 FITTED_ROWS = 20_000
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_SHIFT = np.uint64(64 - (PAIRS.bit_length() - 1))
 FEATURES = 3
 
 
@@ -95,6 +96,12 @@ def _discount(n: DataFrame) -> dict[bool, float]:
     return {r.toxic: min(0.95, max(0.1, r.n1 / (r.n1 + 2 * r.n2))) if r.n1 else 0.75 for r in rows}
 
 
+def _columns(table: DataFrame) -> dict[str, np.ndarray]:
+    """The columns of a table of bounded size."""
+    arrow = table.toArrow()
+    return {name: arrow.column(name).to_numpy() for name in arrow.column_names}
+
+
 class Model:
     """Log-likelihood ratios by word slot and by the kept bigrams."""
 
@@ -110,7 +117,7 @@ class Model:
         ratio = np.log(toxic / plain)
         if len(w) > 1:
             keys = w[:-1] * WORDS + w[1:]
-            slot = ((keys.astype(np.uint64) * _MIX) >> np.uint64(44)).astype(np.int64)
+            slot = ((keys.astype(np.uint64) * _MIX) >> _SHIFT).astype(np.int64)
             hit = self.tags[slot] == keys
             seen = np.where(hit, self.pair[:, slot], 0)
             both = seen + self.open[:, w[:-1]] * np.stack([toxic[1:], plain[1:]])
@@ -125,38 +132,37 @@ def model(n: DataFrame) -> Model:
     discounts = _discount(n)
     pairs, single = n.where("a >= 0"), n.where("a < 0")
     # Shared backoff: the number of contexts in which a word occurs, in either class.
-    context = pairs.select("a", "b").distinct().groupBy("b").agg(F.count("*").alias("contexts")).toPandas()
+    context = _columns(pairs.select("a", "b").distinct().groupBy("b").agg(F.count("*").alias("contexts")))
     shared = np.full(WORDS, 0.5)
-    shared[context["b"].to_numpy(np.int64)] += context["contexts"].to_numpy(float)
+    shared[context["b"]] += context["contexts"]
     shared /= shared.sum()
     words, open_ = np.empty((2, WORDS)), np.ones((2, WORDS))
-    by_first = pairs.groupBy("toxic", "a").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
-    alone = single.groupBy("toxic", "b").agg(F.sum("n").alias("n")).toPandas()
+    by_first = _columns(pairs.groupBy("toxic", "a").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
+    alone = _columns(single.groupBy("toxic", "b").agg(F.sum("n").alias("n")))
     totals = np.zeros((2, WORDS))
     for i, toxic in enumerate((True, False)):
         d = discounts.get(toxic, 0.75)
-        own = alone[alone["toxic"] == toxic]
+        own = alone["toxic"] == toxic
         count = np.zeros(WORDS)
-        count[own["b"].to_numpy(np.int64)] = own["n"].to_numpy(float)
+        count[alone["b"][own]] = alone["n"][own]
         total = max(count.sum(), 1.0)
         # One count is little evidence in so open a vocabulary: it is discounted whole.
         taken = np.minimum(count, 1.0 + d)
         words[i] = (count - taken) / total + max(taken.sum() / total, 1e-9) * shared
-        rows = by_first[by_first["toxic"] == toxic]
-        at, sums, kinds = (rows[c].to_numpy(float) for c in ("a", "n", "kinds"))
-        at = at.astype(np.int64)
+        own = by_first["toxic"] == toxic
+        at, sums, kinds = (by_first[c][own] for c in ("a", "n", "kinds"))
         open_[i, at], totals[i, at] = d * kinds / sums, sums
     key = (F.col("a") * F.lit(WORDS) + F.col("b")).alias("key")
     both = pairs.groupBy(key).agg(
         F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic"), 0).otherwise(F.col("n"))).alias("p")
     )
     kept = _by_slot(both.where("t + p > 1"))
-    table = kept.toPandas()
+    table = _columns(kept)
     tags, pair = np.full(PAIRS, -1, np.int64), np.zeros((2, PAIRS))
-    at, keys = table["slot"].to_numpy(np.int64), table["key"].to_numpy(np.int64)
+    at, keys = table["slot"], table["key"]
     tags[at] = keys
     for i, (column, toxic) in enumerate((("t", True), ("p", False))):
-        seen, d = table[column].to_numpy(float), discounts.get(toxic, 0.75)
+        seen, d = table[column], discounts.get(toxic, 0.75)
         first = totals[i, keys // WORDS]
         pair[i, at] = np.where(seen > 0, np.maximum(seen - d, 0) / np.maximum(first, 1), 0)
     return Model(words, open_, tags, pair)
@@ -168,7 +174,7 @@ def _by_slot(both: DataFrame) -> DataFrame:
     def place(batches):
         for batch in batches:
             keys = batch.column("key").to_numpy().astype(np.uint64)
-            slot = ((keys * _MIX) >> np.uint64(44)).astype(np.int64)
+            slot = ((keys * _MIX) >> _SHIFT).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns], names=["slot", "key", "t", "p"])
 
     slotted = both.mapInArrow(place, "slot long, key long, t long, p long")

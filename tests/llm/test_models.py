@@ -1,0 +1,64 @@
+import random
+
+import numpy as np
+from texts import DOCS, documents, is_held_out, odd_texts
+
+from dockflow.llm import language, toxicity
+
+SYLLABLES = {"en": "the ing er on an re at en nd".split(), "de": "ein sch ung keit der ver zu ich".split(), "fr": "eau oi eux ai ch que le re".split()}
+
+
+def _say(rng, lang, n):
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def test_language(spark):
+    rng = random.Random(1)
+    langs = [rng.choice(list(SYLLABLES)) for _ in range(240)]
+    texts = [_say(rng, lang, rng.randint(20, 60)) for lang in langs] + [None, "", "123 !?", "x" * 40_000, texts0 := "the then", texts0]
+    docs = documents(spark, texts, langs + [None] * 6, clashing=True)
+    truth = {i * 3 + 1: lang for i, lang in enumerate(langs)}
+    got = {r.doc_id: r for r in language.identify(docs).collect()}
+    assert len(got) == len(texts)
+    held = [d for d in truth if is_held_out(d)]
+    assert all(got[d].held_out == is_held_out(d) for d in got)
+    assert np.mean([got[d].lang_pred == truth[d] for d in held]) > 0.97
+    assert [got[(240 + i) * 3 + 1].lang_pred for i in range(3)] == ["und"] * 3
+    assert all(0 <= r.score <= 1 for r in got.values())
+    assert language.identify(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_profiles_count_every_learnable_text(spark):
+    texts = [t for t in odd_texts() if t]
+    docs = documents(spark, texts)
+    learnt = [t for i, t in enumerate(texts) if not is_held_out(i * 3 + 1)]
+    counts = {}
+    for t in learnt:
+        codes, at, _ = language.grams([t])
+        for c, n in zip(codes.tolist(), np.bincount(at, minlength=len(codes)).tolist()):
+            counts[c] = counts.get(c, 0) + n
+    want = sorted(counts, key=lambda c: (-counts[c], c))[: language.PROFILE]
+    assert language.profiles(docs)["en"].tolist() == want
+
+
+def test_toxicity(spark):
+    rng = random.Random(2)
+    rude = "idiot moron scum loser".split()
+    texts, toxic = [], []
+    for i in range(400):
+        words = _say(rng, "en", 60).split()
+        toxic.append(i % 5 == 0)
+        if toxic[-1]:
+            for _ in range(6):
+                words[rng.randrange(60)] = rng.choice(rude)
+        texts.append(" ".join(words))
+    docs = documents(spark, texts + [None, "", "..."], clashing=True)
+    labels = spark.createDataFrame([(i * 3 + 1, 1, int(t)) for i, t in enumerate(toxic)] + [(None, 1, 1), (1, None, None), (10**6, 1, 1)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    assert len(got) == len(texts) + 3
+    held = [i for i in range(400) if is_held_out(i * 3 + 1)]
+    assert np.mean([got[i * 3 + 1].predicted == int(toxic[i]) for i in held]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got.values())
+    none = labels.limit(0)
+    assert toxicity.score(docs, none).where("predicted = 1").count() == 0
+    assert toxicity.score(spark.createDataFrame([], DOCS), labels).count() == 0
