@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import cut, held_out
+from dockflow.llm.common import held_out
+from dockflow.session import scratch_path
 
 WORDS, PAIRS = 1 << 18, 1 << 19
 #: Labelled rows, chosen by a hash of their id, on which scores are fitted to labels.
@@ -54,8 +55,10 @@ def word_slots(text: str | None) -> np.ndarray:
 
 
 def counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(half, toxic, a, b, n): how often slot b follows a; a is -1 for single
-    words. Only rows that aren't held out are read; ``half`` parts them in two."""
+    """(a, b, toxic, plain, half_toxic, half_plain): how often slot b follows a in
+    texts of either class, and in one half of these; a is -1 for single words.
+    Only rows that aren't held out are read. One shuffle, of partial counts; the
+    table is written, as everything else is drawn from it."""
     label = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     label = label.groupBy(F.col("doc_id").alias("name")).agg(F.max("toxic").alias("toxic"))
     learnt = docs.where(~held_out(doc_id) & F.col(text).isNotNull())
@@ -87,13 +90,21 @@ def counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         yield from flush()
 
     counted = known.mapInArrow(count, "half boolean, toxic boolean, a long, b long, n long")
-    return counted.groupBy("half", "toxic", "a", "b").agg(F.sum("n").alias("n"))
+    n = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
+    toxic, half = F.col("toxic"), F.col("half")
+    summed = counted.groupBy("a", "b").agg(
+        n(toxic).alias("toxic"), n(~toxic).alias("plain"), n(half & toxic).alias("half_toxic"), n(half & ~toxic).alias("half_plain")
+    )
+    path = scratch_path(docs.sparkSession, "pairs")
+    summed.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
 
-def _discount(n: DataFrame) -> dict[bool, float]:
+def _discounts(pairs: DataFrame) -> tuple[float, float]:
     """Kneser-Ney discount of each class from how many counts are 1 and 2."""
-    rows = n.where("a >= 0").groupBy("toxic").agg(F.sum((F.col("n") == 1).cast("long")).alias("n1"), F.sum((F.col("n") == 2).cast("long")).alias("n2")).collect()
-    return {r.toxic: min(0.95, max(0.1, r.n1 / (r.n1 + 2 * r.n2))) if r.n1 else 0.75 for r in rows}
+    times = lambda c, n: F.sum((F.col(c) == n).cast("long"))
+    row = pairs.agg(times("t", 1), times("t", 2), times("p", 1), times("p", 2)).first()
+    return tuple(min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.75 for n1, n2 in (row[:2], row[2:]))
 
 
 def _columns(table: DataFrame) -> dict[str, np.ndarray]:
@@ -127,44 +138,36 @@ class Model:
 
 
 def model(n: DataFrame) -> Model:
-    """The model of a count table (toxic, a, b, n). At most ``PAIRS`` bigrams and
+    """The model of a count table (a, b, t, p). At most ``PAIRS`` bigrams and
     ``WORDS`` words come to the driver."""
-    discounts = _discount(n)
-    pairs, single = n.where("a >= 0"), n.where("a < 0")
+    n = n.where("t + p > 0")
+    pairs = n.where("a >= 0")
+    discounts = _discounts(pairs)
     # Shared backoff: the number of contexts in which a word occurs, in either class.
-    context = _columns(pairs.select("a", "b").distinct().groupBy("b").agg(F.count("*").alias("contexts")))
+    context = _columns(pairs.groupBy("b").agg(F.count("*").alias("contexts")))
     shared = np.full(WORDS, 0.5)
     shared[context["b"]] += context["contexts"]
     shared /= shared.sum()
-    words, open_ = np.empty((2, WORDS)), np.ones((2, WORDS))
-    by_first = _columns(pairs.groupBy("toxic", "a").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")))
-    alone = _columns(single.groupBy("toxic", "b").agg(F.sum("n").alias("n")))
-    totals = np.zeros((2, WORDS))
-    for i, toxic in enumerate((True, False)):
-        d = discounts.get(toxic, 0.75)
-        own = alone["toxic"] == toxic
+    words, open_, totals = np.empty((2, WORDS)), np.ones((2, WORDS)), np.zeros((2, WORDS))
+    kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds") for c in "tp"]
+    first = _columns(pairs.groupBy("a").agg(F.sum("t").alias("t"), F.sum("p").alias("p"), *kinds))
+    alone = _columns(n.where("a < 0").groupBy("b").agg(F.sum("t").alias("t"), F.sum("p").alias("p")))
+    table = _columns(_by_slot(pairs.where("t + p > 1").select((F.col("a") * F.lit(WORDS) + F.col("b")).alias("key"), "t", "p")))
+    tags, pair = np.full(PAIRS, -1, np.int64), np.zeros((2, PAIRS))
+    slot, keys = table["slot"], table["key"]
+    tags[slot] = keys
+    for i, (c, d) in enumerate(zip("tp", discounts)):
         count = np.zeros(WORDS)
-        count[alone["b"][own]] = alone["n"][own]
+        count[alone["b"]] = alone[c]
         total = max(count.sum(), 1.0)
         # One count is little evidence in so open a vocabulary: it is discounted whole.
         taken = np.minimum(count, 1.0 + d)
         words[i] = (count - taken) / total + max(taken.sum() / total, 1e-9) * shared
-        own = by_first["toxic"] == toxic
-        at, sums, kinds = (by_first[c][own] for c in ("a", "n", "kinds"))
-        open_[i, at], totals[i, at] = d * kinds / sums, sums
-    key = (F.col("a") * F.lit(WORDS) + F.col("b")).alias("key")
-    both = pairs.groupBy(key).agg(
-        F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic"), 0).otherwise(F.col("n"))).alias("p")
-    )
-    kept = _by_slot(both.where("t + p > 1"))
-    table = _columns(kept)
-    tags, pair = np.full(PAIRS, -1, np.int64), np.zeros((2, PAIRS))
-    at, keys = table["slot"], table["key"]
-    tags[at] = keys
-    for i, (column, toxic) in enumerate((("t", True), ("p", False))):
-        seen, d = table[column], discounts.get(toxic, 0.75)
-        first = totals[i, keys // WORDS]
-        pair[i, at] = np.where(seen > 0, np.maximum(seen - d, 0) / np.maximum(first, 1), 0)
+        seen = first[c] > 0
+        at = first["a"][seen]
+        totals[i, at] = first[c][seen]
+        open_[i, at] = d * first[f"{c}_kinds"][seen] / first[c][seen]
+        pair[i, slot] = np.maximum(table[c] - d, 0) / np.maximum(totals[i, keys // WORDS], 1)
     return Model(words, open_, tags, pair)
 
 
@@ -225,15 +228,14 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     labels and null ids teach nothing; with labels of one kind only, or none,
     every score is near that kind's end. One row per row.
     """
-    counted = cut(counts(docs, labels, doc_id, text))
-    by_half = counted.where("half").select("toxic", "a", "b", "n")
-    first = model(by_half)
+    counted = counts(docs, labels, doc_id, text)
+    first = model(counted.select("a", "b", F.col("half_toxic").alias("t"), F.col("half_plain").alias("p")))
     label = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("name")).agg((F.max("toxic") >= 1).alias("toxic"))
     own = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"))
     sample = own.where(F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 2).join(label, "name").orderBy(F.xxhash64("name"), "name").limit(FITTED_ROWS)
     fitted = _features(sample.select("name", "body", "toxic"), first, "toxic", "boolean").toPandas()
     weights, scale = fit(fitted[[f"f{i}" for i in range(FEATURES)]].to_numpy(float), fitted["toxic"].to_numpy(float))
-    whole = model(counted.groupBy("toxic", "a", "b").agg(F.sum("n").alias("n")))
+    whole = model(counted.select("a", "b", F.col("toxic").alias("t"), F.col("plain").alias("p")))
     rows = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"), held_out(doc_id).alias("held"))
     logit = sum((F.col(f"f{i}") * F.lit(float(weights[i] / scale[i])) for i in range(FEATURES)), F.lit(float(weights[-1])))
     value = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
