@@ -277,7 +277,8 @@ def run_walk(
     ``moves(joined)`` is SQL text over the state joined with its origin's row for
     the current context (bikes ``x``, ``rate``, ``dests``) that gives rows
     (station_name, moved, is_self, other state columns). A step sums ``moved``
-    per key and clips it to [0, capacity]; the values of earlier steps ride along
+    per key, rounded to nine digits as sums differ in their last ones with the
+    order of addition, and clips it to [0, capacity]; the values of earlier steps ride along
     on the self rows, so each step reads the state once and plans grow linearly.
     Every few steps the lineage is cut. There is one plan for every size: the
     state meets ``table`` (see ``walk_edges``) where that lies, and arrivals are
@@ -295,7 +296,7 @@ def run_walk(
         # Two inequalities: an equality would become a key, and the table is laid out by fold and origin.
         joined = f"""(SELECT s.*, e.rate, e.dests FROM {at} s JOIN {{table}} e
             ON e.fold_id = s.fold_id AND e.from_station = s.station_name AND e.context <= s.now AND e.context >= s.now)"""
-        return f"""s{n} AS (SELECT *, greatest(0D, least(capacity, total)) AS x{n} FROM (
+        return f"""s{n} AS (SELECT *, greatest(0D, least(capacity, round(total, 9))) AS x{n} FROM (
             SELECT {by}, {carried}, sum(moved) AS total FROM ({moves(joined)}) GROUP BY {by}))"""
 
     pieces = [state.select(*keys, F.lit(0).alias("piece"), F.array("x0").alias("values"))]

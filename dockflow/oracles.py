@@ -753,7 +753,7 @@ def markov_walk(last: int) -> str:
             least(coalesce(d.rate, 0), w.bikes) AS leaving
         FROM mk_walk w LEFT JOIN rates d ON d.fold_id = w.fold_id AND d.hour = hour(w.ts + INTERVAL 1 HOUR)
             AND d.is_weekend = {WEEKEND.format('(w.ts + INTERVAL 1 HOUR)')} AND d.from_station = w.station_name WHERE w.i < {last})
-        SELECT fold_id, station_name, i, ts, least(coalesce(max(capacity), 30.0::DOUBLE), greatest(0.0::DOUBLE, sum(m))) AS bikes, max(capacity) AS capacity
+        SELECT fold_id, station_name, i, ts, least(coalesce(max(capacity), 30.0::DOUBLE), greatest(0.0::DOUBLE, round(sum(m), 9))) AS bikes, max(capacity) AS capacity
         FROM (SELECT fold_id, station_name, i, ts, bikes - leaving AS m, capacity FROM nxt
             UNION ALL SELECT n.fold_id, e.to_station, n.i, n.ts, e.prob * n.leaving, NULL FROM nxt n JOIN edges e ON e.fold_id = n.fold_id
                 AND e.hour = hour(n.ts) AND e.is_weekend = {WEEKEND.format('n.ts')} AND e.from_station = n.station_name)
