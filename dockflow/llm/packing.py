@@ -81,7 +81,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict
         with np.errstate(divide="ignore", invalid="ignore"):
             inverse = np.where(demand > 0, 1 / demand, 0.0)
         for _ in range(ROUNDS):
-            weights = inverse * np.exp(-RATE * (cover - cover[demand > 0].min()))
+            weights = inverse * np.exp(-RATE * np.maximum(cover - cover[demand > 0].min(), 0))
             config = {k: n for k, n in _price(weights, capacity).items() if demand[k] > 0}
             if not config:
                 break
