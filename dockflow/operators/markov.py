@@ -269,7 +269,7 @@ def walk_state(init: DataFrame) -> DataFrame:
 
 
 def run_walk(
-    state: DataFrame, keys: list[str], table: DataFrame, steps: int, seconds: int, moves: Callable[[str], str]
+    state: DataFrame, keys: list[str], table: DataFrame, steps: int, seconds: int, moves: Callable[[str], str], per_plan: int = _STEPS_PER_PLAN
 ) -> DataFrame:
     """Walk ``steps`` values from ``state`` and return (*keys, piece, values): the
     path of each key in pieces labelled with their last step.
@@ -280,7 +280,7 @@ def run_walk(
     per key, rounded to nine digits as sums differ in their last ones with the
     order of addition, and clips it to [0, capacity]; the values of earlier steps ride along
     on the self rows, so each step reads the state once and plans grow linearly.
-    Every few steps the lineage is cut. There is one plan for every size: the
+    Every ``per_plan`` steps the lineage is cut. There is one plan for every size: the
     state meets ``table`` (see ``walk_edges``) where that lies, and arrivals are
     summed before they travel.
     """
@@ -302,7 +302,7 @@ def run_walk(
     pieces = [state.select(*keys, F.lit(0).alias("piece"), F.array("x0").alias("values"))]
     done = 0
     while done < steps - 1:
-        upto = min(done + _STEPS_PER_PLAN, steps - 1)
+        upto = min(done + per_plan, steps - 1)
         n = upto - done
         chain = ",\n".join(step_sql(i) for i in range(1, n + 1))
         columns = ", ".join(f"x{i}" for i in range(n + 1))
