@@ -30,9 +30,10 @@ WORDS, PAIRS = 1 << 18, 1 << 19
 FITTED_ROWS = 20_000
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(64 - (PAIRS.bit_length() - 1))
+#: A pair's slot is in the middle bits of its key times _MIX; a product stays below 2**62.
+_MIX, _SHIFT, _KEY = 0x1E3779B, 24, (1 << 37) - 1
 FEATURES = 3
+COUNTS = ["toxic", "plain", "half_toxic", "half_plain"]
 
 
 class _Slots(dict):
@@ -54,11 +55,16 @@ def word_slots(text: str | None) -> np.ndarray:
     return np.array([slots[w] for w in _WORD.findall((text or "").lower())], np.int64)
 
 
+def _pair_keys(words: np.ndarray) -> np.ndarray:
+    return (words[:-1] + 1) * WORDS + words[1:]
+
+
 def counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b, toxic, plain, half_toxic, half_plain): how often slot b follows a in
-    texts of either class, and in one half of these; a is -1 for single words.
-    Only rows that aren't held out are read. One shuffle, of partial counts; the
-    table is written, as everything else is drawn from it."""
+    """(key, toxic, plain, half_toxic, half_plain): how often a word or pair occurs
+    in texts of either class, and in one half of these. A word's key is its slot, a
+    pair's is (first slot + 1) * WORDS + second slot. Only rows that aren't held out
+    are read. One shuffle, of partial counts; the table is written, as everything
+    else is drawn from it."""
     label = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     label = label.groupBy(F.col("doc_id").alias("name")).agg(F.max("toxic").alias("toxic"))
     learnt = docs.where(~held_out(doc_id) & F.col(text).isNotNull())
@@ -70,41 +76,38 @@ def counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         size = 0
 
         def flush():
-            for (half, toxic), parts in waiting.items():
-                keys, n = np.unique(np.concatenate(parts), return_counts=True)
-                a, b = keys // WORDS - 1, keys % WORDS
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([half] * len(n), pa.bool_()), pa.array([toxic] * len(n), pa.bool_()), pa.array(a), pa.array(b), pa.array(n.astype(np.int64))],
-                    names=["half", "toxic", "a", "b", "n"],
-                )
+            found = {kind: np.unique(np.concatenate(parts), return_counts=True) for kind, parts in waiting.items()}
+            if not found:
+                return
+            keys = np.unique(np.concatenate([k for k, _ in found.values()]))
+            table = np.zeros((len(COUNTS), len(keys)), np.int64)
+            for (half, toxic), (own, n) in found.items():
+                at = np.searchsorted(keys, own)
+                table[0 if toxic else 1, at] += n
+                if half:
+                    table[2 if toxic else 3, at] += n
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, table)], names=["key", *COUNTS])
 
         for batch in batches:
             for half, toxic, body in zip(*(c.to_pylist() for c in batch.columns)):
                 words = word_slots(body)
-                # A single word's key is the word, a pair's is behind those.
-                waiting.setdefault((half, toxic), []).extend([words, (words[:-1] + 1) * WORDS + words[1:]])
+                waiting.setdefault((half, toxic), []).extend([words, _pair_keys(words)])
                 size += 2 * len(words)
             if size > 4_000_000:
                 yield from flush()
                 waiting, size = {}, 0
         yield from flush()
 
-    counted = known.mapInArrow(count, "half boolean, toxic boolean, a long, b long, n long")
-    n = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
-    toxic, half = F.col("toxic"), F.col("half")
-    summed = counted.groupBy("a", "b").agg(
-        n(toxic).alias("toxic"), n(~toxic).alias("plain"), n(half & toxic).alias("half_toxic"), n(half & ~toxic).alias("half_plain")
-    )
+    counted = known.mapInArrow(count, "key long, " + ", ".join(f"{c} long" for c in COUNTS))
+    summed = counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS])
     path = scratch_path(docs.sparkSession, "pairs")
     summed.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
-def _discounts(pairs: DataFrame) -> tuple[float, float]:
-    """Kneser-Ney discount of each class from how many counts are 1 and 2."""
-    times = lambda c, n: F.sum((F.col(c) == n).cast("long"))
-    row = pairs.agg(times("t", 1), times("t", 2), times("p", 1), times("p", 2)).first()
-    return tuple(min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.75 for n1, n2 in (row[:2], row[2:]))
+def _discount(once: int, twice: int) -> float:
+    """A class's Kneser-Ney discount from how many of its pairs occur once and twice."""
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.75
 
 
 def _columns(table: DataFrame) -> dict[str, np.ndarray]:
@@ -127,8 +130,8 @@ class Model:
         toxic, plain = self.words[0, w], self.words[1, w]
         ratio = np.log(toxic / plain)
         if len(w) > 1:
-            keys = w[:-1] * WORDS + w[1:]
-            slot = ((keys.astype(np.uint64) * _MIX) >> _SHIFT).astype(np.int64)
+            keys = _pair_keys(w)
+            slot = ((keys * _MIX) >> _SHIFT) & (PAIRS - 1)
             hit = self.tags[slot] == keys
             seen = np.where(hit, self.pair[:, slot], 0)
             both = seen + self.open[:, w[:-1]] * np.stack([toxic[1:], plain[1:]])
@@ -137,28 +140,39 @@ class Model:
         return np.array([ratio.mean(), ratio.sum() / np.sqrt(len(ratio)), lead.mean()])
 
 
-def model(n: DataFrame) -> Model:
-    """The model of a count table (a, b, t, p). At most ``PAIRS`` bigrams and
-    ``WORDS`` words come to the driver."""
-    n = n.where("t + p > 0")
+def models(counted: DataFrame) -> tuple[Model, Model]:
+    """The models of one half of the learnable rows and of all of them.
+
+    Four passes over the counts serve both. At most ``PAIRS`` bigrams and
+    ``WORDS`` words come to the driver.
+    """
+    a, b = F.shiftright("key", WORDS.bit_length() - 1) - 1, F.col("key").bitwiseAND(WORDS - 1)
+    n = counted.withColumns({"a": a, "b": b})
     pairs = n.where("a >= 0")
-    discounts = _discounts(pairs)
+    rows = pairs.agg(*[F.count_if(F.col(c) == times).alias(f"{c}{times}") for c in COUNTS for times in (1, 2)]).first()
     # Shared backoff: the number of contexts in which a word occurs, in either class.
-    context = _columns(pairs.groupBy("b").agg(F.count("*").alias("contexts")))
+    contexts = [F.count_if((F.col("a") >= 0) & (F.col(t) + F.col(p) > 0)).alias(f"{t}_contexts") for t, p in (COUNTS[:2], COUNTS[2:])]
+    alone = [F.sum(F.when(F.col("a") < 0, F.col(c)).otherwise(0)).alias(c) for c in COUNTS]
+    second = _columns(n.groupBy("b").agg(*contexts, *alone))
+    kinds = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in COUNTS]
+    first = _columns(pairs.groupBy("a").agg(*[F.sum(c).alias(c) for c in COUNTS], *kinds))
+    lead = _columns(_by_slot(pairs))
+    discounts = [_discount(rows[f"{c}1"], rows[f"{c}2"]) for c in COUNTS]
+    return tuple(_model(COUNTS[i : i + 2], discounts[i : i + 2], second, first, lead) for i in (2, 0))
+
+
+def _model(names: list[str], discounts: list[float], second: dict, first: dict, lead: dict) -> Model:
     shared = np.full(WORDS, 0.5)
-    shared[context["b"]] += context["contexts"]
+    shared[second["b"]] += second[f"{names[0]}_contexts"]
     shared /= shared.sum()
     words, open_, totals = np.empty((2, WORDS)), np.ones((2, WORDS)), np.zeros((2, WORDS))
-    kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"{c}_kinds") for c in "tp"]
-    first = _columns(pairs.groupBy("a").agg(F.sum("t").alias("t"), F.sum("p").alias("p"), *kinds))
-    alone = _columns(n.where("a < 0").groupBy("b").agg(F.sum("t").alias("t"), F.sum("p").alias("p")))
-    table = _columns(_by_slot(pairs.where("t + p > 1").select((F.col("a") * F.lit(WORDS) + F.col("b")).alias("key"), "t", "p")))
     tags, pair = np.full(PAIRS, -1, np.int64), np.zeros((2, PAIRS))
-    slot, keys = table["slot"], table["key"]
+    kept = lead[f"{names[0]}_rank"] > 0
+    slot, keys = lead["slot"][kept], lead[f"{names[0]}_rank"][kept] & _KEY
     tags[slot] = keys
-    for i, (c, d) in enumerate(zip("tp", discounts)):
+    for i, (c, d) in enumerate(zip(names, discounts)):
         count = np.zeros(WORDS)
-        count[alone["b"]] = alone[c]
+        count[second["b"]] = second[c]
         total = max(count.sum(), 1.0)
         # One count is little evidence in so open a vocabulary: it is discounted whole.
         taken = np.minimum(count, 1.0 + d)
@@ -167,22 +181,26 @@ def model(n: DataFrame) -> Model:
         at = first["a"][seen]
         totals[i, at] = first[c][seen]
         open_[i, at] = d * first[f"{c}_kinds"][seen] / first[c][seen]
-        pair[i, slot] = np.maximum(table[c] - d, 0) / np.maximum(totals[i, keys // WORDS], 1)
+        pair[i, slot] = np.maximum(lead[c][kept] - d, 0) / np.maximum(totals[i, keys // WORDS - 1], 1)
     return Model(words, open_, tags, pair)
 
 
-def _by_slot(both: DataFrame) -> DataFrame:
-    """The most frequent bigram of each slot: (slot, key, t, p)."""
+def _by_slot(pairs: DataFrame) -> DataFrame:
+    """The most frequent bigram of each slot that occurs more than once (ties:
+    the larger key), as its rank and counts, for all rows and for the half.
 
-    def place(batches):
-        for batch in batches:
-            keys = batch.column("key").to_numpy().astype(np.uint64)
-            slot = ((keys * _MIX) >> _SHIFT).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns], names=["slot", "key", "t", "p"])
-
-    slotted = both.mapInArrow(place, "slot long, key long, t long, p long")
-    best = F.max(F.struct(F.col("t") + F.col("p"), "key", "t", "p"))
-    return slotted.groupBy("slot").agg(best.alias("best")).select("slot", "best.key", "best.t", "best.p")
+    A rank is the count, up to 2**26 - 1, before the key: one number, so that the
+    aggregation keeps fixed-width buffers and needs no sort. 0 means none.
+    """
+    slot = F.shiftright(F.col("key") * F.lit(_MIX), _SHIFT).bitwiseAND(PAIRS - 1)
+    best, ranks = [], {"slot": slot}
+    for t, p in (COUNTS[:2], COUNTS[2:]):
+        n = F.least(F.col(t) + F.col(p), F.lit((1 << 26) - 1))
+        rank = f"{t}_rank"
+        ranks[rank] = F.when(n > 1, n * F.lit(_KEY + 1) + F.col("key")).otherwise(0)
+        best += [F.max(rank).alias(rank), F.max_by(t, rank).alias(t), F.max_by(p, rank).alias(p)]
+    some = F.col(f"{COUNTS[0]}_rank") > 0
+    return pairs.withColumns(ranks).where(some).groupBy("slot").agg(*best)
 
 
 def fit(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,14 +246,12 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     labels and null ids teach nothing; with labels of one kind only, or none,
     every score is near that kind's end. One row per row.
     """
-    counted = counts(docs, labels, doc_id, text)
-    first = model(counted.select("a", "b", F.col("half_toxic").alias("t"), F.col("half_plain").alias("p")))
+    first, whole = models(counts(docs, labels, doc_id, text))
     label = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("name")).agg((F.max("toxic") >= 1).alias("toxic"))
     own = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"))
     sample = own.where(F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 2).join(label, "name").orderBy(F.xxhash64("name"), "name").limit(FITTED_ROWS)
     fitted = _features(sample.select("name", "body", "toxic"), first, "toxic", "boolean").toPandas()
     weights, scale = fit(fitted[[f"f{i}" for i in range(FEATURES)]].to_numpy(float), fitted["toxic"].to_numpy(float))
-    whole = model(counted.select("a", "b", F.col("toxic").alias("t"), F.col("plain").alias("p")))
     rows = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"), held_out(doc_id).alias("held"))
     logit = sum((F.col(f"f{i}") * F.lit(float(weights[i] / scale[i])) for i in range(FEATURES)), F.lit(float(weights[-1])))
     value = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
