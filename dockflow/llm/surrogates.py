@@ -65,6 +65,11 @@ PATTERNS = [
     ("name", rf"\b(?P<title>{_TITLE})\b(?P<gap>\.? )(?P<person>{_NAME}(?: {_NAME})?)"),
 ]
 _ANY = re.compile("|".join(f"(?P<{kind}>{p})" for kind, p in PATTERNS))
+# Without one of these there is no mention: keywords of assignments in any case,
+# heads of names and secrets, and a digit or an @ for all other kinds.
+_KEYWORDS = ["password", "passwd", "pwd", "token", "secret", "api"]
+_HEADS = ["AKIA", *(t for ts in TITLES.values() for t in ts)]
+_SIGN = re.compile(r"[\d@]")
 
 
 def _hash(key: bytes, *parts: str) -> int:
@@ -209,10 +214,30 @@ def styled(kind: str, found: str, made: str) -> str:
     return made
 
 
+def _spans(text: str) -> list[tuple[int, int]]:
+    """The parts of a text that can hold mentions.
+
+    Only an assignment may run over a line's end, and it needs its keyword; every
+    other kind needs a digit, an @, a title or the head of a secret in its line.
+    """
+    folded = text.casefold()
+    if any(k in folded for k in _KEYWORDS) or any(c in text for c in "\u0130\u0131\u017f"):
+        return [(0, len(text))]
+    heads = [h for h in _HEADS if h in text]
+    if not heads and not _SIGN.search(text):
+        return []
+    out, a = [], 0
+    for line in text.split("\n"):
+        if any(h in line for h in heads) or _SIGN.search(line):
+            out.append((a, a + len(line)))
+        a += len(line) + 1
+    return out
+
+
 def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
     """(start, end, kind, found, entity) of every mention in a text."""
     out = []
-    for m in _ANY.finditer(text):
+    for m in (m for a, b in _spans(text) for m in _ANY.finditer(text, a, b)):
         kind = m.lastgroup if m.lastgroup in _KINDS else next(k for k in _KINDS if m.group(k) is not None)
         group = {"assigned": "value", "name": "person"}.get(kind, kind)
         found = m.group(group)
