@@ -57,7 +57,7 @@ def trips_by_station(trips: DataFrame) -> DataFrame:
             "arrivals",
             (F.col("departures") + F.col("arrivals")).alias("total_trips"),
         )
-        .orderBy(F.desc("total_trips"))
+        .orderBy(F.desc("total_trips"), "station_name", "departures")
     )
 
 

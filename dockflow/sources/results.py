@@ -46,8 +46,9 @@ def append_results(df: DataFrame, path: str) -> None:
 
 def latest_per_model(results: DataFrame) -> DataFrame:
     """The rows of each model's latest run."""
-    newest = Window.partitionBy("model").orderBy(F.desc("run_ts"))
-    return results.withColumn("nth", F.dense_rank().over(newest)).where(F.col("nth") == 1).drop("nth")
+    newest = results.groupBy(F.col("model").alias("of_model")).agg(F.max("run_ts").alias("newest"))
+    same = F.col("model").eqNullSafe(F.col("of_model")) & F.col("run_ts").eqNullSafe(F.col("newest"))
+    return results.join(newest, same, "left_semi")
 
 
 def read_result_documents(spark: SparkSession, path: str) -> DataFrame:

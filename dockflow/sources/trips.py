@@ -40,11 +40,24 @@ def _month_bounds(start: str | None, end: str | None) -> Column:
 
 
 def read_trips_parquet(
-    spark: SparkSession, root: str, start: str | None = None, end: str | None = None, whole_end_day: bool = False
+    spark: SparkSession,
+    root: str,
+    start: str | None = None,
+    end: str | None = None,
+    whole_end_day: bool = False,
+    filed_by_start: bool = False,
 ) -> DataFrame:
-    """Trips under ``year=/month=`` folders, partitions pruned by the range."""
+    """Trips under ``year=/month=`` folders.
+
+    Folders are named after the CSV part, which may hold trips that began in
+    another month, so the range is left to the row groups' statistics. Callers
+    who know that each trip lies in the folder of its start say so with
+    ``filed_by_start``; folders outside the range are then not opened.
+    """
     trips = spark.read.schema(TRIPS_PARTITIONED).parquet(root)
-    return trips.where(_month_bounds(start, end)).where(started_between(start, end, whole_end_day))
+    if filed_by_start:
+        trips = trips.where(_month_bounds(start, end))
+    return trips.where(started_between(start, end, whole_end_day))
 
 
 def csv_files(spark: SparkSession, root: str, glob: str) -> list[str]:

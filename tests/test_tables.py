@@ -68,9 +68,23 @@ def test_convert_merges_parts_and_is_idempotent(spark, csv_root, tmp_path):
     assert (totals.successful, totals.failed, totals.total_rows) == (2, 0, 6)
     back = trip_source.read_trips(spark, str(tmp_path), "2025-04-02", "2025-05-02")
     assert sorted(r.ride_id for r in back.collect()) == ["r1", "r2", "r20", "r9"]
-    plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters: [IsNotNull(started_at)" in plan
+    assert "PushedFilters: [IsNotNull(started_at)" in back._jdf.queryExecution().executedPlan().toString()
     assert {r.start_station_id for r in back.collect()} == {"12.3", "7"}
+    pruned = trip_source.read_trips_parquet(spark, f"{tmp_path}/parquet/trips", "2025-04-02", "2025-05-02", filed_by_start=True)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters: [IsNotNull(started_at)" in plan
+    assert sorted(r.ride_id for r in pruned.collect()) == ["r1", "r2", "r20", "r9"]
+
+
+def test_trips_filed_under_another_month_are_read(spark, tmp_path):
+    late = [trip(1, "2025-04-30 23:50:00"), trip(2, "2025-05-01 00:10:00")]
+    write_csv(tmp_path / "csv" / "202505-tripdata_1.csv", late)
+    target = str(tmp_path / "parquet" / "trips")
+    monthly.convert_months(spark, str(tmp_path / "csv"), target)
+    for whole_end_day, want in ((False, []), (True, ["r1"])):
+        for read, root in ((trip_source.read_trips_parquet, target), (trip_source.read_trips_csv, str(tmp_path / "csv"))):
+            got = read(spark, root, "2025-04-01", "2025-04-30", whole_end_day=whole_end_day)
+            assert sorted(r.ride_id for r in got.collect()) == want
 
 
 def test_csv_fallback_first_months_and_missing(spark, csv_root, tmp_path):
