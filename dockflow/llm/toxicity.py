@@ -14,15 +14,18 @@ most frequent keeps it, the others being scored by their words.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import held_out
+from dockflow.llm.common import cut, held_out, over_texts
 from dockflow.session import scratch_path
 
 WORDS, PAIRS = 1 << 18, 1 << 19
@@ -31,9 +34,16 @@ FITTED_ROWS = 20_000
 THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 #: A pair's slot is in the middle bits of its key times _MIX; a product stays below 2**62.
-_MIX, _SHIFT, _KEY = 0x1E3779B, 24, (1 << 37) - 1
+_MIX, _SHIFT = 0x1E3779B, 24
 FEATURES = 3
+#: How often a word or pair occurs in texts of either class, and in one half of
+#: these. A word's key is its slot, a pair's is (first slot + 1) * WORDS + second slot.
 COUNTS = ["toxic", "plain", "half_toxic", "half_plain"]
+#: Per word: its ``COUNTS``, those of all pairs that it begins, how many kinds of
+#: pairs these are, and in how many contexts it occurs (all rows, the half).
+FIGURES, RANGES = 14, 64
+#: Keys that a task holds before it sends them on, and words counted per owner.
+FLUSH, OWNED_WORDS = 4_000_000, 1_000_000
 
 
 class _Slots(dict):
@@ -59,50 +69,144 @@ def _pair_keys(words: np.ndarray) -> np.ndarray:
     return (words[:-1] + 1) * WORDS + words[1:]
 
 
-def counts(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, toxic, plain, half_toxic, half_plain): how often a word or pair occurs
-    in texts of either class, and in one half of these. A word's key is its slot, a
-    pair's is (first slot + 1) * WORDS + second slot. Only rows that aren't held out
-    are read. One shuffle, of partial counts; the table is written, as everything
-    else is drawn from it."""
+@lru_cache(1)
+def _zstd() -> tuple:
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes; their high planes are mostly zero."""
+    if not numbers.size:
+        return b""
+    planes = np.ascontiguousarray(numbers, "<i8").reshape(-1).view(np.uint8).reshape(-1, 8).T
+    return _zstd()[0].compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _opened(data: bytes, rows: int = 1) -> np.ndarray:
+    if not data:
+        return np.zeros((rows, 0), np.int64)
+    planes = np.frombuffer(_zstd()[1].decompress(bytes(data)), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(rows, -1)
+
+
+def _read_words(data: bytes) -> np.ndarray:
+    return _opened(data)[0]
+
+
+def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(name, toxic, n_words, words) of the labelled rows that aren't held out.
+
+    Texts become word slots before they meet their labels, so that no text is
+    shuffled; the join is the same at every size. The table is written, as both
+    the counts and the fitting read it.
+    """
     label = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-    label = label.groupBy(F.col("doc_id").alias("name")).agg(F.max("toxic").alias("toxic"))
-    learnt = docs.where(~held_out(doc_id) & F.col(text).isNotNull())
-    learnt = learnt.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"))
-    known = learnt.join(label, "name").select((F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 0).alias("half"), (F.col("toxic") >= 1).alias("toxic"), "body")
+    label = label.groupBy(F.col("doc_id").cast("long").alias("name")).agg((F.max("toxic") >= 1).alias("toxic"))
+    learnt = docs.where(~held_out(doc_id) & F.col(doc_id).isNotNull())
+
+    def run(batch):
+        words = [word_slots(t) for t in batch.column(1).to_pylist()]
+        packed = pa.array([_squeezed(w) for w in words], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(w) for w in words], pa.int64()), packed], names=["name", "n_words", "words"])
+
+    read = over_texts(learnt, [F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body")], run, "name long, n_words long, words binary")
+    path = scratch_path(docs.sparkSession, "labelled")
+    read.join(label.hint("merge"), "name").select("name", "toxic", "n_words", "words").write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
 
-    def count(batches):
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return ((keys * _MIX) >> _SHIFT) & (PAIRS - 1)
+
+
+def _summed(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their columns in ``table``."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(table[:, order], first, axis=1) if len(keys) else table
+
+
+def _partial_counts(known: DataFrame, owners: int) -> DataFrame:
+    """(owner, packed): sorted keys and their ``COUNTS``, added up by each task first."""
+
+    def run(batches):
         waiting: dict[tuple, list] = {}
         size = 0
 
         def flush():
-            found = {kind: np.unique(np.concatenate(parts), return_counts=True) for kind, parts in waiting.items()}
-            if not found:
-                return
-            keys = np.unique(np.concatenate([k for k, _ in found.values()]))
-            table = np.zeros((len(COUNTS), len(keys)), np.int64)
-            for (half, toxic), (own, n) in found.items():
-                at = np.searchsorted(keys, own)
-                table[0 if toxic else 1, at] += n
+            found = [(kind, *np.unique(np.concatenate(parts), return_counts=True)) for kind, parts in waiting.items()]
+            keys = np.concatenate([k for _, k, _ in found])
+            table, a = np.zeros((len(COUNTS), len(keys)), np.int64), 0
+            for (half, toxic), own, n in found:
+                table[0 if toxic else 1, a : a + len(own)] = n
                 if half:
-                    table[2 if toxic else 3, at] += n
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, table)], names=["key", *COUNTS])
+                    table[2 if toxic else 3, a : a + len(own)] = n
+                a += len(own)
+            keys, table = _summed(keys, table)
+            to = np.where(keys < WORDS, keys * owners // WORDS, _slot(keys) * owners // PAIRS)
+            order = np.argsort(to, kind="stable")
+            keys, table, to = keys[order], table[:, order], to[order]
+            starts = np.flatnonzero(np.diff(to, prepend=-1))
+            packed = []
+            for a, b in zip(starts, [*starts[1:], len(to)]):
+                packed.append(_squeezed(np.vstack([np.diff(keys[a:b], prepend=0), table[:, a:b]])))
+            yield pa.RecordBatch.from_arrays([pa.array(to[starts].astype(np.int32)), pa.array(packed, pa.binary())], names=["owner", "packed"])
 
         for batch in batches:
-            for half, toxic, body in zip(*(c.to_pylist() for c in batch.columns)):
-                words = word_slots(body)
+            for half, toxic, data in zip(*(c.to_pylist() for c in batch.columns)):
+                words = _read_words(data)
                 waiting.setdefault((half, toxic), []).extend([words, _pair_keys(words)])
                 size += 2 * len(words)
-            if size > 4_000_000:
-                yield from flush()
-                waiting, size = {}, 0
-        yield from flush()
-
-    counted = known.mapInArrow(count, "key long, " + ", ".join(f"{c} long" for c in COUNTS))
-    summed = counted.groupBy("key").agg(*[F.sum(c).alias(c) for c in COUNTS])
-    path = scratch_path(docs.sparkSession, "pairs")
-    summed.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.parquet(path)
+                if size > FLUSH:
+                    yield from flush()
+                    waiting, size = {}, 0
+        if size:
+            yield from flush()
+
+    half = (F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 0).alias("half")
+    return known.where("n_words > 0").select(half, "toxic", "words").mapInArrow(run, "owner int, packed binary")
+
+
+def _best(slot: np.ndarray, keys: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """(key, toxic, plain) of the most frequent pair of each slot that occurs more
+    than once; ties go to the larger key."""
+    n = toxic + plain
+    some = np.flatnonzero(n > 1)
+    order = some[np.lexsort((keys[some], n[some], slot[some]))]
+    last = np.flatnonzero(np.diff(slot[order], append=-1)) if len(order) else order
+    return np.vstack([keys[order[last]], toxic[order[last]], plain[order[last]]])
+
+
+def _owned(group: pd.DataFrame) -> pd.DataFrame:
+    """What one owner's counts say: leading pairs of its slots (kind -1 for all
+    rows, -2 for the half), counts of counts (-3), and per range of words the
+    figures of ``FIGURES`` (the range's number)."""
+    parts = [_opened(p, 1 + len(COUNTS)) for p in group["packed"]]
+    keys, table = _summed(np.concatenate([np.cumsum(p[0]) for p in parts]), np.concatenate([p[1:] for p in parts], axis=1))
+    words = np.searchsorted(keys, WORDS)
+    alone, pair, n = keys[:words], keys[words:], table[:, words:]
+    slot, first, second = _slot(pair), pair // WORDS - 1, pair % WORDS
+    rows = [(-1, _squeezed(_best(slot, pair, n[0], n[1]))), (-2, _squeezed(_best(slot, pair, n[2], n[3])))]
+    rows.append((-3, _squeezed(np.array([(c == times).sum() for c in n for times in (1, 2)]))))
+    figures = np.zeros((FIGURES, WORDS), np.int64)
+    for i in range(len(COUNTS)):
+        figures[i, alone] = table[i, :words]
+        figures[4 + i] = np.bincount(first, weights=n[i], minlength=WORDS)
+        figures[8 + i] = np.bincount(first[n[i] > 0], minlength=WORDS)
+    for i in (0, 1):
+        figures[12 + i] = np.bincount(second[n[2 * i] + n[2 * i + 1] > 0], minlength=WORDS)
+    step = WORDS // RANGES
+    rows += [(r, _squeezed(figures[:, r * step : (r + 1) * step])) for r in range(RANGES) if figures[:, r * step : (r + 1) * step].any()]
+    return pd.DataFrame(rows, columns=["kind", "packed"])
+
+
+def _added(group: pd.DataFrame) -> pd.DataFrame:
+    """One range's figures over all owners."""
+    total = np.zeros((FIGURES, WORDS // RANGES), np.int64)
+    for packed in group["packed"]:
+        total += _opened(packed, FIGURES)
+    return pd.DataFrame({"kind": group["kind"].iloc[:1], "packed": [_squeezed(total)]})
 
 
 def _discount(once: int, twice: int) -> float:
@@ -110,28 +214,21 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.75
 
 
-def _columns(table: DataFrame) -> dict[str, np.ndarray]:
-    """The columns of a table of bounded size."""
-    arrow = table.toArrow()
-    return {name: arrow.column(name).to_numpy() for name in arrow.column_names}
-
-
 class Model:
     """Log-likelihood ratios by word slot and by the kept bigrams."""
 
     def __init__(self, words: np.ndarray, open_: np.ndarray, tags: np.ndarray, pair: np.ndarray):
         self.words, self.open, self.tags, self.pair = words, open_, tags, pair
 
-    def features(self, text: str | None) -> np.ndarray:
+    def features(self, w: np.ndarray) -> np.ndarray:
         """(ratio per word, ratio per root of words, mean of the strongest fiftieth)."""
-        w = word_slots(text)
         if not len(w):
             return np.zeros(FEATURES)
         toxic, plain = self.words[0, w], self.words[1, w]
         ratio = np.log(toxic / plain)
         if len(w) > 1:
             keys = _pair_keys(w)
-            slot = ((keys * _MIX) >> _SHIFT) & (PAIRS - 1)
+            slot = _slot(keys)
             hit = self.tags[slot] == keys
             seen = np.where(hit, self.pair[:, slot], 0)
             both = seen + self.open[:, w[:-1]] * np.stack([toxic[1:], plain[1:]])
@@ -140,69 +237,54 @@ class Model:
         return np.array([ratio.mean(), ratio.sum() / np.sqrt(len(ratio)), lead.mean()])
 
 
-def models(counted: DataFrame) -> tuple[Model, Model]:
+def models(known: DataFrame) -> tuple[Model, Model]:
     """The models of one half of the learnable rows and of all of them.
 
-    Four passes over the counts serve both. At most ``PAIRS`` bigrams and
-    ``WORDS`` words come to the driver.
+    Tasks send their counts, packed, to the owners of slots; owners send what
+    they say of words on by ranges of words. At most ``PAIRS`` pairs and
+    ``FIGURES`` figures of ``WORDS`` words come to the driver. Owners grow in
+    number with the words that are counted.
     """
-    a, b = F.shiftright("key", WORDS.bit_length() - 1) - 1, F.col("key").bitwiseAND(WORDS - 1)
-    n = counted.withColumns({"a": a, "b": b})
-    pairs = n.where("a >= 0")
-    rows = pairs.agg(*[F.count_if(F.col(c) == times).alias(f"{c}{times}") for c in COUNTS for times in (1, 2)]).first()
-    # Shared backoff: the number of contexts in which a word occurs, in either class.
-    contexts = [F.count_if((F.col("a") >= 0) & (F.col(t) + F.col(p) > 0)).alias(f"{t}_contexts") for t, p in (COUNTS[:2], COUNTS[2:])]
-    alone = [F.sum(F.when(F.col("a") < 0, F.col(c)).otherwise(0)).alias(c) for c in COUNTS]
-    second = _columns(n.groupBy("b").agg(*contexts, *alone))
-    kinds = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in COUNTS]
-    first = _columns(pairs.groupBy("a").agg(*[F.sum(c).alias(c) for c in COUNTS], *kinds))
-    lead = _columns(_by_slot(pairs))
-    discounts = [_discount(rows[f"{c}1"], rows[f"{c}2"]) for c in COUNTS]
-    return tuple(_model(COUNTS[i : i + 2], discounts[i : i + 2], second, first, lead) for i in (2, 0))
-
-
-def _model(names: list[str], discounts: list[float], second: dict, first: dict, lead: dict) -> Model:
-    shared = np.full(WORDS, 0.5)
-    shared[second["b"]] += second[f"{names[0]}_contexts"]
+    spark = known.sparkSession
+    n = known.agg(F.sum("n_words")).first()[0] or 0
+    owners = min(PAIRS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // OWNED_WORDS + 1))
+    schema = "kind int, packed binary"
+    owned = cut(_partial_counts(known, owners).groupBy("owner").applyInPandas(lambda g: _owned(g), schema))
+    step = WORDS // RANGES
+    figures = np.zeros((FIGURES, WORDS), np.int64)
+    for r in owned.where("kind >= 0").groupBy("kind").applyInPandas(lambda g: _added(g), schema).collect():
+        figures[:, r.kind * step : (r.kind + 1) * step] = _opened(r.packed, FIGURES)
+    lead = {-1: [np.zeros((3, 0), np.int64)], -2: [np.zeros((3, 0), np.int64)]}
+    seldom = np.zeros(2 * len(COUNTS), np.int64)
+    for r in owned.where("kind < 0").collect():
+        if r.kind == -3:
+            seldom += _opened(r.packed)[0]
+        else:
+            lead[r.kind].append(_opened(r.packed, 3))
+    discounts = [_discount(*seldom[2 * i : 2 * i + 2].tolist()) for i in range(len(COUNTS))]
+    return tuple(_model(i, discounts[i : i + 2], figures, np.concatenate(lead[kind], axis=1)) for i, kind in ((2, -2), (0, -1)))
+
+
+def _model(at: int, discounts: list[float], figures: np.ndarray, lead: np.ndarray) -> Model:
+    """The model of ``COUNTS[at]`` (toxic) and the next one (plain)."""
+    shared = figures[12 + at // 2] + 0.5
     shared /= shared.sum()
-    words, open_, totals = np.empty((2, WORDS)), np.ones((2, WORDS)), np.zeros((2, WORDS))
+    words, open_ = np.empty((2, WORDS)), np.ones((2, WORDS))
     tags, pair = np.full(PAIRS, -1, np.int64), np.zeros((2, PAIRS))
-    kept = lead[f"{names[0]}_rank"] > 0
-    slot, keys = lead["slot"][kept], lead[f"{names[0]}_rank"][kept] & _KEY
+    keys, slot = lead[0], _slot(lead[0])
     tags[slot] = keys
-    for i, (c, d) in enumerate(zip(names, discounts)):
-        count = np.zeros(WORDS)
-        count[second["b"]] = second[c]
+    for i, d in enumerate(discounts):
+        count, totals, kinds = (figures[base + at + i] for base in (0, 4, 8))
         total = max(count.sum(), 1.0)
         # One count is little evidence in so open a vocabulary: it is discounted whole.
         taken = np.minimum(count, 1.0 + d)
         words[i] = (count - taken) / total + max(taken.sum() / total, 1e-9) * shared
-        seen = first[c] > 0
-        at = first["a"][seen]
-        totals[i, at] = first[c][seen]
-        open_[i, at] = d * first[f"{c}_kinds"][seen] / first[c][seen]
-        pair[i, slot] = np.maximum(lead[c][kept] - d, 0) / np.maximum(totals[i, keys // WORDS - 1], 1)
+        seen = totals > 0
+        open_[i, seen] = d * kinds[seen] / totals[seen]
+        pair[i, slot] = np.maximum(lead[1 + i] - d, 0) / np.maximum(totals[keys // WORDS - 1], 1)
     return Model(words, open_, tags, pair)
 
 
-def _by_slot(pairs: DataFrame) -> DataFrame:
-    """The most frequent bigram of each slot that occurs more than once (ties:
-    the larger key), as its rank and counts, for all rows and for the half.
-
-    A rank is the count, up to 2**26 - 1, before the key: one number, so that the
-    aggregation keeps fixed-width buffers and needs no sort. 0 means none.
-    """
-    slot = F.shiftright(F.col("key") * F.lit(_MIX), _SHIFT).bitwiseAND(PAIRS - 1)
-    best, ranks = [], {"slot": slot}
-    for t, p in (COUNTS[:2], COUNTS[2:]):
-        n = F.least(F.col(t) + F.col(p), F.lit((1 << 26) - 1))
-        rank = f"{t}_rank"
-        ranks[rank] = F.when(n > 1, n * F.lit(_KEY + 1) + F.col("key")).otherwise(0)
-        best += [F.max(rank).alias(rank), F.max_by(t, rank).alias(t), F.max_by(p, rank).alias(p)]
-    some = F.col(f"{COUNTS[0]}_rank") > 0
-    return pairs.withColumns(ranks).where(some).groupBy("slot").agg(*best)
-
-
 def fit(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Logistic weights (with a small ridge) and the features' scale."""
     scale = np.maximum(features.std(axis=0), 1e-9) if len(features) else np.ones(FEATURES)
@@ -222,18 +304,19 @@ def fit(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return w, scale
 
 
-def _features(rows: DataFrame, m: Model, extra: str, kind: str) -> DataFrame:
+def _features(rows: DataFrame, m: Model, extra: str, read: Callable[..., np.ndarray]) -> DataFrame:
+    """(name, extra, f0 …) of rows (name, body, extra); ``read`` makes word slots of a body."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((m.words, m.open, m.tags, m.pair))  # of fixed size
 
     def run(batches):
         made = Model(*shared.value)
         for batch in batches:
-            found = np.array([made.features(t) for t in batch.column("body").to_pylist()]).reshape(-1, FEATURES)
+            found = np.array([made.features(read(t)) for t in batch.column("body").to_pylist()]).reshape(-1, FEATURES)
             columns = [batch.column("name"), batch.column(extra)] + [pa.array(found[:, i]) for i in range(FEATURES)]
             yield pa.RecordBatch.from_arrays(columns, names=["name", extra, *[f"f{i}" for i in range(FEATURES)]])
 
-    return rows.mapInArrow(run, f"name long, {extra} {kind}, " + ", ".join(f"f{i} double" for i in range(FEATURES)))
+    return rows.mapInArrow(run, f"name long, {extra} boolean, " + ", ".join(f"f{i} double" for i in range(FEATURES)))
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,15 +329,21 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     labels and null ids teach nothing; with labels of one kind only, or none,
     every score is near that kind's end. One row per row.
     """
-    first, whole = models(counts(docs, labels, doc_id, text))
-    label = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("name")).agg((F.max("toxic") >= 1).alias("toxic"))
-    own = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"))
-    sample = own.where(F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 2).join(label, "name").orderBy(F.xxhash64("name"), "name").limit(FITTED_ROWS)
-    fitted = _features(sample.select("name", "body", "toxic"), first, "toxic", "boolean").toPandas()
+    known = labelled(docs, labels, doc_id, text)
+    first, whole = models(known)
+    # Ids alone are ordered; the rows themselves are then found where they lie.
+    other = known.where(F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 2).withColumn("place", F.struct(F.xxhash64("name").alias("h"), "name"))
+    last = other.select("place").distinct().orderBy("place").limit(FITTED_ROWS).agg(F.max("place").alias("last")).first()["last"]
+    h, name = (last.h, last.name) if last else (0, 0)
+    inside = (F.col("place.h") < h) | ((F.col("place.h") == h) & (F.col("name") <= name))
+    sample = other.where(inside).groupBy("name").agg(F.min("words").alias("body"), F.max("toxic").alias("toxic"))
+    fitted = _features(sample, first, "toxic", _read_words).toPandas()
+    # A fixed order of rows, so that sums don't depend on their arrival.
+    fitted = fitted.sort_values("name")
     weights, scale = fit(fitted[[f"f{i}" for i in range(FEATURES)]].to_numpy(float), fitted["toxic"].to_numpy(float))
     rows = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"), held_out(doc_id).alias("held"))
     logit = sum((F.col(f"f{i}") * F.lit(float(weights[i] / scale[i])) for i in range(FEATURES)), F.lit(float(weights[-1])))
     value = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
-    return _features(rows, whole, "held", "boolean").select(
+    return _features(rows, whole, "held", word_slots).select(
         F.col("name").alias("doc_id"), F.col("held").alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted")
     )
