@@ -18,10 +18,12 @@ NUMERIC = ("capacity", "lat", "lon", "lng")
 
 def read_stations(spark: SparkSession, path: str, data_dir: str | None = None, use_parquet: bool = True) -> DataFrame:
     """Stations from the Parquet sibling of ``path``, else from the data
-    folder's ``parquet/stations``, else from the CSV at ``path``."""
+    folder's ``parquet/stations``, else from the CSV at ``path``. The data folder
+    is a relative path's first folder, or the one above an absolute path's own."""
     if use_parquet:
         stem = path.rsplit(".", 1)[0]
-        root = data_dir or path.lstrip("/").split("/")[0]
+        absolute = path.startswith("/") or "://" in path
+        root = data_dir or (path.rsplit("/", 2)[0] if absolute else path.split("/")[0])
         for candidate in (f"{stem}.parquet", f"{root}/parquet/stations/station_info.parquet"):
             if exists(spark, candidate):
                 return spark.read.parquet(candidate)
