@@ -62,3 +62,51 @@ def test_toxicity(spark):
     none = labels.limit(0)
     assert toxicity.score(docs, none).where("predicted = 1").count() == 0
     assert toxicity.score(spark.createDataFrame([], DOCS), labels).count() == 0
+
+
+def test_toxicity_keeps_every_word_and_pair(spark):
+    """Single pairs and a vocabulary beyond any fixed table, against plain Python."""
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    some = ["".join(rng.choice(letters) for _ in range(6)) for _ in range(400)]
+    texts = [" ".join(rng.choice(some) for _ in range(40)) for _ in range(60)]
+    docs = documents(spark, texts).selectExpr("doc_id AS name", "doc_id % 2 = 1 AS toxic", "text AS body")
+    known = docs.selectExpr("name", "toxic", "40L AS n_words", "body AS words").rdd.map(lambda r: (r[0], r[1], r[2], toxicity._joined(r[3].split(" "))))
+    known = spark.createDataFrame(known, "name long, toxic boolean, n_words long, words binary")
+    shares, bits, _, whole = toxicity.models(known, 7)
+    words, pairs, heads, kinds, contexts = ({}, {}), ({}, {}), ({}, {}), ({}, {}), {}
+    for i, t in enumerate(texts):
+        c, w = (0 if (i * 3 + 1) % 2 else 1), t.split(" ")
+        for x in w:
+            words[c][x] = words[c].get(x, 0) + 1
+        for p in zip(w, w[1:]):
+            heads[c][p[0]] = heads[c].get(p[0], 0) + 1
+            kinds[c].setdefault(p[0], set()).add(p)
+            contexts.setdefault(p[1], set()).add(p)
+            pairs[c][p] = pairs[c].get(p, 0) + 1
+    assert sum(n == 1 for p in pairs for n in p.values()) > 1000
+    vocab, shared = {*words[0], *words[1]}, 0.5 + sum(len(contexts.get(x, ())) + 0.5 for x in {*words[0], *words[1]})
+    assert len(vocab) == int(round((whole.shared - sum(map(len, contexts.values()))) * 2)) - 1
+
+    def discount(c):
+        n = list(pairs[c].values())
+        return min(0.95, max(0.1, n.count(1) / (n.count(1) + 2 * n.count(2))))
+
+    spare = min(sum(min(k, 1 + discount(c)) for k in words[c].values()) / sum(words[c].values()) for c in (0, 1))
+
+    def chance(c, word, before=None):
+        k, d = words[c].get(word, 0), discount(c)
+        p = (k - min(k, 1 + d)) / sum(words[c].values()) + spare * (len(contexts.get(word, ())) + 0.5) / shared
+        if before is None:
+            return p
+        lean = toxicity.CONCENTRATION + d * len(kinds[c].get(before, ()))
+        return (max(pairs[c].get((before, word), 0) - d, 0) + lean * p) / (toxicity.CONCENTRATION + heads[c].get(before, 0))
+
+    asked = texts[:5] + ["unseen words here", f"{some[0]} unseen {some[1]} {some[2]}", "", None]
+    rows = documents(spark, asked).selectExpr("doc_id AS name", "true AS held", "text AS body")
+    got = {r.name: r for r in toxicity._features(rows, shares, bits, whole, 7, "held", toxicity._words).collect()}
+    assert len(got) == len(asked)
+    for i, t in enumerate(asked):
+        w = (t or "").split()
+        want = np.mean([np.log(chance(0, x, b) / chance(1, x, b)) for x, b in zip(w, [None, *w])]) if w else 0
+        assert abs(got[i * 3 + 1].f0 - want) < 1e-9
