@@ -4,7 +4,8 @@ A surrogate depends on a key and the entity alone, so an entity gets the same
 one wherever it occurs. Numbers, addresses and secrets are permuted within
 their format: a keyed Feistel network walks over the strings with the same
 kinds of characters in the same places, which maps different entities to
-different surrogates without looking at the others. Names are drawn from given
+different surrogates without looking at the others, and none to itself. Kinds
+are letters of one script and case, and decimal digits of one script. Names are drawn from given
 names of the same gender and script and from spelt surnames; draws may collide,
 so a Spark job over all distinct entities checks every surrogate, and the later
 of two entities that share one draws again.
@@ -16,6 +17,9 @@ import hashlib
 import hmac
 import re
 import unicodedata
+from collections import defaultdict
+from functools import lru_cache
+from math import gcd
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,38 +83,80 @@ def _hash(key: bytes, *parts: str) -> int:
 def permuted(key: bytes, purpose: str, x: int, size: int) -> int:
     """A keyed bijection of ``range(size)``: Feistel rounds on as many bits as
     are needed, walked until the result is in range."""
+    return _walked(key, purpose, x, size, False)
+
+
+def _walked(key: bytes, purpose: str, x: int, size: int, back: bool) -> int:
+    """``permuted``, or its inverse."""
     if size < 2:
         return x
     half = (max((size - 1).bit_length(), 2) + 1) // 2
     mask = (1 << half) - 1
+
+    def round_(i: int, b: int) -> int:
+        digest = hashlib.blake2b(f"{purpose}\0{size}\0{i}\0{b}".encode(), key=key[:64], digest_size=-(-half // 8) or 1).digest()
+        return int.from_bytes(digest, "big") & mask
+
     while True:
         a, b = x >> half, x & mask
-        for i in range(8):
-            digest = hashlib.blake2b(f"{purpose}\0{size}\0{i}\0{b}".encode(), key=key[:64], digest_size=-(-half // 8) or 1).digest()
-            a, b = b, a ^ (int.from_bytes(digest, "big") & mask)
+        for i in reversed(range(8)) if back else range(8):
+            a, b = (b ^ round_(i, a), a) if back else (b, a ^ round_(i, b))
         x = (a << half) | b
         if x < size:
             return x
 
 
+def moved(key: bytes, purpose: str, x: int, size: int) -> int:
+    """A keyed bijection of ``range(size)`` that leaves nothing in its place: one
+    cycle through all of it, in the order of ``permuted``."""
+    if size < 2:
+        return x
+    step = 1 + _hash(key, "step", purpose, str(size)) % (size - 1)
+    while gcd(step, size) > 1:
+        step = step % (size - 1) + 1
+    return _walked(key, purpose, (permuted(key, purpose, x, size) + step) % size, size, True)
+
+
 _DIGITS, _LOWER, _HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef"
 
 
+_FIXED = [_DIGITS, _LOWER, _LOWER.upper(), "àáâäçèéêëìíîïñòóôöùúûüß", "ÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ"]
+_FIXED += [c for low in ("абвгдежзиклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω") for c in (low, low.upper())]
+
+
+@lru_cache(1)
+def _alphabets() -> dict[str, str]:
+    """Every letter and number with those that may take its place: of its script,
+    category (which tells the case) and block of 256. The few that are alone there,
+    or change their length with their case, take each other's."""
+    own = {c: alphabet for alphabet in _FIXED for c in alphabet}
+    kinds, odd = defaultdict(list), defaultdict(list)
+    for c in map(chr, range(0x110000)):
+        if c.isalnum() and c not in own:
+            category = unicodedata.category(c)
+            if c.isdecimal():
+                kinds["digits", ord(c) - unicodedata.decimal(c)].append(c)
+            elif (category == "Ll" and c.upper().lower() != c) or (category == "Lu" and c.lower().upper() != c):
+                odd[category].append(c)
+            else:
+                kinds[category, unicodedata.name(c, "").split(" ")[0], ord(c) >> 8].append(c)
+    for kind, found in list(kinds.items()):
+        if len(found) < 2:
+            odd[kind[0] if kind[0] in odd else "other"] += kinds.pop(kind)
+    for found in [*kinds.values(), *odd.values()]:
+        own |= dict.fromkeys(found, "".join(found))
+    return own
+
+
 def _alphabet(c: str) -> str:
-    """The characters that may take the place of c; c alone if it must stay."""
+    """The characters that may take the place of c; c alone if it is a sign."""
     if c in _DIGITS:
         return _DIGITS
     if c in _LOWER:
         return _LOWER
     if c.isascii() and c.isupper():
         return _LOWER.upper()
-    if c.isalpha():
-        script = unicodedata.name(c, "").split(" ")[0]
-        if script == "CYRILLIC":
-            return "абвгдежзиклмнопрстуфхцчшщыэюя" if c in "абвгдежзиклмнопрстуфхцчшщыэюя" else c
-        if script == "LATIN" and c in "àáâäçèéêëìíîïñòóôöùúûüß":
-            return "àáâäçèéêëìíîïñòóôöùúûüß"
-    return c
+    return _alphabets().get(c, c) if c.isalnum() else c
 
 
 def same_format(key: bytes, kind: str, text: str, alphabets: list[str] | None = None) -> str:
@@ -120,7 +166,7 @@ def same_format(key: bytes, kind: str, text: str, alphabets: list[str] | None =
     for c, own in zip(text, alphabets):
         x, size = x * len(own) + own.index(c), size * len(own)
     shape = "".join(own if len(own) == 1 else f"[{own[0]}{len(own)}]" for own in alphabets)
-    x = permuted(key, f"{kind}\0{shape}", x, size)
+    x = moved(key, f"{kind}\0{shape}", x, size)
     out = []
     for own in reversed(alphabets):
         x, i = divmod(x, len(own))
@@ -135,18 +181,27 @@ def _check_digit(digits: str) -> str:
 
 
 def _script(text: str) -> str:
-    found = next((unicodedata.name(c, "").split(" ")[0] for c in text if c.isalpha()), "LATIN")
-    return found if found in GIVEN else "LATIN"
+    return next((unicodedata.name(c, "").split(" ")[0] for c in text if c.isalpha()), "LATIN")
+
+
+def _plain_digits(text: str) -> str:
+    """Decimal digits of all scripts as ASCII ones."""
+    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
+
+
+def _lower(text: str) -> str:
+    """Lower case, character for character."""
+    return "".join(low if len(low := c.lower()) == 1 else c for c in text).replace("ς", "σ")
 
 
 def entity(kind: str, found: str, title: str = "") -> str:
     """What mentions of one entity have in common."""
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"\D", "", found)
+        return re.sub(r"\D", "", _plain_digits(found))
     if kind == "email":
-        return found.lower()
+        return _lower(found)
     if kind == "iban":
-        return found.replace(" ", "")
+        return _plain_digits(found.replace(" ", ""))
     if kind == "name":
         return f"{_GENDER.get(title.lower(), 'n')} {' '.join(found.split()).casefold()}"
     return found
@@ -168,7 +223,7 @@ def surrogate(key: bytes, kind: str, own: str, draw: int = 0, syllables: int = 4
             if _check_digit(out[:-1]) != out[-1]:
                 return out
     if kind == "ip":
-        x = permuted(key, kind, sum(int(p) << 8 * i for i, p in enumerate(own.split("."))), 1 << 32)
+        x = moved(key, kind, sum(int(p) << 8 * i for i, p in enumerate(own.split("."))), 1 << 32)
         return ".".join(str(x >> 8 * i & 255) for i in range(4))
     if kind == "email":
         local, _, domain = own.rpartition("@")
@@ -189,6 +244,8 @@ def surrogate(key: bytes, kind: str, own: str, draw: int = 0, syllables: int = 4
                 return out
     gender, _, person = own.partition(" ")
     words, script = person.split(" "), _script(person)
+    if script not in GIVEN:
+        return same_format(key, f"name\0{draw}", person).title()
     pools, sounds = GIVEN[script], _SOUNDS[script]
     x = _hash(key, "name", own, str(draw), str(syllables))
     given = (pools["m"] + pools["f"]) if gender == "n" else pools[gender]
@@ -199,16 +256,22 @@ def surrogate(key: bytes, kind: str, own: str, draw: int = 0, syllables: int = 4
         x, b = divmod(x, len(sounds[1]))
         last += sounds[0][a] + sounds[1][b]
     last = last[:1].upper() + last[1:]
-    return f"{given[i]} {last}" if len(words) > 1 else last
+    made = f"{given[i]} {last}" if len(words) > 1 else last
+    # A million draws on, so that it isn't met by redrawing.
+    return surrogate(key, kind, own, draw + 1_000_000, syllables) if made.casefold() == person else made
 
 
 def styled(kind: str, found: str, made: str) -> str:
     """A surrogate with the separators and case of the mention it replaces."""
     if kind in ("phone", "card", "ssn", "iban"):
-        left = iter(made)
-        return "".join(next(left) if c.isalnum() else c for c in found)
+        left, out = iter(made), []
+        for c in found:
+            new = next(left) if c.isalnum() else c
+            # A digit takes the script of the one that it replaces.
+            out.append(chr(ord(c) - unicodedata.decimal(c) + int(new)) if c.isdecimal() and new in _DIGITS else new)
+        return "".join(out)
     if kind == "email":
-        return "".join(m.upper() if c.isupper() else m for c, m in zip(found, made))
+        return "".join(m.upper() if c.isupper() and len(m.upper()) == 1 else m for c, m in zip(found, made))
     if kind == "name" and found.isupper():
         return made.upper()
     return made

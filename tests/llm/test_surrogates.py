@@ -60,3 +60,35 @@ def test_colliding_names_draw_again(spark):
     own = [S.entity("name", p, "Mr") for p in people]
     made = [S.surrogate(b"k", "name", e, redrawn.get(e, 0), syllables) for e in own]
     assert syllables == 1 and redrawn and len(set(made)) == len(people)
+
+
+@pytest.mark.parametrize("size", [2, 3, 10, 257, 1000])
+def test_moved_leaves_nothing(size):
+    got = [S.moved(b"k", "p", x, size) for x in range(size)]
+    assert sorted(got) == list(range(size)) and all(x != y for x, y in enumerate(got))
+
+
+def test_every_script_is_replaced():
+    found = [
+        "νικος@παραδειγμα.gr", "ΝΙΚΟΣ@παραδειγμα.gr", "用户@例子.com", "ИВАН.ёж@почта.рф", "יוסי@דואר.com", "user@ünïcödé.de", "a@b.co",
+        "password=ЖЩЮЯЪЫ", "token=ԱԲԳԴԵԶ", "secret=密码密码密码", "+٢٠ ١٢٣ ٤٥٦ ٧٨٩٠", "٤١١١ ١١١١ ١١١١ ١١١١", "४१११ ११११ ११११ ११११", "१२३-४५-६७८९", "Mr Անի Սարգսյան",
+    ]
+    for key in (b"key", b"other"):
+        for text in found:
+            (start, end, kind, old, _), *more = S.mentions(text)
+            new, n = S.replaced(text, key, {}, 4)
+            made = new[start : end + len(new) - len(text)]
+            assert n == 1 and not more and made != old, text
+            if kind != "name":
+                assert len(made) == len(old) and all(a == b or S._alphabet(a) == S._alphabet(b) for a, b in zip(old.replace("ς", "σ"), made)), (old, made)
+            assert [S._script(w) for w in made.split()] == [S._script(w) for w in old.split()]
+    assert S.entity("card", found[11]) == "4111111111111111"
+    card = S._plain_digits(S.replaced(found[11], b"key", {}, 4)[0]).replace(" ", "")
+    assert S._check_digit(card[:-1]) == card[-1]
+    assert S.entity("email", found[0]) == S.entity("email", found[1])
+
+
+def test_alphabets_are_closed():
+    own = S._alphabets()
+    assert all(own[d] == alphabet for alphabet in set(own.values()) for d in alphabet)
+    assert not [c for c in map(chr, range(0x110000)) if c.isalnum() and len(S._alphabet(c)) < 2]
