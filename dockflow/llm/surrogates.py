@@ -6,7 +6,9 @@ their format: a keyed Feistel network walks over the strings with the same
 kinds of characters in the same places, which maps different entities to
 different surrogates without looking at the others, and none to itself. Kinds
 are letters of one script and case, and decimal digits of one script. Names are drawn from given
-names of the same gender and script and from spelt surnames; draws may collide,
+names of the same gender and script and from spelt surnames. Within a document a
+neutral title takes the gender known for its name, and a surname alone takes that
+of the one full name it fits. Draws may collide,
 so a Spark job over all distinct entities checks every surrogate, and the later
 of two entities that share one draws again.
 """
@@ -272,8 +274,9 @@ def styled(kind: str, found: str, made: str) -> str:
         return "".join(out)
     if kind == "email":
         return "".join(m.upper() if c.isupper() and len(m.upper()) == 1 else m for c, m in zip(found, made))
-    if kind == "name" and found.isupper():
-        return made.upper()
+    if kind == "name":
+        made = made if len(found.split()) > 1 else made.split(" ")[-1]
+        return made.upper() if found.isupper() else made.lower() if found.islower() else made
     return made
 
 
@@ -298,8 +301,13 @@ def _spans(text: str) -> list[tuple[int, int]]:
 
 
 def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
-    """(start, end, kind, found, entity) of every mention in a text."""
-    out = []
+    """(start, end, kind, found, entity) of every mention in a text.
+
+    Names are found after a title. Whoever is named so is then found again in the
+    whole text, by full name or surname, without a title or with one that tells no
+    gender; a surname that several share stands for the first of them.
+    """
+    out, named = [], []
     for m in (m for a, b in _spans(text) for m in _ANY.finditer(text, a, b)):
         kind = m.lastgroup if m.lastgroup in _KINDS else next(k for k in _KINDS if m.group(k) is not None)
         group = {"assigned": "value", "name": "person"}.get(kind, kind)
@@ -310,8 +318,57 @@ def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
                 continue
             found = first
         start = m.start(group)
+        if kind == "name":
+            found = _POSSESSIVE.sub("", found)
+            named.append(len(out))
         out.append((start, start + len(found), kind, found, entity(kind, found, m.group("title") or "")))
-    return out
+    return _persons(text, out, named) if named else out
+
+
+_POSSESSIVE = re.compile(r"['’][sS]$")
+
+
+def _persons(text: str, out: list[tuple], named: list[int]) -> list[tuple]:
+    """The mentions with those of ``named`` persons brought together and found again."""
+    genders, full = defaultdict(dict), {}
+    for i in named:
+        gender, _, person = out[i][4].partition(" ")
+        if gender != "n":
+            genders[person][gender] = None
+
+    def known(gender: str, person: str) -> str:
+        return next(iter(genders[person])) if gender == "n" and len(genders.get(person, ())) == 1 else gender
+
+    # Full names first; a surname alone then is that of the one full name it fits.
+    by_surname = defaultdict(dict)
+    for i in named:
+        gender, _, person = out[i][4].partition(" ")
+        if " " in person:
+            own = f"{known(gender, person)} {person}"
+            out[i] = (*out[i][:4], own)
+            full.setdefault(person, own)
+            by_surname[person.split(" ")[-1]][own] = None
+    alone = {}
+    for i in named:
+        gender, _, person = out[i][4].partition(" ")
+        if " " not in person:
+            gender = known(gender, person)
+            fits = [own for own in by_surname.get(person, ()) if "n" in (gender, own[0]) or own[0] == gender]
+            own = fits[0] if len(fits) == 1 else f"{gender} {person}"
+            out[i] = (*out[i][:4], own)
+    for i in named:
+        alone.setdefault(out[i][4].split(" ")[-1], out[i][4])
+    wanted = [r"\s+".join(map(re.escape, p.split(" "))) for p in sorted([*full, *alone], key=len, reverse=True)]
+    again, taken, j = [], sorted((m[0], m[1]) for m in out), 0
+    for m in re.finditer(rf"(?<!\w)(?:{'|'.join(wanted)})(?!\w)", text, re.IGNORECASE):
+        while j < len(taken) and taken[j][1] <= m.start():
+            j += 1
+        person = " ".join(m[0].split()).casefold()
+        own = full.get(person) or alone.get(person)
+        # A surname in lower case may be any word.
+        if own and (j == len(taken) or m.end() <= taken[j][0]) and (" " in person or m[0][0].isupper()):
+            again.append((*m.span(), "name", m[0], own))
+    return sorted(out + again)
 
 
 _KINDS = [k for k, _ in PATTERNS]

@@ -92,3 +92,20 @@ def test_alphabets_are_closed():
     own = S._alphabets()
     assert all(own[d] == alphabet for alphabet in set(own.values()) for d in alphabet)
     assert not [c for c in map(chr, range(0x110000)) if c.isalnum() and len(S._alphabet(c)) < 2]
+
+
+def test_names_are_replaced_wherever_they_recur():
+    text = "Mr. John Smith came. John Smith said so, Smith's car too.\nDr John Smith and Mr Smith left with\nJOHN SMITH; a blacksmith, smith@smith.com and the smith stay. Smithson too."
+    new, n = S.replaced(text, b"key", {}, 4)
+    given, last = re.match(r"Mr\. (\w+) (\w+) came", new).groups()
+    assert given in S.GIVEN["LATIN"]["m"] and n == 7
+    mail = re.search(r"\S+@\S+", new)[0]
+    assert new == text.replace("smith@smith.com", mail).replace("John Smith", f"{given} {last}").replace("Smith's", f"{last}'s").replace("Mr Smith", f"Mr {last}").replace(
+        "JOHN SMITH", f"{given} {last}".upper()
+    )
+
+
+def test_persons_who_share_a_surname_stay_apart():
+    new, n = S.replaced("Mrs Ada Byron, Mr Tim Byron, Mr Byron, Ms Byron, Byron and Prof Unknown, Unknown", b"key", {}, 4)
+    a, b, c, d, e, f, g = re.fullmatch(r"Mrs \w+ (\w+), Mr \w+ (\w+), Mr (\w+), Ms (\w+), (\w+) and Prof (\w+), (\w+)", new).groups()
+    assert n == 7 and a == d == e and b == c != a and f == g != "Unknown"
