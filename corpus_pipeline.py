@@ -29,15 +29,19 @@ def _known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def _distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id; a row repeated whole stays once."""
-    found = exact_dedup.exact_duplicates(docs)
-    return _of_ids(docs, found.where("kept").select("doc_id").distinct()).dropDuplicates(["doc_id"])
+    """Of equal texts the document with the largest id; a row repeated whole stays once.
+
+    Rows with other texts stay, also those that share an id or have none.
+    """
+    rows = _with_key(docs)
+    return _of_rows(rows, exact_dedup.exact_duplicates(rows, row=_KEY))
 
 
 def _far_apart(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    found = simhash.near_duplicates(docs)
-    return _of_ids(docs, found.where("doc_id = component_id").select("doc_id").distinct()).dropDuplicates(["doc_id"])
+    """Of each group of near duplicates the document with the smallest id, one
+    without an id if none has any."""
+    rows = _with_key(docs)
+    return _of_rows(rows, simhash.near_duplicates(rows, row=_KEY))
 
 
 def _private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +59,20 @@ def _of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
 
 
+_KEY = "_row_of_stage"
+
+
+def _with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row: its place, which is the same in each scan of the files."""
+    return docs.withColumn(_KEY, F.monotonically_increasing_id())
+
+
+def _of_rows(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows that ``found`` keeps, without their key."""
+    kept = found.where("kept").select(F.col("row_key").alias("wanted_row"))
+    return rows.join(kept, F.col(_KEY) == F.col("wanted_row"), "left_semi").drop(_KEY)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", _known_language),
     ("exact_dedup", _distinct),

@@ -20,21 +20,23 @@ from pyspark.sql import functions as F
 from dockflow.llm import exchange
 from dockflow.llm.common import cut
 
-_FLAGGED = "doc_id long, row_no long, sha string, suspect boolean, body binary"
+_FLAGGED = "doc_id long, row_key long, row_no long, sha string, suspect boolean, body binary"
 
 
-def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if their bytes are; a null text counts as empty. The row
     with the largest id of a group stays, and of rows that repeat id and text
     just one. A null id is smaller than any other. No rows give no rows. Other
-    columns are not read, whatever their names.
+    columns are not read, whatever their names, but a column named by ``row`` (a
+    key of each row) comes out as ``row_key``.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body"))
-    rows = own.rdd.map(lambda r: (r[0], bytes(r[1])))
+    row_key = (F.col(row) if row else F.lit(None)).cast("long").alias("row_key")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("body"), row_key)
+    rows = own.rdd.map(lambda r: ((r[0], r[2]), bytes(r[1])))
     owners = max(rows.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def fingerprints(batches):
@@ -65,22 +67,23 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         (key, own), (row_no, suspect, mark) = pair
         if xxhash.xxh3_64_intdigest(own) & 0xFFFF != mark:
             raise RuntimeError("the rows of a partition changed between two reads; write the table first")
-        return key, row_no, hashlib.sha256(own).hexdigest(), suspect, own if suspect else None
+        return *key, row_no, hashlib.sha256(own).hexdigest(), suspect, own if suspect else None
 
     flagged = exchange.align(rows, counts, replies.union(kept_prints), marks).map(digest)
     flagged = cut(spark.createDataFrame(flagged, _FLAGGED, verifySchema=False))
-    row = F.struct("doc_id", "row_no")
+    place = F.struct("doc_id", "row_no")
     suspects = flagged.where("suspect")
     # The partial aggregate runs before the shuffle: a text travels once per task.
     groups = (
         suspects.groupBy("sha", "body")
-        .agg(F.max(row).alias("best"), F.count("*").alias("size"))
+        .agg(F.max(place).alias("best"), F.count("*").alias("size"))
         .select("sha", F.col("best.doc_id").alias("keep_id"), F.col("best.row_no").alias("keep_row"), F.col("size").alias("group_size"))
     )
+    keys = ["row_key"] if row else []
     joined = suspects.drop("body").join(groups, "sha").select(
-        "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256")
+        "doc_id", "keep_id", "group_size", (F.col("row_no") == F.col("keep_row")).alias("kept"), F.col("sha").alias("text_sha256"), *keys
     )
     alone = flagged.where("not suspect").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256")
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), *keys
     )
     return alone.union(joined)

@@ -55,16 +55,20 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
     return np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def simhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the signed 64-bit form of each document's fingerprint."""
+def simhash(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """(doc_id, fp): the signed 64-bit form of each document's fingerprint; with
+    ``row`` that column, too, as ``row_key``."""
+    keys = [F.col(row).cast("long").alias("row_key")] if row else []
 
     def run(batch):
-        ids, texts = batch.columns
+        ids, texts, *more = batch.columns
         raw = [b"" if t is None else t for t in texts.to_pylist()]
         prints = [fingerprints(raw[a:b]) for a, b in text_groups([len(t) for t in raw])]
-        yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(prints).astype(np.uint64).view(np.int64))], names=["doc_id", "fp"])
+        made = pa.array(np.concatenate(prints).astype(np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays([ids, made, *more], names=["doc_id", "fp", "row_key"][: 2 + len(more)])
 
-    return over_texts(docs, [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("body")], run, "doc_id long, fp long")
+    columns = [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("body"), *keys]
+    return over_texts(docs, columns, run, "doc_id long, fp long" + ", row_key long" * len(keys))
 
 
 def _mask(blocks) -> int:
@@ -102,7 +106,7 @@ def links(prints: DataFrame) -> DataFrame:
     return direct.union(stars).distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id.
 
     Documents link if their fingerprints differ in at most two bits; the
@@ -110,12 +114,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     without words the fingerprint is zero and links like any other; fewer than
     three words are one shingle. Null ids take no part in the minimum. Repeated
     rows come out repeated, no rows give no rows, other columns aren't read.
+
+    With ``row``, a column whose values are different in every row, also row_key
+    and kept: true for one row of each component, that with the smallest id (a
+    null id comes last) and then the smallest key.
     """
-    marked = cut(simhash(docs, doc_id, text))
-    prints = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    marked = cut(simhash(docs, doc_id, text, row))
+    first = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first")] if row else []
+    prints = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), *first))
     found = components(links(prints.select("fp")))
-    labelled = prints.join(found, prints.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = cut(labelled.join(smallest, "component").select("fp", "component_id"))
+    labelled = prints.join(found, prints.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"), *["first"] * len(first))
+    smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"), *([F.min("first").alias("keep")] if row else []))
+    labels = cut(labelled.join(smallest, "component").select("fp", "component_id", *([F.col("keep.row_key").alias("keep_row")] if row else [])))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(labels, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    kept = ["row_key", (F.col("row_key") == F.col("keep_row")).alias("kept")] if row else []
+    return marked.join(labels, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id", *kept)
