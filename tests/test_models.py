@@ -4,8 +4,8 @@ in plain Python, and invariants."""
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import as_trips, random_trips
 from pyspark.sql import functions as F
+from trip_tables import as_trips, random_trips
 
 from dockflow.operators import endpoints, ensemble, evaluate, flow_models, folds, inventory, markov
 from dockflow.plans import cross_validation as cv

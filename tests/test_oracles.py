@@ -5,6 +5,8 @@ import pytest
 from compare import difference, oracle_frame
 
 from __spark_entry__ import entry, oracle_sql, queries
+from dockflow.oracles import ORACLES
+from dockflow.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 CHOSEN = [
@@ -44,7 +46,7 @@ def test_matches_oracle(spark, name):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"forecast_ensemble"}
+    assert set(QUERIES) - set(ORACLES) == {"forecast_ensemble"}
 
 
 def test_entry(spark):

@@ -6,8 +6,8 @@ import json
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import as_trips, random_trips
 from pyspark.sql import functions as F
+from trip_tables import as_trips, random_trips
 
 from dockflow.functions.text import name_contains, short_label
 from dockflow.operators import compare, endpoints, inventory, prepare, quality, query, stations
