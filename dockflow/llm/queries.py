@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import byte_bpe, exact_dedup, language, packing, simhash, substring_dedup, surrogates, token_files, topk, toxicity
+from dockflow.llm import (
+    byte_bpe,
+    centroids,
+    exact_dedup,
+    language,
+    license_scan,
+    packing,
+    periodic_runs,
+    simhash,
+    substring_dedup,
+    surrogates,
+    token_files,
+    topk,
+    toxicity,
+)
 from dockflow.llm.common import read_table
+from dockflow.llm.oracles import PERIODIC_RUNS, clusters_sql, licenses_sql
 from dockflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +74,43 @@ def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def _made_periodic(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts, by a hash of the id, repeat their words from some word on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    w = F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, w).alias("w")).withColumn("n", F.size("w"))
+    placed = chosen.withColumn("a", (F.col("g") % F.greatest("n", F.lit(1))).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("int")
+    again = F.transform("w", lambda word, i: F.when(i >= F.col("a"), F.get("w", F.col("a") + (i - F.col("a")) % F.col("p"))).otherwise(word))
+    return placed.withColumn("p", period).select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_made_periodic(read_table(spark, sf_dir, "documents")))
+    more = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda top, run: F.when(more(run, top), run).otherwise(top))
+    line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    listed = F.array_join(F.transform("runs", lambda run: F.concat(line(run), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -72,6 +124,9 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_exact_dedup,
         op10_bestfit_packing,
+        op11_centroids,
+        op12_periodic_runs,
+        op13_license_scan,
     )
 }
 
@@ -111,4 +166,7 @@ g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP B
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.body) AS text_sha256
 FROM d JOIN g USING (body)
 """,
+    "op11_centroids": clusters_sql(),
+    "op12_periodic_runs": PERIODIC_RUNS,
+    "op13_license_scan": licenses_sql(),
 }
