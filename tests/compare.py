@@ -28,7 +28,7 @@ def normal(df: pd.DataFrame) -> list[tuple]:
     df = df[sorted(df.columns)]
 
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "\0"
         if isinstance(v, bool):
             return str(v)
@@ -49,6 +49,10 @@ def difference(mine: pd.DataFrame, theirs: pd.DataFrame) -> str | None:
         return f"columns {sorted(mine.columns)} != {sorted(theirs.columns)}"
     if len(mine) != len(theirs):
         return f"rows {len(mine)} != {len(theirs)}"
+    # Pandas has no plain integers with nulls, so either side may show them its own way.
+    holed = [c for c in mine.columns if mine[c].isna().any()]
+    whole = [c for c in holed if all(pd.api.types.is_numeric_dtype(t[c]) and (t[c].dropna() % 1 == 0).all() for t in (mine, theirs))]
+    mine, theirs = mine.astype({c: "Int64" for c in whole}), theirs.astype({c: "Int64" for c in whole})
     ours, other = kinds(mine), kinds(theirs)
     odd = {c: (ours[c], other[c]) for c in ours if ours[c] != other[c]}
     a, b = normal(mine), normal(theirs)
