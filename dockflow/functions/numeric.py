@@ -55,19 +55,30 @@ def activity_score(total: Column | str) -> Column:
 
 
 def uniform_sql(seed: int, *parts: str) -> str:
-    """SQL text of a uniform in [0,1) that depends only on its arguments, so a
-    retried task draws the same numbers."""
-    bits = 2**53
-    return f"pmod(xxhash64({', '.join([str(int(seed)), *parts])}), {bits}L) / {bits}D"
+    """SQL text of a uniform in [0,1) that depends only on its arguments: the
+    leading 52 bits of their MD5, so that a retried task, or another engine,
+    draws the same numbers."""
+    text = ", ".join([f"'{int(seed)}'", *(f"CAST({p} AS STRING)" for p in parts)])
+    return f"CAST(conv(substr(md5(concat_ws('|', {text})), 1, 13), 16, 10) AS DOUBLE) / {2**52}D"
 
 
 def poisson_sql(rate: str, u: str, most: str) -> str:
     """SQL text of min(Poisson(rate), most), walking the distribution function
-    up to the uniform ``u``."""
+    up to the uniform ``u``. Terms are kept as logarithms, as exp(-rate) is 0 for
+    large rates."""
     return f"""CASE WHEN {most} < 1 THEN 0 ELSE aggregate(
         sequence(1, greatest(1, CAST({most} AS INT))),
-        named_struct('k', 0, 'p', exp(-({rate})), 'cdf', exp(-({rate}))),
-        (acc, i) -> CASE WHEN acc.k = i - 1 AND {u} > acc.cdf
-            THEN named_struct('k', i, 'p', acc.p * ({rate}) / i, 'cdf', acc.cdf + acc.p * ({rate}) / i)
+        named_struct('k', 0, 'log', -({rate}), 'cdf', exp(-({rate})), 'u', {u}),
+        (acc, i) -> CASE WHEN acc.k = i - 1 AND acc.u > acc.cdf
+            THEN named_struct('k', i, 'log', acc.log + ln(({rate}) / i), 'cdf', acc.cdf + exp(acc.log + ln(({rate}) / i)), 'u', acc.u)
             ELSE acc END,
         acc -> acc.k) END"""
+
+
+def position_sql(array: str, u: str, at: str = "{}") -> str:
+    """SQL text of the number of leading elements of the ascending ``array`` that
+    ``u`` has reached, by binary search. ``at`` takes an element's value."""
+    halves = f"transform(sequence(CAST(ceil(log2(size({array}) + 1)) AS INT) - 1, 0), b -> shiftleft(1, b))"
+    element = at.format(f"get({array}, found + half - 1)")
+    return f"""CASE WHEN size({array}) < 1 THEN 0 ELSE aggregate({halves}, 0,
+        (found, half) -> CASE WHEN {element} <= {u} THEN found + half ELSE found END) END"""

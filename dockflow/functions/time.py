@@ -65,14 +65,14 @@ def with_time_features(trips: DataFrame) -> DataFrame:
     )
 
 
-def started_between(start: str | None, end: str | None, whole_end_day: bool = False) -> Column:
+def started_between(start: str | None, end: str | None, whole_end_day: bool = False, ts: str = "started_at") -> Column:
     """Start-time filter from bare dates.
 
     The end date means its midnight, so only that instant of the last day
     passes; ``whole_end_day`` keeps the day.
     """
     cond = F.lit(True)
-    ts = F.col("started_at")
+    ts = F.col(ts)
     if start:
         cond = cond & (ts >= F.lit(start).cast("timestamp_ntz"))
     if end:

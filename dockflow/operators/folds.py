@@ -6,7 +6,7 @@ of trips, which is what makes broadcasting it safe.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.functions.time import add_seconds, day_start, is_weekend
@@ -97,6 +97,31 @@ def context_days(folds: DataFrame, buckets: DataFrame) -> DataFrame:
     )
 
 
+def fold_counts(daily: DataFrame, folds: DataFrame, keys: list[str], together: list[str]) -> DataFrame:
+    """(fold_id, *keys, trips): training trips of each key in each fold that has any.
+
+    ``daily``: (*keys, day, trips), any number of rows a day. Folds of one
+    training length are a lane, numbered by their start, so a day lies in
+    consecutive ones: its trips enter at the first and leave after the last, two
+    events however many folds overlap, and counts are running totals of the
+    events. Rows are shuffled once, by ``together``, a part of the keys, before
+    there are events; the result still lies by it.
+    """
+    lane = F.date_diff(add_seconds("train_end", -1), "train_start")
+    at = Window.partitionBy("lane").orderBy("train_start", "fold_id")
+    lanes = folds.select("fold_id", "train_start", "train_end", lane.alias("lane")).withColumn("idx", F.row_number().over(at) - 1)
+    inside = fold_days(lanes, "train", keep=("lane", "idx")).groupBy("day", "lane")
+    spans = inside.agg(F.min("idx").alias("enters"), (F.max("idx") + 1).alias("leaves"))
+    both = F.array(F.struct(F.col("enters").alias("idx"), "trips"), F.struct(F.col("leaves").alias("idx"), (-F.col("trips")).alias("trips")))
+    # Both broadcast tables are bounded by the calendar: a row for each day and training length, and one for each fold.
+    events = daily.repartition(*together).join(F.broadcast(spans), "day").select(*keys, "lane", F.inline(both))
+    along = Window.partitionBy(*keys, "lane").orderBy("idx")
+    changes = events.groupBy(*keys, "lane", "idx").agg(F.sum("trips").alias("change"))
+    levels = changes.select(*keys, "lane", "idx", F.lead("idx").over(along).alias("next"), F.sum("change").over(along).alias("trips"))
+    each = levels.where("trips > 0").withColumn("idx", F.explode(F.sequence("idx", F.col("next") - 1)))
+    return each.join(F.broadcast(lanes.select("fold_id", "lane", "idx")), ["lane", "idx"]).select("fold_id", *keys, "trips")
+
+
 def fold_array(folds: DataFrame, *columns: str) -> Column:
     """The fold table as one array literal, for exploding onto a station row
     without a join."""

@@ -169,6 +169,12 @@ def month_inventory(trips: DataFrame, stations: DataFrame | None = None) -> Data
     )
 
 
+def top_start_inventory(inventory: DataFrame, k: int = 10) -> DataFrame:
+    """Each month's ``k`` stations with most bikes at its start."""
+    most = Window.partitionBy("year", "month").orderBy(F.desc("start_bikes"), "station_name")
+    return inventory.withColumn("rank", F.row_number().over(most)).where(F.col("rank") <= k)
+
+
 def month_inventory_summary(trips: DataFrame, inventory: DataFrame) -> DataFrame:
     """Per month: trips, first and last start, stations, bikes at both ends."""
     loaded = trips.groupBy(F.year("started_at").alias("year"), F.month("started_at").alias("month")).agg(

@@ -4,6 +4,7 @@ the expected-value walk over them."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.text import short_label
 from dockflow.functions.time import is_weekend
-from dockflow.operators.folds import context_days, fold_days, on_fold_days, stations_by_fold, time_grid
+from dockflow.operators.folds import context_days, fold_counts, stations_by_fold, time_grid
 from dockflow.params import DEFAULT_CAPACITY, HOUR
-from dockflow.session import cut, union_all
+from dockflow.session import cut, setting, union_all
 
 CONTEXT = ["fold_id", "hour", "is_weekend"]
 
@@ -40,23 +41,22 @@ def _departures(*origin: str) -> Column:
 def fit_markov(od: DataFrame, folds: DataFrame, min_transitions: int = 1) -> MarkovFit:
     """Fit every fold at once from the hourly origin-destination table.
 
-    The table is laid out by (origin, hour of day) before the folds multiply
-    it: every later grouping contains both keys, so the multiplied rows are
-    counted and normalised where they are. It is already one row per hour and
-    pair, which bounds what one busy origin can hold.
+    Trips are counted by running totals over the folds (see ``fold_counts``), so
+    what is shuffled doesn't depend on how many training windows a trip lies in.
+    The table is laid out by origin and context, in which counting and
+    normalising happen where the rows are. It is one row per pair and hour:
+    whatever an origin's share of the trips, its 48 contexts lie apart, and each
+    holds at most a row per destination and day.
 
     A context with fewer than ``min_transitions`` distinct pairs uses the
     fallback for both probabilities and rates.
     """
-    laid_out = od.withColumns({"hour": F.hour("bucket"), "is_weekend": is_weekend("bucket")}).repartition(
-        "from_station", "hour"
-    )
-    counts = (
-        on_fold_days(laid_out, fold_days(folds, "train"))
-        .groupBy("fold_id", "hour", "is_weekend", "from_station", "to_station")
-        .agg(F.sum("trips").alias("trips"))
+    daily = od.select(
+        F.hour("bucket").alias("hour"), is_weekend("bucket").alias("is_weekend"), "from_station", "to_station", F.to_date("bucket").alias("day"), "trips"
     )
     origin = [*CONTEXT, "from_station"]
+    keys = ["hour", "is_weekend", "from_station", "to_station"]
+    counts = fold_counts(daily, folds, keys, keys[:3])
     days = context_days(folds, od)
     pairs = counts.groupBy(*CONTEXT).agg(F.count(F.lit(1)).alias("n_pairs"))
     grid = folds.select("fold_id", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")).select(
@@ -232,29 +232,58 @@ def forecast_net_flow(edges: DataFrame, station_stats: DataFrame, windows: DataF
 # -- walks --------------------------------------------------------------------
 
 _STEPS_PER_PLAN = 8
+#: SQL text of bikes as whole billionths of one.
+NANOS = "CAST(round(({}) * 1e9D) AS BIGINT)"
+#: State rows and moves that one task of a step takes before there is another.
+_ROWS_PER_TASK, _MOVES_PER_TASK = 20_000, 500_000
+#: Number of the matrix that contexts without one of their own share.
+_FALLBACK = 48
+
+
+class WalkEdges(NamedTuple):
+    """rows: (fold_id, from_station, matrix, rate, dests), ``matrix`` being a
+    context (hour, plus 24 on weekends) or the fold's fallback; own: per fold a
+    number whose bit i says that context i has a matrix of its own; n: all
+    destinations."""
+
+    rows: DataFrame
+    own: DataFrame
+    n: int
+
 
+def _context(hour: Column | str, weekend: Column | str) -> Column:
+    hour, weekend = (F.col(c) if isinstance(c, str) else c for c in (hour, weekend))
+    return (hour + F.when(weekend, 24).otherwise(0)).cast("int")
 
-def walk_edges(edges: DataFrame, init: DataFrame) -> DataFrame:
-    """(fold_id, from_station, context, rate, dests): one row per station of the
-    walk and each of its 48 contexts (hour, plus 24 on weekends). ``dests`` holds
-    (to_station, prob, upto) in name order, ``upto`` being the running
-    probability, 1 at the last; a station without departures has none.
 
-    Cut once and kept by (fold, origin): only the state and the partial arrivals
-    of a step move.
+def walk_edges(edges: DataFrame | MarkovFit) -> WalkEdges:
+    """Edges as a walk reads them: one row per fold, origin and matrix. ``dests``
+    holds (to_station, prob, upto) in name order, ``upto`` being the running
+    probability, 1 at the last.
+
+    Of a fit the fallback is kept once per fold, and contexts without a matrix
+    point to it; a table of edges stands for itself. Rows are sorted by matrix
+    within the parts in which they lie, and the cache keeps each batch's least and greatest
+    one, so that a step reads the batches of its own contexts only.
     """
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    origin = ["fold_id", "from_station", "context"]
-    context = (F.col("hour") + F.when(F.col("is_weekend"), 24).otherwise(0)).cast("int")
-    every = init.select("fold_id", F.col("station_name").alias("from_station"), F.explode(F.sequence(F.lit(0), F.lit(47))).alias("context"))
+    if isinstance(edges, MarkovFit):
+        columns = ["fold_id", "from_station", "matrix", "to_station", "prob", "rate"]
+        numbered = union_all(
+            edges.edges.withColumn("matrix", _context("hour", "is_weekend")).select(*columns),
+            edges.fallback.withColumn("matrix", F.lit(_FALLBACK)).select(*columns),
+        )
+        known = edges.contexts.where("valid").select("fold_id", _context("hour", "is_weekend").alias("matrix"))
+    else:
+        numbered = edges.withColumn("matrix", _context("hour", "is_weekend"))
+        known = numbered.select("fold_id", "matrix").distinct()
+    origin = ["fold_id", "from_station", "matrix"]
     along = Window.partitionBy(*origin).orderBy("to_station")
     summed = F.sum("prob").over(along.rowsBetween(Window.unboundedPreceding, 0))
     upto = F.when(F.lead("to_station").over(along).isNull(), F.lit(1.0)).otherwise(summed)
-    known = edges.withColumn("context", context).withColumn("upto", upto)
-    known = known.groupBy(*origin).agg(F.max("rate").alias("rate"), F.sort_array(F.collect_list(F.struct("to_station", "prob", "upto"))).alias("dests"))
-    none = F.array().cast("array<struct<to_station:string,prob:double,upto:double>>")
-    table = every.join(known, origin, "left").select(*origin, F.coalesce("rate", F.lit(0.0)).alias("rate"), F.coalesce("dests", none).alias("dests"))
-    return cut(table.repartition(parts, "fold_id", "from_station")).persist()
+    dests = F.sort_array(F.collect_list(F.struct("to_station", "prob", "upto")))
+    rows = cut(numbered.withColumn("upto", upto).groupBy(*origin).agg(F.max("rate").alias("rate"), dests.alias("dests")))
+    n = rows.agg(F.sum(F.size("dests"))).first()[0] or 0
+    return WalkEdges(rows, known.groupBy("fold_id").agg(F.expr("bit_or(shiftleft(1L, matrix))").alias("own")), n)
 
 
 def walk_state(init: DataFrame) -> DataFrame:
@@ -268,55 +297,76 @@ def walk_state(init: DataFrame) -> DataFrame:
     )
 
 
+def _contexts_at(starts: list[datetime], seconds: int) -> list[int]:
+    """The contexts in which walks that began at ``starts`` are after so many seconds."""
+    now = [t + timedelta(seconds=seconds) for t in starts]
+    return sorted({t.hour + 24 * (t.weekday() >= 5) for t in now})
+
+
 def run_walk(
-    state: DataFrame, keys: list[str], table: DataFrame, steps: int, seconds: int, moves: Callable[[str], str], per_plan: int = _STEPS_PER_PLAN
+    state: DataFrame, keys: list[str], edges: WalkEdges, steps: int, seconds: int, moves: Callable[[str], str], per_plan: int = _STEPS_PER_PLAN
 ) -> DataFrame:
     """Walk ``steps`` values from ``state`` and return (*keys, piece, values): the
     path of each key in pieces labelled with their last step.
 
     ``moves(joined)`` is SQL text over the state joined with its origin's row for
-    the current context (bikes ``x``, ``rate``, ``dests``) that gives rows
+    the current context (bikes ``x``, ``rate``, ``dests``, both null for origins
+    without departures) that gives rows
     (station_name, moved, is_self, other state columns). A step sums ``moved``
     per key, rounded to nine digits as sums differ in their last ones with the
     order of addition, and clips it to [0, capacity]; the values of earlier steps ride along
     on the self rows, so each step reads the state once and plans grow linearly.
-    Every ``per_plan`` steps the lineage is cut. There is one plan for every size: the
-    state meets ``table`` (see ``walk_edges``) where that lies, and arrivals are
-    summed before they travel.
+    Every ``per_plan`` steps the lineage is cut.
+
+    There is one plan for every size: edges lie by (fold, origin) and stay there,
+    the state meets the rows of its contexts, and only what moved travels, by
+    (fold, station). The number of tasks follows the rows of a step.
     """
-    spark = table.sparkSession
-    state = cut(state)
-    by = ", ".join(keys)
-
-    def step_sql(n: int) -> str:
-        before = [f"x{i}" for i in range(n)]
-        carried = ", ".join(f"max(CASE WHEN is_self THEN {c} END) AS {c}" for c in ("ts", "capacity", *before))
-        at = f"""(SELECT *, hour(ts) + CASE WHEN weekday(ts) IN (5, 6) THEN 24 ELSE 0 END AS now, x{n - 1} AS x FROM (
-            SELECT * EXCEPT (ts), timestampadd(SECOND, {int(seconds)}, ts) AS ts FROM s{n - 1}))"""
+    spark = state.sparkSession
+    state = cut(state.join(edges.own, "fold_id", "left").withColumn("own", F.coalesce("own", F.lit(0).cast("long"))))
+    starts = [r[0] for r in state.select("ts").distinct().collect()]  # folds at most
+    n_rows = state.count()
+    wanted = 1 + max(n_rows // _ROWS_PER_TASK, edges.n // (_FALLBACK * _MOVES_PER_TASK))
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    table = edges.rows.repartition(parts, "fold_id", "from_station").sortWithinPartitions("matrix").persist()
+    by, own_columns = ", ".join(keys), ("ts", "capacity", "own")
+
+    def step(before: DataFrame, n: int, number: int) -> DataFrame:
+        """The state after one more step; ``x0`` to ``x{n - 1}`` are known."""
+        known = [f"x{i}" for i in range(n)]
+        carried = ", ".join(f"max(CASE WHEN is_self THEN {c} END) AS {c}" for c in (*own_columns, *known))
+        contexts = ", ".join(map(str, [*_contexts_at(starts, number * seconds), _FALLBACK]))
+        at = f"""(SELECT *, CASE WHEN (shiftright(own, now) & 1L) = 1 THEN now ELSE {_FALLBACK} END AS matrix, x{n - 1} AS x FROM (
+            SELECT *, hour(ts) + CASE WHEN weekday(ts) IN (5, 6) THEN 24 ELSE 0 END AS now FROM (
+            SELECT * EXCEPT (ts), timestampadd(SECOND, {int(seconds)}, ts) AS ts FROM {{before}})))"""
         # Two inequalities: an equality would become a key, and the table is laid out by fold and origin.
-        joined = f"""(SELECT s.*, e.rate, e.dests FROM {at} s JOIN {{table}} e
-            ON e.fold_id = s.fold_id AND e.from_station = s.station_name AND e.context <= s.now AND e.context >= s.now)"""
-        return f"""s{n} AS (SELECT *, greatest(0D, least(capacity, round(total, 9))) AS x{n} FROM (
-            SELECT {by}, {carried}, sum(moved) AS total FROM ({moves(joined)}) GROUP BY {by}))"""
+        joined = f"""(SELECT /*+ SHUFFLE_HASH(e) */ s.*, e.rate, e.dests FROM {at} s
+            LEFT JOIN (SELECT * FROM {{table}} WHERE matrix IN ({contexts})) e
+            ON e.fold_id = s.fold_id AND e.from_station = s.station_name AND e.matrix <= s.matrix AND e.matrix >= s.matrix)"""
+        query = f"""SELECT *, greatest(0D, least(capacity, total / 1e9D)) AS x{n} FROM (
+            SELECT {by}, {carried}, sum(moved) AS total FROM (
+                SELECT /*+ REPARTITION({parts}, fold_id, station_name) */ * FROM ({moves(joined)})) GROUP BY {by})"""
+        return spark.sql(query, before=before, table=table).drop("total")
 
     pieces = [state.select(*keys, F.lit(0).alias("piece"), F.array("x0").alias("values"))]
     done = 0
     while done < steps - 1:
         upto = min(done + per_plan, steps - 1)
         n = upto - done
-        chain = ",\n".join(step_sql(i) for i in range(1, n + 1))
-        columns = ", ".join(f"x{i}" for i in range(n + 1))
-        query = f"WITH s0 AS (SELECT * FROM {{state}}),\n{chain}\nSELECT {by}, ts, capacity, {columns} FROM s{n}"
-        state = cut(spark.sql(query, state=state, table=table))
+        # The plan is fixed and its tables are laid out: nothing is left to adapt between steps.
+        with setting(spark, "spark.sql.adaptive.enabled", "false"), setting(spark, "spark.sql.shuffle.partitions", str(parts)):
+            for i in range(1, n + 1):
+                state = step(state, i, done + i)
+            state = cut(state)
         values = F.array(*[f"x{i}" for i in range(1, n + 1)])
         pieces.append(state.select(*keys, F.lit(upto).alias("piece"), values.alias("values")))
-        state = state.select(*keys, "ts", "capacity", F.col(f"x{n}").alias("x0"))
+        state = state.select(*keys, *own_columns, F.col(f"x{n}").alias("x0"))
         done = upto
     table.unpersist()
     return union_all(*pieces)
 
 
-def forecast_markov(edges: DataFrame, init: DataFrame, steps: int, seconds: int = HOUR) -> DataFrame:
+def forecast_markov(edges: DataFrame | MarkovFit, init: DataFrame, steps: int, seconds: int = HOUR) -> DataFrame:
     """Expected-value trajectories of ``steps`` values for all folds together.
 
     ``init``: (fold_id, station_name, capacity, test_start, bikes). Departures
@@ -330,11 +380,11 @@ def forecast_markov(edges: DataFrame, init: DataFrame, steps: int, seconds: int
     def moves(joined: str) -> str:
         return f"""SELECT s.* EXCEPT (station_name, rate, dests), m.* FROM {joined} s
             LATERAL VIEW inline(concat(
-                array(named_struct('station_name', station_name, 'moved', x - least(rate, x), 'is_self', true)),
-                transform(dests, d -> named_struct('station_name', d.to_station, 'moved', d.prob * least(rate, x), 'is_self', false))
+                array(named_struct('station_name', station_name, 'moved', {NANOS.format('x - least(coalesce(rate, 0D), x)')}, 'is_self', true)),
+                coalesce(transform(dests, d -> named_struct('station_name', d.to_station, 'moved', {NANOS.format('d.prob * least(rate, x)')}, 'is_self', false)), array())
             )) m"""
 
-    pieces = run_walk(walk_state(init), keys, walk_edges(edges, init), steps, seconds, moves)
+    pieces = run_walk(walk_state(init), keys, walk_edges(edges), steps, seconds, moves)
     paths = pieces.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("piece", "values"))).alias("pieces"))
     return paths.join(init.select(*keys, "capacity", "test_start"), keys).select(
         *keys, "capacity", F.col("test_start").alias("start_ts"), F.flatten(F.col("pieces")["values"]).alias("bikes")

@@ -1,80 +1,111 @@
 """Exact quantiles of a large column.
 
-Spark's exact percentile gathers every distinct value in one task. Here the
-values are counted first; the counted histogram is then narrowed twice to the
-equal-width slices that hold the wanted ranks, and only the distinct values of
-those slices (about 1/16,000,000 of the value range each) reach the last step.
+Spark's exact percentile gathers every distinct value in one task. Here values
+are counted first, and the counted values are written once. Rounds then cut the
+span that holds a wanted rank at approximate quantiles of its distinct values and
+keep the piece that holds the rank, until a span has few enough values to be
+ordered in one task. Cuts follow the values' ranks, not their sizes, so a round
+leaves about a 256th of a span however the values lie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_SLICES = 4096
+from dockflow.functions.numeric import position_sql
+from dockflow.session import cut
 
+#: Distinct values that are ordered in one task, and pieces a round makes of a span.
+_FEW, _PIECES = 10_000, 256
 
-def _slice_of(value: Column, low: Column, high: Column) -> Column:
-    share = F.try_divide(value - low, high - low)
-    index = F.floor(share * F.lit(float(_SLICES))).cast("int")
-    return F.least(F.coalesce(index, F.lit(0)), F.lit(_SLICES - 1))
 
+class _Span(NamedTuple):
+    """Values from ``low`` to ``high``, both included, with ``before`` rows below
+    and ``distinct`` values inside."""
 
-def _at_targets(hist: DataFrame, targets: DataFrame) -> DataFrame:
-    """Histogram rows within the value bounds of a target, tagged with it. The
-    targets (two per wanted quantile) travel as one array literal."""
-    packed = targets.agg(F.collect_list(F.struct("prob", "rank", "low", "high", "before"))).scalar()
+    low: float
+    high: float
+    before: int
+    distinct: int
+
+
+def _within(hist: DataFrame, spans: list[_Span]) -> DataFrame:
+    """Counted values inside the spans, tagged with the span's number."""
+    listed = F.array(*[F.struct(F.lit(i).alias("span"), F.lit(s.low).alias("low"), F.lit(s.high).alias("high")) for i, s in enumerate(spans)])
     value = F.col("value")
-    inside = (value >= F.col("low")) & (value <= F.col("high"))
-    return hist.select("value", "n", F.inline(packed)).where(inside)
+    # The spans' number is twice that of the quantiles at most; the outer bounds reach the scan.
+    outer = (value >= min(s.low for s in spans)) & (value <= max(s.high for s in spans))
+    return hist.where(outer).select("value", "n", F.inline(listed)).where((value >= F.col("low")) & (value <= F.col("high")))
 
 
-def _holding_rank(counted: DataFrame, order: str) -> DataFrame:
-    """Of each target's ordered counts, the row whose span covers its rank."""
-    run = Window.partitionBy("prob", "rank").orderBy(order)
-    return counted.withColumn("upto", F.col("before") + F.sum("n").over(run)).where(
-        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+def _pieces(hist: DataFrame, spans: list[_Span]) -> dict[int, list[_Span]]:
+    """Each span cut at approximate quantiles of its distinct values."""
+    shares = F.array(*[F.lit(i / _PIECES) for i in range(1, _PIECES)])
+    approximate = F.percentile_approx("value", shares, F.lit(8 * _PIECES)).alias("points")
+    found = _within(hist, spans).groupBy("span").agg(approximate).collect()
+    points = F.array(*[F.array(*[F.lit(p) for p in sorted(set(r["points"]))]) for r in sorted(found, key=lambda r: r["span"])])
+    piece = F.expr(position_sql("points", "value"))
+    counted = (
+        _within(hist, spans)
+        .withColumn("points", F.get(points, F.col("span")))
+        .groupBy("span", piece.alias("piece"))
+        .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct"))
     )
+    out: dict[int, list[_Span]] = {}
+    before = [s.before for s in spans]
+    for r in sorted(counted.collect(), key=lambda r: (r["span"], r["piece"])):  # a few hundred rows a span
+        out.setdefault(r["span"], []).append(_Span(r["low"], r["high"], before[r["span"]], r["distinct"]))
+        before[r["span"]] += r["n"]
+    return out
 
 
-def _narrow(hist: DataFrame, targets: DataFrame) -> DataFrame:
-    """Shrink each target's value bounds to the slice that holds its rank; at
-    most 4096 slices per target are ordered, whatever the table holds."""
-    sliced = (
-        _at_targets(hist, targets)
-        .groupBy("prob", "rank", "before", _slice_of(F.col("value"), F.col("low"), F.col("high")).alias("slice"))
-        .agg(F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-    )
-    return _holding_rank(sliced, "slice").select(
-        "prob", "rank", "low", "high", (F.col("upto") - F.col("n")).alias("before")
+def spans_of_ranks(hist: DataFrame, ranks: Sequence[int], few: int = _FEW) -> tuple[dict[int, _Span], int]:
+    """The span of few distinct values around each rank, and the rounds it took."""
+    whole = hist.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("distinct")).first()
+    at = dict.fromkeys(ranks, _Span(whole["low"], whole["high"], 0, whole["distinct"]))
+    rounds = 0
+    while True:
+        wide = sorted({s for s in at.values() if s.distinct > few})
+        if not wide:
+            return at, rounds
+        rounds += 1
+        pieces = _pieces(hist, wide)
+        for rank, span in at.items():
+            if span in wide:
+                at[rank] = [p for p in pieces[wide.index(span)] if p.before <= rank][-1]
+
+
+def _values_at(hist: DataFrame, at: dict[int, _Span]) -> dict[int, float]:
+    """The values at the ranks; each span is ordered in one task."""
+    spans = sorted(set(at.values()))
+    before = F.get(F.array(*[F.lit(s.before).cast("long") for s in spans]), F.col("span"))
+    run = Window.partitionBy("span").orderBy("value")
+    ranked = _within(hist, spans).withColumn("upto", before + F.sum("n").over(run))
+    wanted = F.array(*[F.lit(int(r)).cast("long") for r in sorted(at)])
+    held = ranked.select("span", "value", "n", "upto", F.explode(wanted).alias("rank")).where(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
     )
+    return {r["rank"]: r["value"] for r in held.select("rank", "value").collect()}
 
 
 def exact_quantiles(df: DataFrame, value: Column, probs: Sequence[float]) -> DataFrame:
     """(prob, quantile) with linear interpolation between the two ranks around
-    ``prob * (n - 1)``. Nulls are left out."""
-    hist = (
-        df.select(value.cast("double").alias("value"))
-        .where(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    bounds = hist.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"))
-    position = F.col("prob") * (F.col("total") - 1)
-    targets = (
-        bounds.where(F.col("total").isNotNull())
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
-        .select("prob", "rank", "low", "high", F.lit(0).cast("long").alias("before"))
-    )
-    for _ in range(2):
-        targets = _narrow(hist, targets)
-    ranked = _holding_rank(_at_targets(hist, targets), "value")
-    share = F.col("prob") * (bounds.select("total").scalar() - 1) - F.col("lower")
-    return (
-        ranked.groupBy("prob")
-        .agg(F.min("rank").alias("lower"), F.min("value").alias("v0"), F.max("value").alias("v1"))
-        .select("prob", (F.col("v0") + (F.col("v1") - F.col("v0")) * share).alias("quantile"))
+    ``prob * (n - 1)``. Nulls are left out; no values give no rows. Runs its
+    jobs at once: how many rounds there are depends on the values."""
+    spark: SparkSession = df.sparkSession
+    hist = cut(
+        df.select(value.cast("double").alias("value")).where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     )
+    total = hist.agg(F.sum("n")).first()[0]
+    schema = "prob double, quantile double"
+    if not total:
+        return spark.createDataFrame([], schema)
+    positions = {float(p): float(p) * (total - 1) for p in probs}
+    ranks = sorted({r for x in positions.values() for r in (int(x // 1), int(-(-x // 1)))})
+    at = _values_at(hist, spans_of_ranks(hist, ranks)[0])
+    rows = [(p, at[int(x // 1)] + (at[int(-(-x // 1))] - at[int(x // 1)]) * (x - x // 1)) for p, x in positions.items()]
+    return spark.createDataFrame(rows, schema)

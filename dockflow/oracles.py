@@ -362,6 +362,34 @@ item_sql(
         WHERE started_at >= '1995-03-15' AND started_at <= '2001-06-30' GROUP BY 1, 2) k ON k.year = m.year AND k.month = m.month""",
 )
 
+READ = f"""SELECT member_casual, start_station_name, count(*) AS trips, min(started_at) AS first_start, {r(f'sum({MINUTES})', 'minutes')},
+    count(DISTINCT end_station_id) AS end_ids"""
+trip_sql("csv_trips", f"{READ} FROM trips WHERE started_at >= '2024-01-04' AND started_at < '2024-01-26' GROUP BY 1, 2")
+trip_sql(
+    "chosen_source",
+    " UNION ALL ".join(
+        f"""{READ}, '{name}' AS source FROM trips WHERE started_at >= '2024-01-04' AND started_at <= '2024-01-25' AND {riders} GROUP BY 1, 2"""
+        for name, riders in (("before", "member_casual = 'casual'"), ("parquet", "true"), ("csv", "member_casual = 'casual'"))
+    ),
+)
+trip_sql(
+    "conversion_totals",
+    """SELECT count(*) AS successful, CAST(0 AS BIGINT) AS failed, CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(bad) AS BIGINT) AS unread_starts
+    FROM (SELECT year, month, count(*) AS n, count(*) FILTER (started_at IS NULL) AS bad FROM trips GROUP BY 1, 2)""",
+)
+ORACLES["station_files"] = """WITH docks AS (
+    SELECT 'S' || CAST(n_nationkey AS VARCHAR) || '-0' AS station_id, n_name AS name,
+        CASE WHEN n_nationkey <> 3 THEN CAST(10 + (n_nationkey * 7) % 31 AS DOUBLE) END AS capacity,
+        round(40.45::DOUBLE + n_nationkey * 0.02::DOUBLE, 6) AS lat, round(-74.2::DOUBLE + n_nationkey * 0.02::DOUBLE, 6) AS lng,
+        CAST(n_regionkey AS VARCHAR) AS region_id FROM nation WHERE n_nationkey <> 5)
+SELECT *, 'csv' AS source FROM docks UNION ALL SELECT *, 'parquet' FROM docks WHERE capacity IS NOT NULL"""
+trip_sql(
+    "exported_trips",
+    """SELECT member_casual, CAST(CAST(started_at AS DATE) AS VARCHAR) AS day, count(*) AS trips, count(start_station_name) AS named,
+    max(started_at) AS last_start FROM trips GROUP BY 1, 2""",
+)
+ORACLES["stored_hourly_summary"] = ORACLES["hourly_od_summary"]
+
 # -- preparation, folds, inventories -------------------------------------------
 
 
@@ -461,6 +489,15 @@ inferred AS (SELECT s.year, s.month, s.station_name, coalesce(b.x, 0) AS start_b
     LEFT JOIN (SELECT year, month, station_name, arg_max(x, j) AS x FROM backward GROUP BY ALL) b USING (year, month, station_name))"""
 recursive("month_inventory", "SELECT * FROM inferred", DOCKS, MONTH_CTES)
 recursive("supplier_month_inventory", "SELECT * FROM inferred", ITEM_DOCKS, MONTH_CTES, base=ITEMS)
+recursive("month_inventory_files", "SELECT CAST(year AS BIGINT) AS year, CAST(month AS BIGINT) AS month, station_name, start_bikes, end_bikes FROM inferred", DOCKS, MONTH_CTES)
+recursive(
+    "top_start_inventory",
+    """SELECT *, CAST(row_number() OVER (PARTITION BY year, month ORDER BY start_bikes DESC, station_name) AS INTEGER) AS rank
+    FROM inferred QUALIFY rank <= 10""",
+    ITEM_DOCKS,
+    MONTH_CTES,
+    base=ITEMS,
+)
 recursive(
     "month_inventory_summary",
     """SELECT t.*, n_stations, total_bikes_start, total_bikes_end FROM
@@ -612,6 +649,18 @@ SUMMARY = "summary AS (" + " UNION ALL ".join(
     f"SELECT model, '{m}' AS metric, avg({m}) AS mean, stddev_pop({m}) AS std FROM metrics GROUP BY 1" for m in METRIC_LIST
 ) + ")"
 recursive("cv_summary", f"SELECT model, metric, {r('mean')}, {r('std')} FROM summary", *ALL3, SUMMARY)
+recursive(
+    "result_documents",
+    f"SELECT model, fold_id, {r('inventory_mae')}, {r('full_recall')}, {DATES} FROM metrics JOIN folds f USING (fold_id)",
+    *ALL3,
+)
+recursive(
+    "stored_summary",
+    f"""SELECT model, metric, {r('mean')}, {r('std')}, '2 weeks' AS config, CAST(42 AS INTEGER) AS random_seed, '20240102_000000' AS run_ts,
+    {r('mean', 'document_mean')}, {r('std', 'document_std')} FROM summary""",
+    *ALL3,
+    SUMMARY,
+)
 recursive(
     "supplier_fold_metrics",
     f"SELECT model, fold_id, {metric_columns()}, {DATES} FROM metrics JOIN folds f USING (fold_id)",
@@ -753,15 +802,51 @@ def markov_walk(last: int) -> str:
             least(coalesce(d.rate, 0), w.bikes) AS leaving
         FROM mk_walk w LEFT JOIN rates d ON d.fold_id = w.fold_id AND d.hour = hour(w.ts + INTERVAL 1 HOUR)
             AND d.is_weekend = {WEEKEND.format('(w.ts + INTERVAL 1 HOUR)')} AND d.from_station = w.station_name WHERE w.i < {last})
-        SELECT fold_id, station_name, i, ts, least(coalesce(max(capacity), 30.0::DOUBLE), greatest(0.0::DOUBLE, round(sum(m), 9))) AS bikes, max(capacity) AS capacity
-        FROM (SELECT fold_id, station_name, i, ts, bikes - leaving AS m, capacity FROM nxt
-            UNION ALL SELECT n.fold_id, e.to_station, n.i, n.ts, e.prob * n.leaving, NULL FROM nxt n JOIN edges e ON e.fold_id = n.fold_id
+        SELECT fold_id, station_name, i, ts, least(coalesce(max(capacity), 30.0::DOUBLE), greatest(0.0::DOUBLE, sum(m)::DOUBLE / 1e9::DOUBLE)) AS bikes, max(capacity) AS capacity
+        FROM (SELECT fold_id, station_name, i, ts, round((bikes - leaving) * 1e9)::BIGINT AS m, capacity FROM nxt
+            UNION ALL SELECT n.fold_id, e.to_station, n.i, n.ts, round(e.prob * n.leaving * 1e9)::BIGINT, NULL FROM nxt n JOIN edges e ON e.fold_id = n.fold_id
                 AND e.hour = hour(n.ts) AND e.is_weekend = {WEEKEND.format('n.ts')} AND e.from_station = n.station_name)
         GROUP BY fold_id, station_name, i, ts))"""
 
 
 recursive("forecast_markov", PATH + "mk_walk", *MK, INIT, markov_walk(167))
 
+
+def ensemble_walk(last: int, simulations: int, seed: int = 42) -> str:
+    """Simulated walks: a bike leaves for the destination whose slice of [0, 1) holds its draw."""
+    draw = lambda number: f"""(('0x' || substr(md5(concat_ws('|', '{seed}', fold_id, sim_id, station_name, ts, {number})), 1, 13))::BIGINT / {2**52}.0::DOUBLE)"""
+    poisson = f"""list_reduce(list_prepend({{'k': 0::BIGINT, 'log': -lam, 'cdf': exp(-lam)}},
+            list_transform(range(1, floor(x)::BIGINT + 1), lambda k: {{'k': k, 'log': 0.0::DOUBLE, 'cdf': 0.0::DOUBLE}})),
+        lambda a, e: CASE WHEN a.k = e.k - 1 AND u > a.cdf
+            THEN {{'k': e.k, 'log': a.log + ln(lam / e.k), 'cdf': a.cdf + exp(a.log + ln(lam / e.k))}} ELSE a END).k"""
+    return f"""slices AS MATERIALIZED (SELECT *, coalesce(lag(hi) OVER (PARTITION BY fold_id, hour, is_weekend, from_station ORDER BY to_station), 0) AS lo FROM (
+        SELECT fold_id, hour, is_weekend, from_station, to_station, CASE WHEN lead(to_station) OVER o IS NULL THEN 1.0::DOUBLE ELSE sum(prob) OVER o END AS hi
+        FROM edges WINDOW o AS (PARTITION BY fold_id, hour, is_weekend, from_station ORDER BY to_station ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))),
+known_rates AS MATERIALIZED (SELECT * FROM rates),
+en_walk AS (SELECT fold_id, s AS sim_id, station_name, 0 AS i, test_start AS ts, bikes, coalesce(capacity, 30.0::DOUBLE) AS cap FROM init CROSS JOIN generate_series(0, {simulations - 1}) g(s)
+    UNION ALL (WITH before AS (SELECT w.fold_id, w.sim_id, w.station_name, w.i + 1 AS i, w.ts + INTERVAL 1 HOUR AS ts, w.bikes AS x, w.cap,
+            coalesce(d.rate, 0) * w.bikes / greatest(w.cap, 1) AS lam
+        FROM en_walk w LEFT JOIN known_rates d ON d.fold_id = w.fold_id AND d.hour = hour(w.ts + INTERVAL 1 HOUR)
+            AND d.is_weekend = {WEEKEND.format('(w.ts + INTERVAL 1 HOUR)')} AND d.from_station = w.station_name WHERE w.i < {last}),
+        nxt AS (SELECT *, CASE WHEN lam > 0 AND x >= 1 THEN {poisson} ELSE 0 END AS leaving FROM (SELECT *, {draw(0)} AS u FROM before)),
+        gone AS (SELECT *, {draw('j')} AS v FROM (SELECT fold_id, sim_id, station_name, i, ts, unnest(range(1, leaving + 1)) AS j FROM nxt))
+        SELECT fold_id, sim_id, station_name, i, ts, least(max(cap), greatest(0.0::DOUBLE, sum(m)::DOUBLE / 1e9::DOUBLE)) AS bikes, max(cap) AS cap
+        FROM (SELECT fold_id, sim_id, station_name, i, ts, round((x - leaving) * 1e9)::BIGINT AS m, cap FROM nxt
+            UNION ALL SELECT g.fold_id, g.sim_id, e.to_station, g.i, g.ts, 1000000000, NULL FROM gone g JOIN slices e ON e.fold_id = g.fold_id
+                AND e.hour = hour(g.ts) AND e.is_weekend = {WEEKEND.format('g.ts')} AND e.from_station = g.station_name AND g.v >= e.lo AND g.v < e.hi)
+        GROUP BY fold_id, sim_id, station_name, i, ts))"""
+
+
+recursive(
+    "forecast_ensemble",
+    f"""SELECT w.fold_id, w.station_name, {r('any_value(n.capacity)', 'capacity')}, w.ts, {r('avg(w.bikes)', 'mean')},
+    {r('quantile_cont(w.bikes, 0.05)', 'lower')}, {r('quantile_cont(w.bikes, 0.95)', 'upper')}
+    FROM en_walk w JOIN init n ON n.fold_id = w.fold_id AND n.station_name = w.station_name GROUP BY w.fold_id, w.station_name, w.ts""",
+    *MK,
+    INIT,
+    ensemble_walk(167, 50),
+)
+
 # -- comparison ---------------------------------------------------------------
 
 LOWER = "('inventory_mae', 'inventory_rmse')"
@@ -876,3 +961,23 @@ recursive(
     {r(MAE.format('true'), 'one_week_test_mae')}, {r(MAE.format('false'), 'two_week_test_mae')}""",
     *SWEEP,
 )
+LENGTHS = ((1, 1), (2, 1), (1, 2), (2, 2))
+UNTIL_END = "JOIN folds ff ON ff.fold_id = t.fold_id WHERE t.ts + INTERVAL 1 HOUR < ff.test_end"
+recursive(
+    "recommend_test_lengths",
+    f"""SELECT {best('inventory_mae', 'ASC')} AS lowest_mae_config, {best('empty_recall', 'DESC')} AS best_empty_config,
+    {best('full_recall', 'DESC')} AS best_full_config, {best('state_accuracy', 'DESC')} AS best_state_config,
+    {r(MAE.format('true'), 'short_train_mae')}, {r(MAE.format('false'), 'long_train_mae')},
+    {r(MAE.format('config_id <= 2'), 'one_week_test_mae')}, {r(MAE.format('config_id >= 3'), 'two_week_test_mae')}""",
+    PREP,
+    ",\n".join(folds_sql(train, test, 7, name=f"g{i}") for i, (train, test) in enumerate(LENGTHS, 1))
+    + ",\nfolds AS ("
+    + " UNION ALL ".join(f"SELECT fold_id + {i} * 1000000 AS fold_id, train_start, train_end, test_start, test_end FROM g{i}" for i in (1, 2, 3, 4))
+    + ")",
+    INIT,
+    TRUTH.replace("WHERE t.i < 167", UNTIL_END),
+    FACTS,
+    FLOW_FIT,
+    FLOW_WALK.replace("WHERE t.i < 167", UNTIL_END),
+    *SWEEP[-2:],
+)

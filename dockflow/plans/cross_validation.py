@@ -94,10 +94,10 @@ def forecast(
         return flow_models.forecast_station_avg(cut(flow_models.fit_station_avg(data.flows, fold.folds)), fold.init)
     if name == "temporal_flow":
         return flow_models.forecast_temporal_flow(cut(flow_models.fit_temporal_flow(data.flows, fold.folds)), fold.init)
-    edges = markov.effective_edges(markov.fit_markov(data.od, fold.folds, min_transitions))
+    fit = markov.fit_markov(data.od, fold.folds, min_transitions)
     if n_simulations == 1:
-        return markov.forecast_markov(edges, fold.init, steps)
-    return ensemble.forecast_ensemble(edges, fold.init, steps, n_simulations, seed)
+        return markov.forecast_markov(fit, fold.init, steps)
+    return ensemble.forecast_ensemble(fit, fold.init, steps, n_simulations, seed)
 
 
 def cross_validate(

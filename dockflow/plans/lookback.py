@@ -14,6 +14,8 @@ from dockflow.session import union_all
 
 # Fixed configurations of the sweep: (train weeks, test weeks, increment days).
 CONFIGURATIONS = [(1, 1, 7), (2, 1, 7), (3, 1, 7)]
+# The same, with test windows of two weeks beside those of one.
+TEST_LENGTHS = [(1, 1, 7), (2, 1, 7), (1, 2, 7), (2, 2, 7)]
 _FOLDS_PER_CONFIG = 1_000_000
 
 

@@ -226,6 +226,113 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.join(read, ["year", "month"], "left").fillna(0, ["read_rows", "minutes"])
 
 
+def _csv_parts(trips: DataFrame, folder: str) -> None:
+    """Trips as monthly CSV parts of two column orders, the casual riders' apart."""
+    columns = [f.name for f in trip_source.TRIPS.fields]
+    whole = trips.select(*[F.col(c) if c in trips.columns else F.lit(None).cast("string").alias(c) for c in columns], "year", "month")
+    stamp = F.concat(F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("-tripdata"))
+    casual = F.col("member_casual") == "casual"
+    for rows, order in ((whole.where(casual), columns[::-1]), (whole.where(~casual), columns)):
+        parts = rows.select(*order, stamp.alias("part")).hint("rebalance", "part").write.mode("append")
+        parts.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").partitionBy("part").csv(folder)
+
+
+def _read_back(trips: DataFrame) -> DataFrame:
+    return trips.groupBy("member_casual", "start_station_name").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.min("started_at").alias("first_start"),
+        F.sum(duration_minutes()).alias("minutes"),
+        F.count_distinct("end_station_id").alias("end_ids"),
+    )
+
+
+@registered
+def csv_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date range of trips out of CSV parts whose columns come in two orders."""
+    folder = scratch_path(spark, "csv-trips")
+    _csv_parts(tables.event_trips(spark, sf_dir), folder)
+    return _read_back(trip_source.read_trips_csv(spark, folder, "2024-01-04", "2024-01-25", whole_end_day=True, glob="*.csv"))
+
+
+@registered
+def chosen_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A data folder read before and after its CSV parts have become Parquet;
+    only the Parquet has the riders that were left out of the CSV."""
+    folder = scratch_path(spark, "data")
+    trips = tables.event_trips(spark, sf_dir)
+    _csv_parts(trips.where(F.col("member_casual") == "casual"), f"{folder}/202401-csv")
+    before = cut(_read_back(trip_source.read_trips(spark, folder, "2024-01-04", "2024-01-25", glob="*.csv")))
+    trip_source.convert_to_parquet(trips, f"{folder}/parquet/trips")
+    after = _read_back(trip_source.read_trips(spark, folder, "2024-01-04", "2024-01-25"))
+    forced = _read_back(trip_source.read_trips(spark, folder, "2024-01-04", "2024-01-25", use_parquet=False, glob="*.csv"))
+    named = {"before": before, "parquet": after, "csv": forced}
+    return union_all(*[rows.withColumn("source", F.lit(name)) for name, rows in named.items()])
+
+
+@registered
+def conversion_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of the audit that the conversion itself observes."""
+    folder = scratch_path(spark, "csv-parts")
+    _csv_parts(tables.event_trips(spark, sf_dir), folder)
+    audit = monthly.convert_months(spark, folder, scratch_path(spark, "trips-parquet"))
+    totals = trip_source.audit_totals(audit).select("successful", "failed", "total_rows")
+    return totals.withColumn("unread_starts", audit.agg(F.sum("unread_starts")).scalar())
+
+
+@registered
+def station_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The station dimension from its CSV, and from the Parquet that then stands beside it."""
+    folder = scratch_path(spark, "stations")
+    docks = tables.nation_stations(spark, sf_dir)
+    capacity = F.when(F.col("capacity") > 0, F.col("capacity").cast("string")).otherwise(F.lit("none"))
+    columns = [F.col(f.name) if f.name in docks.columns else F.lit(None).cast("string").alias(f.name) for f in station_source.STATIONS.fields]
+    docks.withColumn("capacity", capacity).select(*columns).write.option("header", True).csv(f"{folder}/info.csv")
+    from_csv = cut(station_source.read_stations(spark, f"{folder}/info.csv"))
+    kept = station_source.typed_stations(from_csv.where("capacity IS NOT NULL"), ["station_id", "name", "capacity", "lat", "lng", "region_id"])
+    station_source.write_stations(kept, f"{folder}/info.parquet")
+    from_parquet = station_source.read_stations(spark, f"{folder}/info.csv")
+    return union_all(
+        from_csv.select(*kept.columns).withColumn("source", F.lit("csv")), from_parquet.withColumn("source", F.lit("parquet"))
+    )
+
+
+@registered
+def exported_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned export, read back by partition."""
+    path = scratch_path(spark, "export")
+    trips = tables.event_trips(spark, sf_dir).withColumn("day", F.to_date("started_at"))
+    trip_source.export_parquet(trips.select("ride_id", "started_at", "start_station_name", "member_casual", "day"), path, ("member_casual", "day"))
+    return spark.read.parquet(path).groupBy("member_casual", F.col("day").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("trips"), F.count("start_station_name").alias("named"), F.max("started_at").alias("last_start")
+    )
+
+
+@registered
+def stored_hourly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "hourly")
+    trip_source.write_hourly_summary(query.hourly_od_summary(tables.event_trips(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@registered
+def month_inventory_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred inventories out of their JSON and CSV files, a folder for each month."""
+    path = scratch_path(spark, "inventories")
+    monthly.infer_months(tables.event_trips(spark, sf_dir), tables.nation_stations(spark, sf_dir), path)
+    documents = spark.read.json(f"{path}/month_documents").select("year", "month", F.inline("stations")).drop("end_bikes")
+    ends = spark.read.option("header", True).csv(f"{path}/end_inventory").select(
+        F.col("year").cast("long"), F.col("month").cast("long"), "station_name", F.col("bikes").cast("long").alias("end_bikes")
+    )
+    return documents.join(ends, ["year", "month", "station_name"]).select("year", "month", "station_name", "start_bikes", "end_bikes")
+
+
+@registered
+def top_start_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each month's stations with most bikes at its start."""
+    months = inventory.month_inventory(tables.lineitem_trips(spark, sf_dir), tables.supplier_stations(spark, sf_dir))
+    return inventory.top_start_inventory(months)
+
+
 # -- preparation, folds, inventories -------------------------------------------
 
 
@@ -479,7 +586,7 @@ def forecast_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole of each test window."""
     data, facts, fit = _fit(spark, sf_dir)
     init = cut(inventory.initial_inventory(data.flows, data.stations, facts))
-    paths = markov.forecast_markov(markov.effective_edges(fit), init, 168)
+    paths = markov.forecast_markov(fit, init, 168)
     return inventory.to_long(paths).drop("capacity")
 
 
@@ -488,7 +595,7 @@ def forecast_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and bounds of 50 simulations of each test window."""
     data, facts, fit = _fit(spark, sf_dir)
     init = cut(inventory.initial_inventory(data.flows, data.stations, facts))
-    return ensemble.forecast_with_uncertainty(markov.effective_edges(fit), init, 168, 50)
+    return ensemble.forecast_with_uncertainty(fit, init, 168, 50)
 
 
 # -- comparison ---------------------------------------------------------------
@@ -536,6 +643,32 @@ def latest_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("model", "run_ts", "fold_id", "inventory_mae", "state_accuracy")
 
 
+@registered
+def result_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result documents of two runs; of each model the later one's folds are read back."""
+    path = scratch_path(spark, "documents")
+    metrics = cut(fold_metrics(spark, sf_dir))
+    for run, kept in (("20240101_000000", F.col("fold_id") < 2), ("20240102_000000", F.lit(True))):
+        rows = metrics.where(kept)
+        results.write_documents(rows, evaluate.summarize_folds(rows, "model"), path, run, 42)
+    latest = results.latest_documents(results.read_result_documents(spark, f"{path}/*"))
+    return results.document_folds(latest).select("model", "fold_id", "inventory_mae", "full_recall", "train_start", "test_start")
+
+
+@registered
+def stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summary rows with their configuration, through a table and through documents."""
+    table, path = scratch_path(spark, "summary"), scratch_path(spark, "documents")
+    metrics = cut(fold_metrics(spark, sf_dir))
+    summary = cut(evaluate.summarize_folds(metrics, "model"))
+    results.append_results(results.stamped(summary, "20240102_000000", "2 weeks", 42), table)
+    results.write_documents(metrics, summary, path, "20240102_000000", 42)
+    rows = results.latest_per_model(spark.read.parquet(table)).select("model", "metric", "mean", "std", "config", "random_seed", "run_ts")
+    documents = results.document_summary(results.read_result_documents(spark, f"{path}/*"))
+    other = documents.select("model", "metric", F.col("mean").alias("document_mean"), F.col("std").alias("document_std"))
+    return rows.join(other, ["model", "metric"], "left")
+
+
 @registered
 def lookback_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Markov model over the three training windows, all folds in one walk."""
@@ -553,3 +686,10 @@ def normalized_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recommend_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = lookback.lookback_sweep(_data(spark, sf_dir), model="temporal_flow")
     return lookback.sweep_recommendation(metrics, lookback.configurations(spark))
+
+
+@registered
+def recommend_test_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One and two weeks of training against one and two weeks of test."""
+    metrics = lookback.lookback_sweep(_data(spark, sf_dir), lookback.TEST_LENGTHS, model="temporal_flow")
+    return lookback.sweep_recommendation(metrics, lookback.configurations(spark, lookback.TEST_LENGTHS))

@@ -54,11 +54,28 @@ def latest_per_model(results: DataFrame) -> DataFrame:
 def read_result_documents(spark: SparkSession, path: str) -> DataFrame:
     """Result documents (model, fold_results, summary, timestamp), one per file."""
     docs = spark.read.schema(RESULT_DOCUMENT).option("multiLine", True).json(path)
-    return docs.withColumn("file", F.col("_metadata.file_name"))
+    return docs.withColumn("file", F.col("_metadata.file_path"))
+
+
+def write_documents(metrics: DataFrame, summary: DataFrame, path: str, run_ts: str, seed: int | None = None) -> None:
+    """One JSON document per model (fold_results, summary, timestamp, seed) below
+    ``path/run_ts``. A document holds a model's folds, as many as the calendar has."""
+    fold = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in _FOLD.fields])
+    stat = lambda m: F.max(F.when(F.col("metric") == m, F.struct("mean", "std"))).alias(m)
+    folds = metrics.groupBy("model").agg(F.sort_array(F.collect_list(F.struct("fold_id", fold.alias("f")))).alias("folds"))
+    means = summary.groupBy("model").agg(*[stat(m) for m in METRICS]).select("model", F.struct(*METRICS).alias("summary"))
+    documents = folds.join(means, "model").select(
+        "model",
+        F.col("folds")["f"].alias("fold_results"),
+        "summary",
+        F.lit(run_ts).alias("timestamp"),
+        F.lit(seed).cast("int").alias("random_seed"),
+    )
+    documents.repartition("model").write.mode("overwrite").option("maxRecordsPerFile", 1).json(f"{path}/{run_ts}")
 
 
 def latest_documents(documents: DataFrame) -> DataFrame:
-    """Per model the document whose file name sorts last."""
+    """Per model the document whose file sorts last."""
     newest = Window.partitionBy("model").orderBy(F.desc("file"))
     return documents.withColumn("nth", F.row_number().over(newest)).where(F.col("nth") == 1).drop("nth")
 
@@ -91,6 +108,14 @@ def write_month_inventory(inventory: DataFrame, path: str) -> None:
         ).option("header", True).partitionBy("year", "month").csv(f"{path}/{side}_inventory")
 
 
+def write_month_documents(inventory: DataFrame, path: str) -> None:
+    """One JSON document per month: its stations with both inventories, by name.
+    A month has as many stations as the network."""
+    station = F.struct("station_name", "start_bikes", "end_bikes")
+    months = inventory.groupBy("year", "month").agg(F.sort_array(F.collect_list(station)).alias("stations"))
+    months.write.mode("overwrite").partitionBy("year", "month").json(f"{path}/month_documents")
+
+
 def write_month_summary(summary: DataFrame, path: str) -> None:
     """One JSON row per month."""
     summary.coalesce(1).write.mode("overwrite").json(f"{path}/inventory_summary")

@@ -232,6 +232,50 @@ def test_poisson_moments(spark):
     assert {r.k for r in capped.collect()} == {4}
 
 
+def test_draws_and_slices(spark):
+    """Draws are the leading bits of an MD5, and a binary search finds their slice; large rates don't take the whole stock."""
+    import hashlib
+
+    from dockflow.functions.numeric import poisson_sql, position_sql, uniform_sql
+
+    got = spark.range(50).select("id", F.expr(uniform_sql(9, "id", "'x'")).alias("u")).collect()
+    assert all(r.u == int(hashlib.md5(f"9|{r.id}|x".encode()).hexdigest()[:13], 16) / 2**52 for r in got)
+    for n in range(6):
+        upto = [(i + 1) / n for i in range(n)]
+        table = spark.range(40).select((F.col("id") / 40).alias("u"), F.array(*[F.lit(x) for x in upto]).cast("array<double>").alias("a"))
+        assert all(r.i == sum(x <= r.u for x in upto) for r in table.select("u", F.expr(position_sql("a", "u")).alias("i")).collect())
+    row = spark.range(2000).select(F.expr(poisson_sql("900D", uniform_sql(1, "id"), "2000D")).alias("k")).agg(F.avg("k").alias("m"), F.var_samp("k").alias("v")).first()
+    assert abs(row.m - 900) < 3 and abs(row.v - 900) < 120
+
+
+def test_fold_counts_equal_joins(spark):
+    """Running totals over overlapping folds of three lengths, and a fold without trips."""
+    rng = np.random.RandomState(2)
+    rows = [(f"s{rng.randint(3)}", f"s{rng.randint(4)}", pd.Timestamp("2025-09-01") + pd.Timedelta(days=int(d)), int(rng.randint(1, 5))) for d in rng.randint(0, 40, 300)]
+    daily = spark.createDataFrame([(a, b, d.date(), n) for a, b, d, n in rows], "a string, b string, day date, trips long")
+    windows = [(i, i % 30, (3, 7, 14)[i % 3]) for i in range(60)] + [(99, 500, 7)]
+    day = lambda k: pd.Timestamp("2025-08-25") + pd.Timedelta(days=k)
+    table = spark.createDataFrame([(f, day(a).to_pydatetime(), day(a + n).to_pydatetime()) for f, a, n in windows], "fold_id int, train_start timestamp_ntz, train_end timestamp_ntz")
+    got = {(r.fold_id, r.a, r.b): r.trips for r in folds.fold_counts(daily, table, ["a", "b"], ["a"]).collect()}
+    want = {}
+    for f, start, n in windows:
+        for a, b, d, k in rows:
+            if day(start) <= d < day(start + n):
+                want[f, a, b] = want.get((f, a, b), 0) + k
+    assert got == want
+
+
+def test_walk_reads_the_contexts_of_its_steps(spark, data, whole):
+    """The fallback is stored once, contexts without a matrix point to it, and a fit walks like its edges."""
+    fit = markov.fit_markov(data.od, whole, 7)
+    laid = markov.walk_edges(fit)
+    assert laid.rows.where(f"matrix = {markov._FALLBACK}").count() == fit.fallback.select("from_station").distinct().count()
+    assert laid.rows.count() < markov.walk_edges(markov.effective_edges(fit)).rows.count()
+    init = window(spark, "2025-09-13 20:00:00", "2025-09-16")
+    assert paths(markov.forecast_markov(fit, init, 12)) == paths(markov.forecast_markov(markov.effective_edges(fit), init, 12))
+    assert markov._contexts_at([pd.Timestamp("2025-09-13 20:00:00"), pd.Timestamp("2025-09-15")], 5 * 3600) == [5, 25]
+
+
 def test_persistence_and_unknown_model(spark):
     got = paths(flow_models.forecast_persistence(window(spark, "2025-09-15", "2025-09-16")))
     assert all(got[s] == [START[s]] * 24 for s in NAMES)

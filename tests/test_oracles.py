@@ -46,7 +46,7 @@ def test_matches_oracle(spark, name):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(QUERIES) - set(ORACLES) == {"forecast_ensemble"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

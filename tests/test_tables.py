@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trip_tables import as_trips, random_trips
 
 from dockflow.functions.text import name_contains, short_label
-from dockflow.operators import compare, endpoints, inventory, prepare, quality, query, stations
+from dockflow.operators import compare, endpoints, inventory, prepare, quality, quantiles, query, stations
 from dockflow.operators.quantiles import exact_quantiles
 from dockflow.plans import monthly
 from dockflow.schema import TRIPS
@@ -87,6 +87,52 @@ def test_trips_filed_under_another_month_are_read(spark, tmp_path):
             assert sorted(r.ride_id for r in got.collect()) == want
 
 
+def test_manifest_opens_only_what_the_range_needs(spark, csv_root, tmp_path):
+    """The May part holds a late April trip, so an April range opens it and not June's."""
+    root = tmp_path / "csv"
+    write_csv(root / "202504-tripdata_1.csv", [trip(i, f"2025-04-0{i + 1} 10:00:00") for i in range(3)])
+    write_csv(root / "202505-tripdata_1.csv", [trip(7, "2025-04-30 23:50:00"), trip(8, "2025-05-01 00:10:00")])
+    write_csv(root / "202506-tripdata_1.csv", [trip(9, "2025-06-02 08:00:00")])
+    target = str(tmp_path / "trips")
+    monthly.convert_months(spark, str(root), target)
+    opened = lambda df: sorted({f.split("year=")[1].rsplit("/", 1)[0] for f in df.inputFiles()})
+    april = trip_source.read_trips_parquet(spark, target, "2025-04-02", "2025-04-30", whole_end_day=True)
+    assert sorted(r.ride_id for r in april.collect()) == ["r1", "r2", "r7"] and opened(april) == ["2025/month=4", "2025/month=5"]
+    assert "PushedFilters: [IsNotNull(started_at)" in april._jdf.queryExecution().executedPlan().toString()
+    june = trip_source.read_trips_parquet(spark, target, "2025-06-01")
+    assert [(r.ride_id, r.year, r.month) for r in june.collect()] == [("r9", 2025, 6)] and opened(june) == ["2025/month=6"]
+    assert trip_source.read_trips_parquet(spark, target, "2026-01-01").count() == 0
+    # A file that the manifest doesn't know is read, and a month's entries follow its files.
+    extra = june.withColumn("ride_id", F.lit("new")).withColumn("started_at", F.col("started_at") - F.expr("INTERVAL 40 DAY"))
+    extra.drop("year", "month").write.mode("append").parquet(f"{target}/year=2025/month=6")
+    again = trip_source.read_trips_parquet(spark, target, "2025-04-20", "2025-04-29")
+    assert [r.ride_id for r in again.collect()] == ["new"]
+    trip_source.write_manifest(spark, target, [(2025, 6)])
+    known = spark.read.parquet(f"{target}/{trip_source.MANIFEST}")
+    assert {(r.month, r["count"]) for r in known.groupBy("month").count().collect()} == {(4, 1), (5, 1), (6, 2)}
+
+
+def test_row_groups_and_files_are_bounded(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    pdf = random_trips(3, 950, ["A", "B"], 5)
+    trips = as_trips(spark, pdf).coalesce(1).withColumns({"year": F.lit(2025), "month": F.lit(9)})
+    trip_source.convert_to_parquet(trips, str(tmp_path / "t"), row_group_rows=100, file_rows=400)
+    files = sorted((tmp_path / "t" / "year=2025" / "month=9").glob("*.parquet"))
+    groups = [[pq.ParquetFile(f).metadata.row_group(i).num_rows for i in range(pq.ParquetFile(f).num_row_groups)] for f in files]
+    assert sorted(map(sum, groups)) == [150, 400, 400] and max(n for g in groups for n in g) <= 100
+
+
+def test_observed_audit_equals_a_second_count(spark, csv_root, tmp_path):
+    target = str(tmp_path / "t")
+    bad = tmp_path / "csv" / "202507-tripdata_1.csv"
+    write_csv(bad, [trip(1, "2025-07-01 10:00:00"), trip(2, "not a time")])
+    observed = monthly.convert_months(spark, str(tmp_path / "csv"), target)
+    again = trip_source.conversion_audit(trip_source.read_monthly_csv(spark, str(tmp_path / "csv")), target)
+    same = ["year", "month", "parts", "csv_rows", "parquet_rows", "csv_mb", "parquet_mb", "success"]
+    assert observed.select(*same).collect() == again.select(*same).collect() and observed.first().unread_starts == 1
+
+
 def test_csv_fallback_first_months_and_missing(spark, csv_root, tmp_path):
     rows = trip_source.read_trips(spark, str(csv_root), "2025-04-03", "2025-04-30").collect()
     assert [r.ride_id for r in rows] == ["r2"]
@@ -209,6 +255,34 @@ def test_exact_quantiles(spark, values):
     assert np.allclose([got[p] for p in probs], np.quantile(data, probs))
 
 
+def test_quantiles_narrow_by_rank(spark, monkeypatch):
+    """One far outlier and close values, counted often and once: rounds follow the number of values."""
+    close = spark.range(1_000_000).select((F.lit(1.0) + F.col("id") * 1e-9).alias("v"))
+    df = close.union(spark.createDataFrame([(1e300,), (-1e300,)], "v double")).union(close.limit(1000))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.prob: r.quantile for r in exact_quantiles(df, F.col("v"), probs).collect()}
+    values = np.concatenate([1.0 + np.arange(1_000_000) * 1e-9, [1e300, -1e300]])
+    data = np.sort(np.concatenate([values, [r.v for r in close.limit(1000).collect()]]))
+    assert all(got[p] == np.quantile(data, p) or abs(got[p] - np.quantile(data, p)) < 1e-15 for p in probs)
+    hist = df.groupBy(F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("n")).persist()
+    spans, rounds = quantiles.spans_of_ranks(hist, [0, 250_000, 900_000], few=200)
+    assert 1 <= rounds <= 3 and all(s.distinct <= 200 and s.low <= s.high for s in spans.values())
+    hist.unpersist()
+
+
+def test_documents_of_the_latest_run(spark, tmp_path):
+    metrics = [m for m in results.METRICS]
+    rows = spark.createDataFrame([("markov", f, "2025-01-01", "2025-01-08", float(f)) for f in (1, 0)], "model string, fold_id int, train_start string, test_start string, v double")
+    rows = rows.select("*", *[(F.col("v") + i).alias(m) for i, m in enumerate(metrics)])
+    summary = spark.createDataFrame([("markov", m, 0.5 + i, 0.5) for i, m in enumerate(metrics)], "model string, metric string, mean double, std double")
+    for run, kept in (("20250101", rows.where("fold_id = 0")), ("20250102", rows)):
+        results.write_documents(kept, summary, str(tmp_path), run, 7)
+    latest = results.latest_documents(results.read_result_documents(spark, f"{tmp_path}/*"))
+    assert latest.count() == 1 and latest.first().timestamp == "20250102" and latest.first().random_seed == 7
+    assert [r.fold_id for r in results.document_folds(latest).collect()] == [0, 1]
+    assert {(r.metric, r.mean, r.std) for r in results.document_summary(latest).collect()} == {(m, 0.5 + i, 0.5) for i, m in enumerate(metrics)}
+
+
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
