@@ -21,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dockflow.llm.common import over_texts
-from dockflow.llm.word_ids import kind, spaced_words, tokenizer
+from dockflow.llm.common import over_texts, text_groups
+from dockflow.llm.spaced_ids import spaced_encoder
+from dockflow.llm.word_ids import kind, tokenizer
 from dockflow.session import scratch_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,14 +83,16 @@ def _encoded(docs: DataFrame, doc_id: str, text: str, path: str, end_id: int) ->
     """(doc_id, n, ids): ids with the end id, compressed by document."""
 
     def run(batch):
-        names, texts = batch.columns
-        words, squeeze = spaced_words(path), zstandard.ZstdCompressor(level=1)
-        end = np.array([end_id], kind(path)).tobytes()
-        raw = [words.ids(t or "") + end for t in texts.to_pylist()]
-        sizes = pa.array([len(r) // len(end) for r in raw], pa.int64())
-        yield pa.RecordBatch.from_arrays([names, sizes, pa.array([squeeze.compress(r) for r in raw], pa.binary())], names=["doc_id", "n", "ids"])
-
-    return over_texts(docs, [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("body")], run, "doc_id long, n long, ids binary")
+        names, bodies = batch.column(0), [t or b"" for t in batch.column(1).to_pylist()]
+        encoder, squeeze, dtype = spaced_encoder(path), zstandard.ZstdCompressor(level=1), kind(path)
+        end = np.array([end_id], dtype).tobytes()
+        for a, b in text_groups([len(t) for t in bodies]):
+            ids, counts = encoder.encode(bodies[a:b])
+            raw, upto = ids.astype(dtype).tobytes(), (np.cumsum(counts) * len(end)).tolist()
+            parts = [squeeze.compress(raw[x:y] + end) for x, y in zip([0, *upto], upto)]
+            yield pa.RecordBatch.from_arrays([names.slice(a, b - a), pa.array(counts + 1), pa.array(parts, pa.binary())], names=["doc_id", "n", "ids"])
+
+    return over_texts(docs, [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("body")], run, "doc_id long, n long, ids binary")
 
 
 def write_tokens(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY, end_id: int = 0) -> None:
