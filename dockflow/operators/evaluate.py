@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.functions.numeric import relative_error, safe_ratio, station_state
@@ -50,7 +50,9 @@ def align_paths(truth: DataFrame, forecasts: DataFrame, *keys: str) -> DataFrame
     cells = F.filter(
         F.arrays_zip("true", "pred"), lambda c: c["true"].isNotNull() & c["pred"].isNotNull()
     )
-    return paired.select(*keys, *on, "capacity", F.inline(cells))
+    # A value of each path near its others, about which products can be summed.
+    near = [F.get("cells", F.lit(0))[c].alias(f"near_{c}") for c in ("true", "pred")]
+    return paired.select(*keys, *on, "capacity", cells.alias("cells")).select(*keys, *on, "capacity", *near, F.inline("cells"))
 
 
 def _state_counts(state: str) -> list[Column]:
@@ -81,6 +83,9 @@ def fold_metrics(
 
     Two levels: moments and counts per station, then per fold, so a fold's
     cells are never gathered and the per-station errors fall out on the way.
+    Products are summed about a value near each station's own (``near_true`` and
+    ``near_pred`` if ``pairs`` has them, else 0), and moved to one value per fold when stations
+    are merged, so that large levels don't cost the digits of small deviations.
     """
     true, pred = F.col("true"), F.col("pred")
     stated = pairs.withColumns(
@@ -90,21 +95,39 @@ def fold_metrics(
         }
     )
     err = true - pred
+    near = {c: F.col(f"near_{c}") if f"near_{c}" in pairs.columns else F.lit(0.0) for c in ("true", "pred")}
+    t, p = true - near["true"], pred - near["pred"]
     per_station = stated.groupBy(*keys, "fold_id", "station_name").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.abs(err)).alias("abs_err"),
         F.sum(err * err).alias("sq_err"),
         F.sum(relative_error(true, pred)).alias("rel_err"),
-        F.sum(true).alias("s_t"),
-        F.sum(pred).alias("s_p"),
-        F.sum(true * true).alias("s_tt"),
-        F.sum(pred * pred).alias("s_pp"),
-        F.sum(true * pred).alias("s_tp"),
+        F.sum(t).alias("s_t"),
+        F.sum(p).alias("s_p"),
+        F.sum(t * t).alias("s_tt"),
+        F.sum(p * p).alias("s_pp"),
+        F.sum(t * p).alias("s_tp"),
+        F.first(near["true"]).alias("near_t"),
+        F.first(near["pred"]).alias("near_p"),
         *[f(c).alias(f"{name}_{c}") for c in ("true", "pred") for name, f in (("min", F.min), ("max", F.max))],
         *_state_counts("empty"),
         *_state_counts("full"),
         F.count_if(F.col("true_state") == F.col("pred_state")).alias("same_state"),
     )
+    # A row per station and fold from here on.
+    fold = Window.partitionBy(*keys, "fold_id")
+    by = {c: F.col(f"near_{c}") - F.min(f"near_{c}").over(fold) for c in ("t", "p")}
+    moved = per_station.withColumns({f"by_{c}": x for c, x in by.items()})
+    w, dt, dp, st, sp = (F.col(c) for c in ("n", "by_t", "by_p", "s_t", "s_p"))
+    per_station = moved.withColumns(
+        {
+            "s_tt": F.col("s_tt") + 2 * dt * st + w * dt * dt,
+            "s_pp": F.col("s_pp") + 2 * dp * sp + w * dp * dp,
+            "s_tp": F.col("s_tp") + dt * sp + dp * st + w * dt * dp,
+            "s_t": st + w * dt,
+            "s_p": sp + w * dp,
+        }
+    )
     n = F.sum("n")
     station_mae = F.col("abs_err") / F.col("n")
     s = {c: F.sum(c) for c in ("s_t", "s_p", "s_tt", "s_pp", "s_tp")}

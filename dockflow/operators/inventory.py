@@ -34,6 +34,58 @@ def with_clamped_total(
     )
 
 
+def _clip(x: Column, low: Column, high: Column) -> Column:
+    return F.least(high, F.greatest(low, x))
+
+
+def with_clamped_walk(
+    df: DataFrame, keys: Sequence[str], order: str, net: str, start: Column | float, high: Column | float, low: Column | float = 0.0, block: int = 1024
+) -> DataFrame:
+    """(*keys, order, net, bikes) with x <- min(high, max(low, x + net)) within
+    ``keys``, for walks of any length. ``order`` is a whole number (a step, or hours
+    since some time), distinct within a key; start and bounds are constant within a key.
+
+    A step adds and clips, and so does any sequence of steps: a shift between a
+    floor and a ceiling. Blocks of ``block`` orders are composed each into one
+    such step, the steps of a key's blocks give every block its first value, and
+    blocks are then walked apart. A row holds a block's nets, or a key's blocks,
+    never a whole walk of nets.
+    """
+    of = lambda v: v if isinstance(v, Column) else F.lit(float(v))
+    low, high, start = (of(v).cast("double") for v in (low, high, start))
+    number = F.floor(F.col(order) / F.lit(block))
+    blocks = (
+        df.select(*keys, number.alias("block"), F.struct(F.col(order).alias("at"), F.col(net).alias("net")).alias("step"), low.alias("low"), high.alias("high"), start.alias("start"))
+        .groupBy(*keys, "block")
+        .agg(F.sort_array(F.collect_list("step")).alias("steps"), *[F.first(c).alias(c) for c in ("low", "high", "start")])
+    )
+    step = lambda shift, floor, ceiling: F.struct(shift.alias("shift"), floor.alias("floor"), ceiling.alias("ceiling"))
+    lower, upper = F.col("low"), F.col("high")
+    still = step(F.lit(0.0), F.lit(float("-inf")), F.lit(float("inf")))
+    composed = F.aggregate(
+        "steps",
+        still,
+        lambda f, e: step(f["shift"] + e["net"], _clip(f["floor"] + e["net"], lower, upper), _clip(f["ceiling"] + e["net"], lower, upper)),
+    )
+    walked = (
+        blocks.select(*keys, "start", F.struct("block", composed.alias("f")).alias("b"))
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("b")).alias("all"), F.first("start").alias("start"))
+    )
+    after = lambda x, b: _clip(x + b["f"]["shift"], b["f"]["floor"], b["f"]["ceiling"])
+    values = F.aggregate("all", F.array("start"), lambda xs, b: F.array_append(xs, after(F.element_at(xs, -1), b)))
+    begin = F.slice(values, F.lit(1), F.size("all"))
+    firsts = walked.select(*keys, F.inline(F.zip_with("all", begin, lambda b, x: F.struct(b["block"].alias("block"), x.alias("first")))))
+    path = F.aggregate(
+        "steps",
+        F.array("first"),
+        lambda xs, e: F.array_append(xs, _clip(F.element_at(xs, -1) + e["net"], lower, upper)),
+    )
+    reached = F.slice(path, F.lit(2), F.size("steps"))
+    cells = F.zip_with("steps", reached, lambda e, x: F.struct(e["at"].alias(order), e["net"].alias(net), x.alias("bikes")))
+    return blocks.join(firsts, [*keys, "block"]).select(*keys, F.inline(cells))
+
+
 def _final_total(nets: Column) -> Column:
     """Last value of the clamped total over an ordered array of structs."""
     return F.aggregate(nets, F.lit(0.0), lambda x, e: F.greatest(F.lit(0.0), x + e["net"]))

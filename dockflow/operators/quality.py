@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions.time import duration_minutes
-from dockflow.operators.endpoints import station_names
+from dockflow.operators.prepare import drop_unnamed
 from dockflow.operators.quantiles import exact_quantiles
-from dockflow.operators.routes import od_counts, route_diversity, self_loops, sparsity
-from dockflow.session import union_all
+from dockflow.operators.routes import route_diversity, self_loops
+from dockflow.session import cut, union_all
 
 
 def null_census(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -73,30 +73,46 @@ def median_duration(trips: DataFrame) -> DataFrame:
 
 def network_summary(trips: DataFrame, types: list[str], members: list[str]) -> DataFrame:
     """One row of figures for the whole network: size, period, shares per
-    vehicle and rider type, median duration, self loops, diversity, sparsity."""
-    od = od_counts(trips)
-    share = lambda c, v: F.avg((F.col(c) == v).cast("double"))
-    base = trips.agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.to_date(F.min("started_at")).alias("first_date"),
-        F.to_date(F.max("started_at")).alias("last_date"),
-        *[share("rideable_type", v).alias(f"share_{v}") for v in types],
-        *[share("member_casual", v).alias(f"share_{v}") for v in members],
-        (F.count_if(F.col("start_station_name").isNull()) + F.count_if(F.col("end_station_name").isNull())).alias(
-            "missing_entries"
-        ),
+    vehicle and rider type, median duration, self loops, diversity, sparsity.
+
+    The trips are read twice: for a table of origin and destination pairs, which
+    is written once and answers all but the median, and for the durations.
+    """
+    shares = [(c, v) for c, vs in (("rideable_type", types), ("member_casual", members)) for v in vs]
+    pairs = cut(
+        trips.groupBy("start_station_name", "end_station_name").agg(
+            F.count(F.lit(1)).alias("count"),
+            F.min("started_at").alias("first"),
+            F.max("started_at").alias("last"),
+            *[F.count_if(F.col(c) == v).alias(f"n_{v}") for c, v in shares],
+            *[F.count(c).alias(f"known_{v}") for c, v in shares],
+        )
+    )
+    od = drop_unnamed(pairs).select("start_station_name", "end_station_name", "count")
+    missing = sum(F.when(F.col(c).isNull(), F.col("count")).otherwise(0) for c in ("start_station_name", "end_station_name"))
+    base = pairs.agg(
+        F.sum("count").alias("total_trips"),
+        F.to_date(F.min("first")).alias("first_date"),
+        F.to_date(F.max("last")).alias("last_date"),
+        *[F.try_divide(F.sum(f"n_{v}"), F.sum(f"known_{v}")).alias(f"share_{v}") for _, v in shares],
+        F.sum(missing).alias("missing_entries"),
     )
     out = lambda d: route_diversity(od).where(F.col("direction") == d).select("mean").scalar()
     loops = self_loops(od)
-    return base.withColumns(
+    names = pairs.select(F.explode(F.array("start_station_name", "end_station_name")).alias("station_name"))
+    n_stations, n_routes = names.agg(F.count_distinct("station_name")).scalar(), od.agg(F.count(F.lit(1))).scalar()
+    figures = base.withColumns(
         {
-            "n_stations": station_names(trips).agg(F.count(F.lit(1))).scalar(),
-            "n_routes": od.agg(F.count(F.lit(1))).scalar(),
+            "total_trips": F.coalesce("total_trips", F.lit(0).cast("long")),
+            "missing_entries": F.coalesce("missing_entries", F.lit(0).cast("long")),
+            "n_stations": n_stations,
+            "n_routes": n_routes,
             "median_minutes": median_duration(trips).scalar(),
             "self_loop_trips": loops.select("self_loop_trips").scalar(),
             "self_loop_pct": loops.select("self_loop_pct").scalar(),
             "mean_destinations": out("outgoing"),
             "mean_origins": out("incoming"),
-            "sparsity": sparsity(trips).select("sparsity").scalar(),
         }
     )
+    n = F.col("n_stations")
+    return figures.withColumn("sparsity", F.lit(1.0) - F.try_divide(F.col("n_routes"), n * n))

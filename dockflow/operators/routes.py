@@ -48,10 +48,13 @@ def count_histogram(od: DataFrame) -> DataFrame:
 def describe_route_counts(od: DataFrame) -> DataFrame:
     """describe() of the route counts, from their histogram."""
     c, w = F.col("count").cast("double"), F.col("routes")
-    n, mean = F.sum(w), F.sum(c * w) / F.sum(w)
+    n, mean = F.sum(w), F.max("mean")
     quartile = lambda p: F.percentile(c, F.lit(p), w)
-    variance = F.try_divide(F.sum(c * c * w) - n * mean * mean, n - 1)
-    return count_histogram(od).agg(
+    # Deviations from the mean, which the histogram's rows get first: squares of counts would lose their digits.
+    whole = Window.partitionBy(F.lit(1))
+    centred = count_histogram(od).withColumn("mean", F.sum(c * w).over(whole) / F.sum(w).over(whole))
+    variance = F.try_divide(F.sum((c - F.col("mean")) * (c - F.col("mean")) * w), n - 1)
+    return centred.agg(
         n.alias("count"),
         mean.alias("mean"),
         F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"),

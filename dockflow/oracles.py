@@ -516,6 +516,15 @@ recursive(
 walk AS (SELECT station_name, bucket, i, greatest(0.0::DOUBLE, 5.0::DOUBLE + net) AS x FROM seq WHERE i = 1
     UNION ALL SELECT s.station_name, s.bucket, s.i, greatest(0.0::DOUBLE, w.x + s.net) FROM walk w JOIN seq s ON s.station_name = w.station_name AND s.i = w.i + 1)""",
 )
+recursive(
+    "clamped_inventory",
+    "SELECT station_name, CAST(date_diff('hour', TIMESTAMP '1990-01-01', bucket) AS BIGINT) AS hour, net, x AS bikes FROM walk",
+    flows("trips", HOURLY),
+    """seq AS (SELECT *, row_number() OVER (PARTITION BY station_name ORDER BY bucket) AS i, length(station_name) + 1::DOUBLE AS full_ FROM flows),
+walk AS (SELECT station_name, bucket, i, net, least(full_, greatest(0.0::DOUBLE, 3.5::DOUBLE + net)) AS x FROM seq WHERE i = 1
+    UNION ALL SELECT s.station_name, s.bucket, s.i, s.net, least(s.full_, greatest(0.0::DOUBLE, w.x + s.net)) FROM walk w JOIN seq s ON s.station_name = w.station_name AND s.i = w.i + 1)""",
+    base=ITEMS,
+)
 trip_sql("cv_folds", "SELECT * FROM folds", folds_sql(2, 1, 1, "trips"))
 item_sql("cv_folds_default_step", "SELECT * FROM folds", folds_sql(3, 1, 7, "trips"))
 trip_sql(

@@ -380,6 +380,16 @@ def running_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inventory.with_clamped_total(hourly, ["station_name"], "bucket", "net", 5.0).select("station_name", "bucket", "bikes")
 
 
+@registered
+def clamped_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven years of hours between empty and full, as a walk in blocks."""
+    hourly = endpoints.flow_by_bucket(tables.lineitem_trips(spark, sf_dir))
+    hour = F.timestamp_diff("HOUR", F.lit("1990-01-01").cast("timestamp_ntz"), F.col("bucket"))
+    full = F.length("station_name") + 1
+    walk = inventory.with_clamped_walk(hourly.withColumn("hour", hour), ["station_name"], "hour", "net", 3.5, full)
+    return walk.select("station_name", "hour", "net", "bikes")
+
+
 @registered
 def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folds.rolling_folds(tables.event_trips(spark, sf_dir), 2, 1, 1)

@@ -276,6 +276,19 @@ def test_walk_reads_the_contexts_of_its_steps(spark, data, whole):
     assert markov._contexts_at([pd.Timestamp("2025-09-13 20:00:00"), pd.Timestamp("2025-09-15")], 5 * 3600) == [5, 25]
 
 
+def test_correlation_keeps_its_digits(spark):
+    """Values near 10^9 that deviate by 1, at two levels."""
+    rng = np.random.RandomState(1)
+    small = {s: (rng.normal(0, 1, 200).round(6) + i, rng.normal(0, 1, 200).round(6) + 2 * i) for i, s in enumerate(NAMES)}
+    rows = [(0, s, 1e10, pd.Timestamp("2025-01-01").to_pydatetime(), *[(1e9 + x).tolist() for x in v]) for s, v in small.items()]
+    table = spark.createDataFrame(rows, "fold_id int, station_name string, capacity double, start_ts timestamp_ntz, t array<double>, p array<double>")
+    pairs = evaluate.align_paths(table.withColumnRenamed("t", "bikes"), table.withColumnRenamed("p", "bikes"))
+    got = evaluate.fold_metrics(pairs).first()
+    exact = [np.concatenate([(1e9 + v[k]) - 1e9 for v in small.values()]) for k in (0, 1)]
+    assert abs(got.correlation - np.corrcoef(*exact)[0, 1]) < 1e-9
+    assert abs(got.inventory_rmse - np.sqrt(np.mean((exact[0] - exact[1]) ** 2))) < 1e-9
+
+
 def test_persistence_and_unknown_model(spark):
     got = paths(flow_models.forecast_persistence(window(spark, "2025-09-15", "2025-09-16")))
     assert all(got[s] == [START[s]] * 24 for s in NAMES)

@@ -14,6 +14,7 @@ from dockflow.operators import compare, endpoints, inventory, prepare, quality,
 from dockflow.operators.quantiles import exact_quantiles
 from dockflow.plans import monthly
 from dockflow.schema import TRIPS
+from dockflow.session import cut
 from dockflow.sources import results
 from dockflow.sources import stations as station_source
 from dockflow.sources import trips as trip_source
@@ -219,6 +220,22 @@ def test_clamped_total_equals_loop(spark, seed):
         assert got[k, i] == x[k]
 
 
+def test_clamped_walk_of_a_year_of_minutes(spark):
+    """One long walk and short ones, in blocks of few rows."""
+    rng = np.random.RandomState(3)
+    rows = spark.range(525_600).select(F.lit("long").alias("k"), F.col("id").alias("i"), (F.pmod(F.xxhash64("id"), F.lit(9)) - 4).alias("net"), F.lit(40.0).alias("cap"))
+    short = [(f"s{k}", int(i), int(v), 6.0 + k) for k in range(3) for i, v in zip(sorted(rng.choice(5000, 40, replace=False)), rng.randint(-5, 6, 40))]
+    df = rows.union(spark.createDataFrame(short, "k string, i long, net long, cap double"))
+    out = inventory.with_clamped_walk(df, ["k"], "i", "net", 7.0, F.col("cap"), block=500)
+    got = out.orderBy("k", "i").toPandas()
+    want, x, last = [], 0.0, None
+    for k, net, cap in df.orderBy("k", "i").select("k", "net", "cap").toPandas().itertuples(index=False):
+        x = min(cap, max(0.0, (7.0 if k != last else x) + net))
+        last = k
+        want.append(x)
+    assert np.array_equal(got["bikes"].to_numpy(), np.array(want)) and len(got) == 525_720
+
+
 def test_month_inventory_equals_two_passes(spark):
     pdf = random_trips(9, 1500, list("ABCDE"), 75)
     listed = spark.createDataFrame([(s,) for s in "ABCDX"], "name string")
@@ -283,6 +300,25 @@ def test_documents_of_the_latest_run(spark, tmp_path):
     assert {(r.metric, r.mean, r.std) for r in results.document_summary(latest).collect()} == {(m, 0.5 + i, 0.5) for i, m in enumerate(metrics)}
 
 
+def test_network_summary_reads_the_trips_twice(spark, tmp_path, monkeypatch):
+    trips = as_trips(spark, random_trips(2, 300, list("ABC"), 9)).withColumns({"rideable_type": F.lit("x"), "member_casual": F.when(F.hour("started_at") < 9, "m")})
+    trips.write.parquet(str(tmp_path / "t"))
+    read, written = spark.read.parquet(str(tmp_path / "t")), []
+
+    def counted(df):
+        written.append(df._jdf.queryExecution().executedPlan().toString().count("FileScan"))
+        return cut(df)
+
+    monkeypatch.setattr(quality, "cut", counted)
+    monkeypatch.setattr(quantiles, "cut", counted)
+    row = quality.network_summary(read, ["x", "y"], ["m"])
+    assert "FileScan" not in physical(row) and written == [1, 1]
+    r = row.first()
+    assert (r.total_trips, r.n_stations, r.share_x, r.share_y, r.share_m) == (300, 3, 1.0, 0.0, 1.0) and r.sparsity == 1 - r.n_routes / 9
+    none = quality.network_summary(read.where("false"), ["x"], ["m"]).first()
+    assert (none.total_trips, none.n_stations, none.n_routes, none.median_minutes) == (0, 0, 0, None)
+
+
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
