@@ -14,9 +14,9 @@ from dockflow.operators import prepare, quality, query, routes, stations, tempor
 from dockflow.plans import cross_validation as cv
 from dockflow.plans import lookback, monthly
 from dockflow.session import cut, resident, scratch_path, union_all
+from dockflow.sources import bundled as tables
 from dockflow.sources import results
 from dockflow.sources import stations as station_source
-from dockflow.sources import testtables as tables
 from dockflow.sources import trips as trip_source
 
 Query = Callable[[SparkSession, str], DataFrame]
