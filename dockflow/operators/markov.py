@@ -235,7 +235,7 @@ _STEPS_PER_PLAN = 8
 #: SQL text of bikes as whole billionths of one.
 NANOS = "CAST(round(({}) * 1e9D) AS BIGINT)"
 #: State rows and moves that one task of a step takes before there is another.
-_ROWS_PER_TASK, _MOVES_PER_TASK = 20_000, 500_000
+_ROWS_PER_TASK, _MOVES_PER_TASK = 2_000, 500_000
 #: Number of the matrix that contexts without one of their own share.
 _FALLBACK = 48
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from dockflow.functions.text import month_in_path
 from dockflow.functions.time import started_between
 from dockflow.schema import TRIPS, TRIPS_PARTITIONED
-from dockflow.session import union_all
+from dockflow.session import cut, union_all
 
 _HEADER_READERS = 32
 #: Folder beside the month folders; readers pass over names that begin so.
@@ -91,20 +91,21 @@ def _files_apart(spark: SparkSession, root: str, start: str | None, end: str | N
 
 def write_manifest(spark: SparkSession, root: str, months: list[tuple[int, int]] | None = None) -> DataFrame:
     """Write and return (file, first, last, rows, bytes, year, month) of the
-    trip files below ``root``, of the given months only if there are any; other
-    months' entries stay. One pass over the start column."""
+    trip files below ``root``, of the given months only if there are any. One
+    pass over the start column. Entries are added to those of earlier
+    conversions: no two files of a month ever share a name, and entries of files
+    that have been replaced mean nothing."""
     trips = spark.read.schema(TRIPS_PARTITIONED).parquet(root)
     if months is not None:
         trips = trips.where((F.col("year") * 100 + F.col("month")).isin([y * 100 + m for y, m in months]))
     source = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes")]
-    entries = (
+    entries = cut(
         trips.groupBy("year", "month", *source)
         .agg(F.min("started_at").alias("first"), F.max("started_at").alias("last"), F.count(F.lit(1)).alias("rows"))
         .select("file", "first", "last", "rows", "bytes", "year", "month")
     )
-    target = f"{root}/{MANIFEST}"
-    entries.repartition("year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(target)
-    return spark.read.schema(_MANIFEST_FIELDS).parquet(target)
+    entries.write.mode("append").parquet(f"{root}/{MANIFEST}")
+    return entries
 
 
 def csv_files(spark: SparkSession, root: str, glob: str) -> list[str]:

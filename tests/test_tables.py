@@ -109,7 +109,7 @@ def test_manifest_opens_only_what_the_range_needs(spark, csv_root, tmp_path):
     again = trip_source.read_trips_parquet(spark, target, "2025-04-20", "2025-04-29")
     assert [r.ride_id for r in again.collect()] == ["new"]
     trip_source.write_manifest(spark, target, [(2025, 6)])
-    known = spark.read.parquet(f"{target}/{trip_source.MANIFEST}")
+    known = spark.read.parquet(f"{target}/{trip_source.MANIFEST}").select("file", "month").distinct()
     assert {(r.month, r["count"]) for r in known.groupBy("month").count().collect()} == {(4, 1), (5, 1), (6, 2)}
 
 
