@@ -22,6 +22,10 @@ from dockflow.llm.common import held_out, text_groups
 LONGEST = 3
 #: n-grams in a profile, of a language and of a text.
 PROFILE = 400
+#: Characters whose n-grams are made at once: each takes up to 200 bytes while they are.
+STEP = 1 << 18
+#: Distinct n-grams of a language that wait to be added up, and those of all languages that a task holds.
+WAITING, HELD = 400_000, 1_000_000
 _BITS = 21  # a code point
 _SALTS = 64
 UNKNOWN = "und"
@@ -41,7 +45,8 @@ def _letters() -> np.ndarray:
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes of the distinct n-grams, index into them of every n-gram, its text).
 
-    Runs of other signs between letters count as one edge.
+    Runs of other signs between letters count as one edge. No text's n-grams
+    depend on its neighbours.
     """
     lengths = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     points = np.frombuffer("".join(t + "\n" for t in texts).encode("utf-32-le"), "<u4")
@@ -49,7 +54,7 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(texts)), lengths)
     edge = letter == 0
     keep = np.ones(len(letter), bool)
-    keep[1:] = ~(edge[1:] & edge[:-1])
+    keep[1:] = ~(edge[1:] & edge[:-1] & (owner[1:] == owner[:-1]))
     letter, owner = letter[keep], owner[keep]
     # Few distinct letters: small numbers make small codes.
     alphabet, dense = np.unique(letter, return_inverse=True)
@@ -83,8 +88,27 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(codes), np.concatenate(at), np.concatenate(whose)
 
 
-def ranked(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each text its leading n-gram codes, most frequent first (ties by code), and their counts."""
+def pieces(text: str) -> Iterator[str]:
+    """Pieces of about ``STEP`` characters that hold the text's n-grams: cut at a
+    sign that is no letter, which ends one piece and begins the next."""
+    start = 0
+    while len(text) - start > STEP:
+        end = start + STEP
+        while end < len(text) and text[end].isalpha():
+            end += 1
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct codes and their counts over all parts."""
+    distinct, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return distinct, np.bincount(back, weights=np.concatenate([n for _, n in parts]), minlength=len(distinct)).astype(np.int64)
+
+
+def _counts(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its n-gram codes, ascending, and their counts."""
     codes, at, whose = grams(texts)
     order = np.argsort(codes, kind="stable")
     rank = np.empty(len(codes), np.int64)
@@ -99,8 +123,26 @@ def ranked(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             counts = counts[found]
         else:
             found, counts = np.unique(at[a:b], return_counts=True)
-        lead = np.lexsort((found, -counts))[:PROFILE]
-        yield codes[found[lead]], counts[lead]
+        yield codes[found], counts
+
+
+def ranked(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its leading n-gram codes, most frequent first (ties by code), and their counts."""
+    for a, b in text_groups([len(t) for t in texts], STEP):
+        if len(texts[a]) > STEP:  # a group of its own
+            counted = iter([_added([x for p in pieces(texts[a]) for x in _counts([p])])])
+        else:
+            counted = _counts(texts[a:b])
+        for codes, counts in counted:
+            lead = np.lexsort((codes, -counts))[:PROFILE]
+            yield codes[lead], counts[lead]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that few texts are Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1_000):
+            yield batch.slice(start, 1_000)
 
 
 def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
@@ -113,28 +155,28 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     learnt = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull())
 
     def count(batches):
-        total: dict[str, tuple] = {}
+        total: dict[str, list[tuple]] = {}
 
         def flush():
-            for name, (codes, counts) in total.items():
-                distinct, back = np.unique(codes, return_inverse=True)
-                sums = np.bincount(back, weights=counts).astype(np.int64)
+            for name, parts in total.items():
+                distinct, sums = _added(parts)
                 yield pa.RecordBatch.from_arrays([pa.array([name] * len(distinct), pa.string()), pa.array(distinct), pa.array(sums)], names=["lang", "gram", "n"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             texts, names = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
             for name in sorted(set(names.tolist())):
-                own = [texts[i] for i in np.flatnonzero(names == name)]
-                for a, b in text_groups([len(t) for t in own]):
+                own = [p for i in np.flatnonzero(names == name) for p in pieces(texts[i])]
+                for a, b in text_groups([len(t) for t in own], STEP):
                     codes, at, _ = grams(own[a:b])
-                    counts = np.bincount(at, minlength=len(codes)).astype(np.int64)
-                    old = total.get(name, (codes[:0], counts[:0]))
-                    merged = np.concatenate([old[0], codes]), np.concatenate([old[1], counts])
-                    distinct, back = np.unique(merged[0], return_inverse=True)
-                    total[name] = distinct, np.bincount(back, weights=merged[1]).astype(np.int64)
-            if sum(len(c) for c, _ in total.values()) > 2_000_000:
-                yield from flush()
-                total = {}
+                    parts = total.setdefault(name, [(codes[:0], codes[:0])])
+                    parts.append((codes, np.bincount(at, minlength=len(codes)).astype(np.int64)))
+                    if sum(len(c) for c, _ in parts[1:]) > max(WAITING, len(parts[0][0])):
+                        parts[:] = [_added(parts)]
+            if sum(len(c) for parts in total.values() for c, _ in parts) > HELD:
+                total = {name: [_added(parts)] for name, parts in total.items()}
+                if sum(len(parts[0][0]) for parts in total.values()) > HELD // 2:
+                    yield from flush()
+                    total = {}
         yield from flush()
 
     counted = learnt.select(F.col(text).alias("body"), F.col(lang).alias("name")).mapInArrow(count, "lang string, gram long, n long")
@@ -191,9 +233,8 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
     def run(batches):
         model = Identifier(learnt)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = [p for a, b in text_groups([len(t) for t in texts]) for p in model.predict(texts[a:b])]
+        for batch in _slices(batches):
+            found = list(model.predict([t or "" for t in batch.column(1).to_pylist()]))
             columns = [batch.column(0), batch.column(2), pa.array([p[0] for p in found], pa.string()), pa.array([p[1] for p in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "lang_pred", "score"])
 

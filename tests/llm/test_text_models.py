@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 from texts import DOCS, documents, is_held_out, odd_texts
@@ -110,3 +111,29 @@ def test_toxicity_keeps_every_word_and_pair(spark):
         w = (t or "").split()
         want = np.mean([np.log(chance(0, x, b) / chance(1, x, b)) for x, b in zip(w, [None, *w])]) if w else 0
         assert abs(got[i * 3 + 1].f0 - want) < 1e-9
+
+
+def test_language_takes_bounded_memory():
+    """Many texts at once, and one long text, don't take many times their size."""
+    rng = random.Random(5)
+    texts = [_say(rng, "en", 400) for _ in range(800)]
+    model = language.Identifier({"en": np.arange(400, dtype=np.int64)})
+    language.grams(["a"])  # the table of letters stays
+    for held in (texts, ["\n".join(texts)]):
+        assert sum(map(len, held)) > 1_400_000
+        tracemalloc.start()
+        list(model.predict(held))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 80 << 20
+
+
+def test_ngrams_do_not_depend_on_neighbours(monkeypatch):
+    texts = [t or "" for t in odd_texts()] + [" leading", "(x", "été été", "中文。中文"]
+    alone = [next(language.ranked([t])) for t in texts]
+    for step in (None, 50):
+        if step:
+            monkeypatch.setattr(language, "STEP", step)
+        for some, want in ((texts, alone), (texts[1:], alone[1:]), (texts[::-1], alone[::-1])):
+            got = list(language.ranked(some))
+            assert all(a.tolist() == c.tolist() and b.tolist() == d.tolist() for (a, b), (c, d) in zip(got, want, strict=True))
