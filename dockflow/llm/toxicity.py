@@ -31,13 +31,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.llm import exchange
 from dockflow.llm.common import held_out, over_texts
-from dockflow.session import scratch_path
+from dockflow.session import scratch_path, setting
 
 #: Labelled rows, chosen by a hash of their id, on which scores are fitted to labels.
 FITTED_ROWS = 20_000
@@ -60,6 +60,10 @@ _SIEVED = 63 - SIEVE
 #: Words that a counting task holds before it sends them on, words of the texts
 #: that ask together, and characters of all texts per owner.
 FLUSH, CHUNK, OWNED_CHARS = 500_000, 1 << 20, 8_000_000
+#: Pairs of a chunk whose names or ratios are worked out at once.
+BLOCK = 1 << 16
+#: Rows in an Arrow batch: whole texts lie in it several times, on both sides of a worker.
+BATCH_ROWS = 1_000
 
 
 def _named(words: list[str]) -> np.ndarray:
@@ -110,6 +114,15 @@ def _split(data: bytes | None) -> list[str]:
     return _zstd()[1].decompress(bytes(data)).decode().split("\n") if data else []
 
 
+def _written(table: DataFrame, name: str) -> str:
+    """The path that the table is written to. The files of its shuffles go with the
+    write, as what is read from here on is the table."""
+    path = scratch_path(table.sparkSession, name)
+    with setting(table.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        table.write.parquet(path)
+    return path
+
+
 def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(name, toxic, n_words, words) of the labelled rows that aren't held out.
 
@@ -136,9 +149,7 @@ def labelled(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     name = F.col(doc_id).cast("long")
     place = F.pmod(F.xxhash64(name), F.lit(_LABEL_BITS)).cast("int").alias("place")
     read = over_texts(learnt, [name.alias("name"), F.col(text).alias("body"), place], run, "name long, n_words long, words binary")
-    path = scratch_path(docs.sparkSession, "labelled")
-    read.join(label.hint("merge"), "name").select("name", "toxic", "n_words", "words").write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return docs.sparkSession.read.parquet(_written(read.join(label.hint("merge"), "name").select("name", "toxic", "n_words", "words"), "labelled"))
 
 
 def _summed(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,28 +312,30 @@ class Model:
         """The log-ratio of every word in ``words`` (places in ``figures``: count,
         head of pairs, kinds by class, contexts). ``begins`` are the places in
         ``words`` where a pair starts, ``back`` that pair's column in ``pairs``."""
-        alone, both = [], []
+        alone, open_ = [], []
         for i, (d, total) in enumerate(zip(self.discounts, self.totals)):
             count, heads, kinds = figures[i], figures[2 + i], figures[4 + i]
-            p = (count - np.minimum(count, 1.0 + d)) / total + self.spare * (figures[6] + 0.5) / self.shared
-            open_ = (CONCENTRATION + d * kinds) / (CONCENTRATION + heads)
-            first, second = words[begins], words[begins + 1]
-            alone.append(p[words])
-            both.append(np.maximum(pairs[i, back] - d, 0) / (CONCENTRATION + heads[first]) + open_[first] * p[second])
-        ratio = np.log(alone[0] / alone[1])
-        ratio[begins + 1] = np.log(both[0] / both[1])
+            alone.append((count - np.minimum(count, 1.0 + d)) / total + self.spare * (figures[6] + 0.5) / self.shared)
+            open_.append((CONCENTRATION + d * kinds) / (CONCENTRATION + heads))
+        ratio = np.log(alone[0] / alone[1])[words]
+        for start in range(0, len(begins), BLOCK):
+            at, column, both = begins[start : start + BLOCK], back[start : start + BLOCK], []
+            first, second = words[at], words[at + 1]
+            for i, d in enumerate(self.discounts):
+                both.append(np.maximum(pairs[i, column] - d, 0) / (CONCENTRATION + figures[2 + i][first]) + open_[i][first] * alone[i][second])
+            ratio[at + 1] = np.log(both[0] / both[1])
         return ratio
 
 
-def models(known: DataFrame, owners: int) -> tuple[DataFrame, np.ndarray, Model, Model]:
+def models(known: DataFrame, owners: int) -> tuple[DataFrame, Broadcast, Model, Model]:
     """The shares of pairs and words, the sieve, and the models of one half of the
-    learnable rows and of all of them. Only sums and the sieve come to the driver."""
+    learnable rows and of all of them. Only sums and the sieve come to the driver,
+    and the sieve goes to each worker once, for both models."""
     spark = known.sparkSession
-    first, last = scratch_path(spark, "counts"), scratch_path(spark, "figures")
-    _partial_counts(known, owners).groupBy("owner").applyInArrow(lambda g: _owned(g, owners), _SHARE_DDL).write.parquet(first)
-    owned = spark.read.schema(_SHARE_DDL).parquet(first)
-    owned.where("kind in (0, 2)").groupBy("owner").applyInArrow(lambda g: _figured(g), _SHARE_DDL).write.parquet(last)
-    figured = spark.read.schema(_SHARE_DDL).parquet(last)
+    counts = _partial_counts(known, owners).groupBy("owner").applyInArrow(lambda g: _owned(g, owners), _SHARE_DDL)
+    owned = spark.read.schema(_SHARE_DDL).parquet(_written(counts, "counts"))
+    figures = owned.where("kind in (0, 2)").groupBy("owner").applyInArrow(lambda g: _figured(g), _SHARE_DDL)
+    figured = spark.read.schema(_SHARE_DDL).parquet(_written(figures, "figures"))
     seldom, sums = np.zeros(2 * len(COUNTS), np.int64), np.zeros(3 + 3 * len(COUNTS), np.int64)
     for r in owned.where("kind = 3").select("packed").toLocalIterator():
         seldom += _opened(r.packed)[0]
@@ -333,7 +346,7 @@ def models(known: DataFrame, owners: int) -> tuple[DataFrame, np.ndarray, Model,
         at = np.cumsum(_opened(r.packed)[0])
         np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
     shares = owned.where("kind = 1").union(figured.where("kind = 2"))
-    return shares, bits, Model(2, seldom, sums), Model(0, seldom, sums)
+    return shares, spark.sparkContext.broadcast(bits), Model(2, seldom, sums), Model(0, seldom, sums)
 
 
 class Chunk:
@@ -350,17 +363,20 @@ class Chunk:
     def close(self) -> None:
         self.lengths = np.array([len(t) for t in self.texts])
         coded = pa.concat_arrays(self.texts).dictionary_encode()
-        self.vocab, self.words = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self.vocab, self.words, self.texts = coded.dictionary.to_pylist(), coded.indices.to_numpy(), []
         names = _named(self.vocab)
         inside = np.ones(len(self.words), bool)
         ends = np.cumsum(self.lengths)
         inside[ends[self.lengths > 0] - 1] = False
         self.begins = np.flatnonzero(inside)
-        keys = _pair_names(names[self.words[self.begins]], names[self.words[self.begins + 1]])
+        keys = np.empty(len(self.begins), np.int64)
+        for start in range(0, len(keys), BLOCK):
+            at = self.begins[start : start + BLOCK]
+            keys[start : start + BLOCK] = _pair_names(names[self.words[at]], names[self.words[at + 1]])
         self.keys, self.back = np.unique(keys, return_inverse=True)
         self.word_order = np.argsort(names, kind="stable")
         self.names = names[self.word_order]
-        self.check = zlib.crc32(self.words.tobytes(), len(self.texts))
+        self.check = zlib.crc32(self.words.tobytes(), len(self.lengths))
 
 
 def _sifted(names: np.ndarray, sieve: np.ndarray) -> np.ndarray:
@@ -382,7 +398,7 @@ def _asks(rows: DataFrame, owners: int, sieve, read) -> DataFrame:
 
         def asked():
             chunk.close()
-            out = [((part + number) % owners, part, number, len(chunk.texts), chunk.check, None, None)]
+            out = [((part + number) % owners, part, number, len(chunk.lengths), chunk.check, None, None)]
             keys, known = chunk.keys[_sifted(chunk.keys, sieve.value)], _sifted(chunk.names, sieve.value)
             for owner, a, b in _slices(_owner(keys, owners)):
                 out.append((owner, part, number, 0, 0, _squeezed(np.diff(keys[a:b], prepend=0)), None))
@@ -447,12 +463,11 @@ def fit(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return w, scale
 
 
-def _features(rows: DataFrame, shares: DataFrame, bits: np.ndarray, m: Model, owners: int, extra: str, read) -> DataFrame:
+def _features(rows: DataFrame, shares: DataFrame, sieve: Broadcast, m: Model, owners: int, extra: str, read) -> DataFrame:
     """(name, extra, f0 …) of rows (name, body, extra): ratio per word, ratio per
     root of words, mean of the strongest fiftieth. ``read`` makes words of a body."""
     spark, at = rows.sparkSession, m.at
     own = rows.select("name", extra, "body")
-    sieve = spark.sparkContext.broadcast(bits)
     replies = _asks(own, owners, sieve, read).groupBy("owner").cogroup(shares.groupBy("owner")).applyInArrow(lambda a, s: _answered(a, s, at), _ASK_DDL)
     mail = replies.rdd.map(lambda r: (r[1], (r[2], r[0], r[3], r[4], r[5] and bytes(r[5]), r[6] and bytes(r[6]))))
     lines = own.rdd.map(tuple)
@@ -523,27 +538,30 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     labels and null ids teach nothing; with labels of one kind only, or none,
     every score is near that kind's end. One row per row.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):
+        return _scored(docs, labels, doc_id, text)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
     spark = docs.sparkSession
     # Owners grow in number with the texts, which all ask them.
     chars = docs.agg(F.sum(F.length(F.col(text)))).first()[0] or 0
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // OWNED_CHARS + 1)
     known = labelled(docs, labels, doc_id, text)
-    shares, bits, first, whole = models(known, owners)
+    shares, sieve, first, whole = models(known, owners)
     # Ids alone are ordered; the rows themselves are then found where they lie.
     other = known.where(F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 2).withColumn("place", F.struct(F.xxhash64("name").alias("h"), "name"))
     last = other.select("place").distinct().orderBy("place").limit(FITTED_ROWS).agg(F.max("place").alias("last")).first()["last"]
     h, name = (last.h, last.name) if last else (0, 0)
     inside = (F.col("place.h") < h) | ((F.col("place.h") == h) & (F.col("name") <= name))
     sample = other.where(inside).groupBy("name").agg(F.min("words").alias("body"), F.max("toxic").alias("toxic"))
-    path = scratch_path(spark, "sample")
-    sample.write.parquet(path)
-    fitted = _features(spark.read.parquet(path), shares, bits, first, owners, "toxic", _split).toPandas()
+    fitted = _features(spark.read.parquet(_written(sample, "sample")), shares, sieve, first, owners, "toxic", _split).toPandas()
     # A fixed order of rows, so that sums don't depend on their arrival.
     fitted = fitted.sort_values("name")
     weights, scale = fit(fitted[[f"f{i}" for i in range(FEATURES)]].to_numpy(float), fitted["toxic"].to_numpy(float))
     rows = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"), held_out(doc_id).alias("held"))
     logit = sum((F.col(f"f{i}") * F.lit(float(weights[i] / scale[i])) for i in range(FEATURES)), F.lit(float(weights[-1])))
     value = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
-    return _features(rows, shares, bits, whole, owners, "held", _words).select(
+    return _features(rows, shares, sieve, whole, owners, "held", _words).select(
         F.col("name").alias("doc_id"), F.col("held").alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted")
     )

@@ -1,3 +1,4 @@
+import os
 import random
 import tracemalloc
 
@@ -137,3 +138,32 @@ def test_ngrams_do_not_depend_on_neighbours(monkeypatch):
         for some, want in ((texts, alone), (texts[1:], alone[1:]), (texts[::-1], alone[::-1])):
             got = list(language.ranked(some))
             assert all(a.tolist() == c.tolist() and b.tolist() == d.tolist() for (a, b), (c, d) in zip(got, want, strict=True))
+
+
+def test_toxicity_ratios_take_bounded_memory():
+    """What a chunk's words and pairs need is few columns of them."""
+    rng = np.random.default_rng(6)
+    chunk = toxicity.Chunk()
+    for _ in range(500):
+        chunk.add([f"w{i}" for i in rng.integers(0, 3_000, 1_000).tolist()])
+    model = toxicity.Model(0, np.array([5, 2] * 4), np.array([3_000, 9e5, 9e5] + [5e5, 10, 2_990] * 4))
+    tracemalloc.start()
+    chunk.close()
+    figures, pairs = np.ones((7, len(chunk.vocab)), np.int64), np.ones((2, len(chunk.keys)), np.int64)
+    ratio = model.ratios(chunk.words, chunk.begins, figures, chunk.back, pairs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(ratio) == 500_000 and not ratio.any()
+    assert peak < 36 << 20
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    def files():
+        folders = [b.getAbsolutePath() for b in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+        return {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before = files()
+    table = spark.range(1_000).selectExpr("id % 7 AS k").groupBy("k").count()
+    path = toxicity._written(table, "counted")
+    assert not files() - before
+    assert spark.read.parquet(path).count() == 7 and table.count() == 7
