@@ -59,7 +59,7 @@ _LABEL_BITS = 1 << 20
 _SIEVED = 63 - SIEVE
 #: Words that a counting task holds before it sends them on, words of the texts
 #: that ask together, and characters of all texts per owner.
-FLUSH, CHUNK, OWNED_CHARS = 500_000, 1 << 20, 8_000_000
+FLUSH, CHUNK, OWNED_CHARS = 250_000, 1 << 19, 8_000_000
 #: Pairs of a chunk whose names or ratios are worked out at once.
 BLOCK = 1 << 16
 #: Rows in an Arrow batch: whole texts lie in it several times, on both sides of a worker.
@@ -469,6 +469,8 @@ def _features(rows: DataFrame, shares: DataFrame, sieve: Broadcast, m: Model, ow
     spark, at = rows.sparkSession, m.at
     own = rows.select("name", extra, "body")
     replies = _asks(own, owners, sieve, read).groupBy("owner").cogroup(shares.groupBy("owner")).applyInArrow(lambda a, s: _answered(a, s, at), _ASK_DDL)
+    # Written, so that the questions and the shares beside them leave the disk before the answers are dealt out.
+    replies = spark.read.schema(_ASK_DDL).parquet(_written(replies, "replies"))
     mail = replies.rdd.map(lambda r: (r[1], (r[2], r[0], r[3], r[4], r[5] and bytes(r[5]), r[6] and bytes(r[6]))))
     lines = own.rdd.map(tuple)
 
