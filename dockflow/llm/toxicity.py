@@ -18,6 +18,9 @@ must come in the same order each time, as from files; a checksum shows if not.
 Words travel as themselves. Inside pairs they go by 63-bit names, which are
 checked to be unique among all counted words. A pair is asked for by a 63-bit
 mix of its two names; below 10**9 distinct pairs none are expected to share one.
+A bounded number of common words has short codes: every worker holds these words'
+figures, and a pair of two of them travels as a 32-bit key that stands for no other
+pair. Which words have codes changes the size of messages and nothing else.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import Broadcast, TaskContext
@@ -57,11 +61,17 @@ FIGURES = 14
 SIEVE = 27
 _LABEL_BITS = 1 << 20
 _SIEVED = 63 - SIEVE
+#: Bits of a common word's code, and the rows, chosen by a hash of their id, whose most frequent words get one.
+CODE_BITS, CODED_ROWS = 16, 4_000
+#: Keys of two codes have zeros in these low bits, keys of two names don't.
+_LOW = 63 - 2 * CODE_BITS
 #: Words that a counting task holds before it sends them on, words of the texts
 #: that ask together, and characters of all texts per owner.
 FLUSH, CHUNK, OWNED_CHARS = 250_000, 1 << 19, 8_000_000
 #: Pairs of a chunk whose names or ratios are worked out at once.
 BLOCK = 1 << 16
+#: Texts ask in so many rounds, by partition: a round's questions leave the disk before the next one's come.
+ROUNDS = 2
 #: Rows in an Arrow batch: whole texts lie in it several times, on both sides of a worker.
 BATCH_ROWS = 1_000
 
@@ -74,6 +84,32 @@ def _words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
+@lru_cache(1)
+def _letters() -> np.ndarray:
+    """True for the code points that words are made of."""
+    table = np.zeros(0x110000, bool)
+    for run in _WORD.finditer(np.arange(len(table), dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")):
+        table[run.start() : run.end()] = True
+    return table
+
+
+def _word_array(text: str | None) -> pa.Array:
+    """``_words`` without a Python string for each."""
+    text = (text or "").lower()
+    body, codes = np.frombuffer(text.encode(), np.uint8), np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    letter = _letters()[codes]
+    edges = np.flatnonzero(np.diff(letter, prepend=False, append=False))
+    if len(body) > len(codes):
+        width = np.ones(len(codes), np.uint8)
+        for bound in (0x7F, 0x7FF, 0xFFFF):
+            width += codes > bound
+        edges = np.concatenate([np.zeros(1, np.int32), np.cumsum(width, dtype=np.int32)])[edges]
+        letter = np.repeat(letter, width)
+    offsets = np.zeros(len(edges) // 2 + 1, np.int32)
+    np.cumsum(edges[1::2] - edges[::2], out=offsets[1:])
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(body[letter]))
+
+
 def _pair_names(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -81,6 +117,66 @@ def _pair_names(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
 
 
+#: Factors of a mix of 32 bits that can be taken back.
+_FACTORS = (0x7FEB352D, 0x846CA68B)
+
+
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    x = codes.astype(np.uint32)
+    x = (x ^ (x >> np.uint32(16))) * np.uint32(_FACTORS[0])
+    x = (x ^ (x >> np.uint32(15))) * np.uint32(_FACTORS[1])
+    return (x ^ (x >> np.uint32(16))).astype(np.int64)
+
+
+def _unmixed(mixed: np.ndarray) -> np.ndarray:
+    first, second = (np.uint32(pow(f, -1, 1 << 32)) for f in _FACTORS)
+    x = mixed.astype(np.uint32)
+    x = (x ^ (x >> np.uint32(16))) * second
+    x = (x ^ (x >> np.uint32(15)) ^ (x >> np.uint32(30))) * first
+    return (x ^ (x >> np.uint32(16))).astype(np.int64)
+
+
+def _pair_keys(a: np.ndarray, b: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Keys of pairs of words with names ``a`` and ``b`` and codes (or -1) ``first`` and ``second``."""
+    keys = _pair_names(a, b)
+    keys += (keys & ((1 << _LOW) - 1)) == 0
+    both = np.flatnonzero((first >= 0) & (second >= 0))
+    keys[both] = _mixed((first[both] << CODE_BITS) | second[both]) << _LOW
+    return keys
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    """True for the keys of two codes."""
+    return (keys & ((1 << _LOW) - 1)) == 0
+
+
+class Common:
+    """The words that have codes, by code: in the order of their names."""
+
+    def __init__(self, words: list[str]):
+        names = _named(words)
+        order = np.argsort(names, kind="stable")
+        self.words, self.names = pa.array([words[i] for i in order], pa.string()), names[order]
+
+    def codes(self, vocab: pa.Array) -> np.ndarray:
+        """Their codes, -1 for words without one."""
+        return pc.fill_null(pc.index_in(vocab, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def codes_of(self, names: np.ndarray) -> np.ndarray:
+        """The same by the names of counted words."""
+        if not len(self.names):
+            return np.full(len(names), -1)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return np.where(self.names[at] == names, at, -1)
+
+
+class Guide:
+    """What every worker holds: the sieve, and the common words with their figures."""
+
+    def __init__(self, bits: np.ndarray, common: Common, figures: np.ndarray):
+        self.bits, self.common, self.figures = bits, common, figures
+
+
 def _owner(names: np.ndarray, owners: int) -> np.ndarray:
     """Owners hold ranges of names."""
     return ((names >> 32) * owners) >> 31
@@ -114,6 +210,27 @@ def _split(data: bytes | None) -> list[str]:
     return _zstd()[1].decompress(bytes(data)).decode().split("\n") if data else []
 
 
+def _two(first: bytes, second: bytes) -> bytes:
+    return len(first).to_bytes(4, "little") + first + second if first or second else b""
+
+
+def _both(data: bytes | None) -> tuple[bytes, bytes]:
+    data = bytes(data or b"\0\0\0\0")
+    end = 4 + int.from_bytes(data[:4], "little")
+    return data[4:end], data[end:]
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys of pairs; those of two codes without their zeros."""
+    short = _short(keys)
+    return _two(_squeezed(np.diff(keys[short] >> _LOW, prepend=0)), _squeezed(np.diff(keys[~short], prepend=0)))
+
+
+def _opened_keys(data: bytes | None) -> np.ndarray:
+    short, names = (np.cumsum(_opened(x)[0]) for x in _both(data))
+    return np.sort(np.concatenate([short << _LOW, names]), kind="stable")
+
+
 def _written(table: DataFrame, name: str) -> str:
     """The path that the table is written to. The files of its shuffles go with the
     write, as what is read from here on is the table."""
@@ -173,14 +290,30 @@ def _as_batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) ->
 
 
 #: One owner's share of pairs (kind 1), words (2) or figures of words by name (0);
-#: 3: counts of counts, 5: bits of the sieve.
+#: 3: counts of counts, 5: bits of the sieve; 6 and 7: as 1 and 0, by codes; 8: all figures of common words.
 _SHARE, _SHARE_KINDS = ["kind", "owner", "packed", "words"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 _SHARE_DDL = "kind int, owner int, packed binary, words binary"
 
 
-def _partial_counts(known: DataFrame, owners: int) -> DataFrame:
-    """Shares of pairs (names of both words, ``COUNTS``) and of words (``COUNTS``
-    alone and at the head of a pair), added up by each task first."""
+def _common(known: DataFrame) -> Common:
+    """The most frequent words of a bounded number of rows."""
+    rows = known.where("n_words > 0")
+    n = rows.count()
+    some = rows.where(F.pmod(F.xxhash64("name"), F.lit(1 << 20)) * F.lit(n) < F.lit(CODED_ROWS << 20))
+
+    def run(batches):
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                counted = pc.value_counts(pa.array(_split(data), pa.string()))
+                yield pa.RecordBatch.from_arrays(counted.flatten(), names=["word", "n"])
+
+    counts = some.select("words").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return Common([r.word for r in counts.orderBy(F.desc("n"), "word").limit(1 << CODE_BITS).select("word").collect()])
+
+
+def _partial_counts(known: DataFrame, owners: int, held: Broadcast) -> DataFrame:
+    """Shares of pairs (names of both words or their key of codes, ``COUNTS``) and of words
+    (``COUNTS`` alone and at the head of a pair), added up by each task first."""
 
     def run(batches):
         index, waiting, size = {}, {}, 0
@@ -202,12 +335,20 @@ def _partial_counts(known: DataFrame, owners: int) -> DataFrame:
                 codes.append(found)
                 tables.append(table)
             code, table, _ = _summed(np.concatenate(codes), np.concatenate(tables, axis=1))
-            a, b = names[code >> 32], names[code & 0xFFFFFFFF]
-            to = _owner(_pair_names(a, b), owners)
-            order = np.lexsort((a, to))
-            a, b, table, rows = a[order], b[order], table[:, order], []
+            own = held.value.codes(pa.array(vocab, pa.string()))
+            first, second, rows = code >> 32, code & 0xFFFFFFFF, []
+            keys = _pair_keys(names[first], names[second], own[first], own[second])
+            short, to = _short(keys), _owner(keys, owners)
+            order = np.flatnonzero(short)
+            order = order[np.argsort(keys[order])]
+            for owner, i, j in _slices(to[order]):
+                at = order[i:j]
+                rows.append((6, owner, _squeezed(np.vstack([np.diff(keys[at] >> _LOW, prepend=0), table[:, at]])), None))
+            a, b, order = names[first], names[second], np.flatnonzero(~short)
+            order = order[np.lexsort((a[order], to[order]))]
             for owner, i, j in _slices(to[order]):
-                rows.append((1, owner, _squeezed(np.vstack([np.diff(a[i:j], prepend=0), b[i:j], table[:, i:j]])), None))
+                at = order[i:j]
+                rows.append((1, owner, _squeezed(np.vstack([np.diff(a[at], prepend=0), b[at], table[:, at]])), None))
             order = np.argsort(names)
             for owner, i, j in _slices(_owner(names[order], owners)):
                 rows.append((2, owner, _squeezed(figures[:, order[i:j]]), _joined([vocab[x] for x in order[i:j]])))
@@ -228,26 +369,36 @@ def _partial_counts(known: DataFrame, owners: int) -> DataFrame:
     return known.where("n_words > 0").select(half, "toxic", "words").mapInArrow(run, _SHARE_DDL)
 
 
-def _owned(group: pa.Table, owners: int) -> pa.Table:
+def _owned(group: pa.Table, owners: int, common: Common) -> pa.Table:
     """One owner's share of all pairs and words, the figures that its pairs give
     to words elsewhere, and its counts of counts."""
     rows, owner = [], group.column("owner")[0].as_py()
     parts = list(zip(*(group.column(c).to_pylist() for c in ("kind", "packed", "words"))))
-    pairs = [_opened(p, 2 + len(COUNTS)) for kind, p, _ in parts if kind == 1]
+    pairs = []
+    for kind, packed, _ in parts:
+        if kind == 1:
+            table = _opened(packed, 2 + len(COUNTS))
+            a, none = np.cumsum(table[0]), np.full(table.shape[1], -1)
+            pairs.append((_pair_keys(a, table[1], none, none), a, table[1], table[2:]))
+        elif kind == 6:
+            table = _opened(packed, 1 + len(COUNTS))
+            keys = np.cumsum(table[0])
+            code = _unmixed(keys)
+            pairs.append((keys << _LOW, common.names[code >> CODE_BITS], common.names[code & ((1 << CODE_BITS) - 1)], table[1:]))
     if pairs:
-        a = np.concatenate([np.cumsum(p[0]) for p in pairs])
-        b = np.concatenate([p[1] for p in pairs])
-        keys, n, first = _summed(_pair_names(a, b), np.concatenate([p[2:] for p in pairs], axis=1))
-        a, b = a[first], b[first]
-        rows.append((1, owner, _squeezed(np.vstack([np.diff(keys, prepend=0), n])), None))
+        keys, n, first = _summed(np.concatenate([p[0] for p in pairs]), np.concatenate([p[3] for p in pairs], axis=1))
+        a, b = (np.concatenate([p[i] for p in pairs])[first] for i in (1, 2))
+        rows.append((1, owner, _squeezed(n), _packed_keys(keys)))
         rows.append((5, owner, _squeezed(np.diff(np.unique(keys >> _SIEVED), prepend=0)), None))
         rows.append((3, owner, _squeezed(np.array([(c == times).sum() for c in n for times in (1, 2)])), None))
         seen, where = np.zeros((6, 2 * len(a)), np.int64), np.concatenate([a, b])
         seen[:4, : len(a)] = n > 0
         seen[4, len(a) :], seen[5, len(a) :] = (n[0] + n[1]) > 0, (n[2] + n[3]) > 0
         names, seen, _ = _summed(where, seen)
-        for to, i, j in _slices(_owner(names, owners)):
-            rows.append((0, to, _squeezed(np.vstack([np.diff(names[i:j], prepend=0), seen[:, i:j]])), None))
+        codes = common.codes_of(names)
+        for kind, by, at in ((0, names, np.flatnonzero(codes < 0)), (7, codes, np.flatnonzero(codes >= 0))):
+            for to, i, j in _slices(_owner(names[at], owners)):
+                rows.append((kind, to, _squeezed(np.vstack([np.diff(by[at[i:j]], prepend=0), seen[:, at[i:j]]])), None))
     index, tables = {}, []
     for kind, packed, words in parts:
         if kind == 2:
@@ -260,29 +411,33 @@ def _owned(group: pa.Table, owners: int) -> pa.Table:
     return pa.Table.from_batches([_as_batch(rows, _SHARE, _SHARE_KINDS)])
 
 
-def _figured(group: pa.Table) -> pa.Table:
-    """One owner's words with all ``FIGURES``; kind 4 holds what the driver adds up."""
+def _figured(group: pa.Table, common: Common) -> pa.Table:
+    """One owner's words, in the order of their names, with all ``FIGURES``; kind 4 holds what the driver adds up."""
     owner, figures, names, words = group.column("owner")[0].as_py(), None, None, []
     parts = list(zip(*(group.column(c).to_pylist() for c in ("kind", "packed", "words"))))
     for kind, packed, body in parts:
         if kind == 2:
             words = _split(body)
             names = _named(words)
+            order = np.argsort(names)
+            names, words = names[order], [words[i] for i in order]
             figures = np.zeros((FIGURES, len(words)), np.int64)
-            figures[:8] = _opened(packed, 8)
-    order = np.argsort(names)
-    if (np.diff(names[order]) == 0).any():
+            figures[:8] = _opened(packed, 8)[:, order]
+    if (np.diff(names) == 0).any():
         raise RuntimeError("two words share a name; name words by another hash")
     for kind, packed, _ in parts:
-        if kind == 0:
+        if kind in (0, 7):
             table = _opened(packed, 7)
-            at = order[np.searchsorted(names[order], np.cumsum(table[0]))]
-            figures[8:, at] += table[1:]
+            by = np.cumsum(table[0])
+            figures[8:, np.searchsorted(names, common.names[by] if kind == 7 else by)] += table[1:]
     sums = [len(words), *figures[12:].sum(axis=1)]
     for count in figures[: len(COUNTS)]:
         sums += [count.sum(), (count == 1).sum(), (count > 1).sum()]
     rows = [(5, owner, _squeezed(np.diff(np.unique(names >> _SIEVED), prepend=0)), None)]
     rows += [(2, owner, _squeezed(figures), _joined(words)), (4, owner, _squeezed(np.array(sums)), None)]
+    codes = common.codes_of(names)
+    own = np.flatnonzero(codes >= 0)
+    rows.append((8, owner, _squeezed(np.vstack([np.diff(codes[own], prepend=0), figures[:, own]])), None))
     return pa.Table.from_batches([_as_batch(rows, _SHARE, _SHARE_KINDS)])
 
 
@@ -328,13 +483,15 @@ class Model:
 
 
 def models(known: DataFrame, owners: int) -> tuple[DataFrame, Broadcast, Model, Model]:
-    """The shares of pairs and words, the sieve, and the models of one half of the
-    learnable rows and of all of them. Only sums and the sieve come to the driver,
-    and the sieve goes to each worker once, for both models."""
+    """The shares of pairs and words, the guide, and the models of one half of the
+    learnable rows and of all of them. Only sums and the guide come to the driver,
+    and the guide goes to each worker once, for both models."""
     spark = known.sparkSession
-    counts = _partial_counts(known, owners).groupBy("owner").applyInArrow(lambda g: _owned(g, owners), _SHARE_DDL)
+    common = _common(known)
+    held = spark.sparkContext.broadcast(common)
+    counts = _partial_counts(known, owners, held).groupBy("owner").applyInArrow(lambda g: _owned(g, owners, held.value), _SHARE_DDL)
     owned = spark.read.schema(_SHARE_DDL).parquet(_written(counts, "counts"))
-    figures = owned.where("kind in (0, 2)").groupBy("owner").applyInArrow(lambda g: _figured(g), _SHARE_DDL)
+    figures = owned.where("kind in (0, 2, 7)").groupBy("owner").applyInArrow(lambda g: _figured(g, held.value), _SHARE_DDL)
     figured = spark.read.schema(_SHARE_DDL).parquet(_written(figures, "figures"))
     seldom, sums = np.zeros(2 * len(COUNTS), np.int64), np.zeros(3 + 3 * len(COUNTS), np.int64)
     for r in owned.where("kind = 3").select("packed").toLocalIterator():
@@ -345,8 +502,12 @@ def models(known: DataFrame, owners: int) -> tuple[DataFrame, Broadcast, Model,
     for r in owned.union(figured).where("kind = 5").select("packed").toLocalIterator():
         at = np.cumsum(_opened(r.packed)[0])
         np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    head = np.zeros((FIGURES, len(common.names)), np.int64)
+    for r in figured.where("kind = 8").select("packed").toLocalIterator():
+        table = _opened(r.packed, 1 + FIGURES)
+        head[:, np.cumsum(table[0])] = table[1:]
     shares = owned.where("kind = 1").union(figured.where("kind = 2"))
-    return shares, spark.sparkContext.broadcast(bits), Model(2, seldom, sums), Model(0, seldom, sums)
+    return shares, spark.sparkContext.broadcast(Guide(bits, common, head)), Model(2, seldom, sums), Model(0, seldom, sums)
 
 
 class Chunk:
@@ -356,15 +517,16 @@ class Chunk:
     def __init__(self):
         self.texts, self.size = [], 0
 
-    def add(self, words: list[str]) -> None:
-        self.texts.append(pa.array(words, pa.string()))
+    def add(self, words: list[str] | pa.Array) -> None:
+        self.texts.append(words if isinstance(words, pa.Array) else pa.array(words, pa.string()))
         self.size += len(words) + 1
 
-    def close(self) -> None:
+    def close(self, common: Common | None = None) -> None:
         self.lengths = np.array([len(t) for t in self.texts])
         coded = pa.concat_arrays(self.texts).dictionary_encode()
         self.vocab, self.words, self.texts = coded.dictionary.to_pylist(), coded.indices.to_numpy(), []
         names = _named(self.vocab)
+        self.codes = common.codes(coded.dictionary) if common else np.full(len(names), -1)
         inside = np.ones(len(self.words), bool)
         ends = np.cumsum(self.lengths)
         inside[ends[self.lengths > 0] - 1] = False
@@ -372,36 +534,49 @@ class Chunk:
         keys = np.empty(len(self.begins), np.int64)
         for start in range(0, len(keys), BLOCK):
             at = self.begins[start : start + BLOCK]
-            keys[start : start + BLOCK] = _pair_names(names[self.words[at]], names[self.words[at + 1]])
+            a, b = self.words[at], self.words[at + 1]
+            keys[start : start + BLOCK] = _pair_keys(names[a], names[b], self.codes[a], self.codes[b])
         self.keys, self.back = np.unique(keys, return_inverse=True)
         self.word_order = np.argsort(names, kind="stable")
         self.names = names[self.word_order]
         self.check = zlib.crc32(self.words.tobytes(), len(self.lengths))
 
 
+def _give_back() -> None:
+    """Unused memory of Arrow's pool goes back: a core has several workers, which keep it while they wait."""
+    pa.default_memory_pool().release_unused()
+
+
 def _sifted(names: np.ndarray, sieve: np.ndarray) -> np.ndarray:
     """Places of the names that the sieve lets through."""
     high = names >> _SIEVED
     return np.flatnonzero(sieve[high >> 3] >> (high & 7).astype(np.uint8) & 1)
 
 
+def _asked(chunk: Chunk, guide: Guide) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs and, in the order of their names, of the words that a chunk asks for."""
+    names = np.flatnonzero(chunk.codes[chunk.word_order] < 0)
+    return _sifted(chunk.keys, guide.bits), names[_sifted(chunk.names[names], guide.bits)]
+
+
 _ASK_DDL = "owner int, part int, chunk int, n_rows int, check long, keys binary, words binary"
 _ASK = [c.split()[0] for c in _ASK_DDL.split(", ")]
 _ASK_KINDS = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
 
-def _asks(rows: DataFrame, owners: int, sieve, read) -> DataFrame:
+def _asks(rows: DataFrame, owners: int, guide: Broadcast, read) -> DataFrame:
     """Each chunk's questions, and one row with ``n_rows`` that every chunk has."""
 
     def run(batches):
         part, number, chunk = TaskContext.get().partitionId(), 0, Chunk()
 
         def asked():
-            chunk.close()
+            chunk.close(guide.value.common)
             out = [((part + number) % owners, part, number, len(chunk.lengths), chunk.check, None, None)]
-            keys, known = chunk.keys[_sifted(chunk.keys, sieve.value)], _sifted(chunk.names, sieve.value)
+            pairs, known = _asked(chunk, guide.value)
+            keys = chunk.keys[pairs]
             for owner, a, b in _slices(_owner(keys, owners)):
-                out.append((owner, part, number, 0, 0, _squeezed(np.diff(keys[a:b], prepend=0)), None))
+                out.append((owner, part, number, 0, 0, _packed_keys(keys[a:b]), None))
             for owner, a, b in _slices(_owner(chunk.names[known], owners)):
                 out.append((owner, part, number, 0, 0, None, _joined([chunk.vocab[i] for i in chunk.word_order[known[a:b]]])))
             return _as_batch(out, _ASK, _ASK_KINDS)
@@ -412,27 +587,35 @@ def _asks(rows: DataFrame, owners: int, sieve, read) -> DataFrame:
                 if chunk.size >= CHUNK:
                     yield asked()
                     number, chunk = number + 1, Chunk()
+                    _give_back()
         if chunk.texts:
             yield asked()
+        chunk = Chunk()
+        _give_back()
 
     return rows.select("body").mapInArrow(run, _ASK_DDL)
 
 
+def _rows_of(at: int) -> list[int]:
+    """The ``FIGURES`` that the model of all rows (``at`` 0) or of the half (2) takes."""
+    return [at, at + 1, 4 + at, 5 + at, 8 + at, 9 + at, 12 + at // 2]
+
+
 def _answered(asks: pa.Table, shares: pa.Table, at: int) -> pa.Table:
     """Places of the words and pairs that occur, with their figures."""
     model = {k: (p, w) for k, p, w in zip(*(shares.column(c).to_pylist() for c in ("kind", "packed", "words")))}
-    pairs, figures = _opened(model.get(1, (b"",))[0], 1 + len(COUNTS)), _opened(model.get(2, (b"",))[0], FIGURES)
-    known = np.cumsum(pairs[0])
+    pairs, figures = _opened(model.get(1, (b"",))[0], len(COUNTS)), _opened(model.get(2, (b"",))[0], FIGURES)
+    known = _opened_keys(model[1][1]) if 1 in model else np.zeros(0, np.int64)
     own = {w: i for i, w in enumerate(_split(model[2][1]))} if 2 in model else {}
-    figures = figures[[at, at + 1, 4 + at, 5 + at, 8 + at, 9 + at, 12 + at // 2]]
+    figures = figures[_rows_of(at)]
     out = []
     for owner, part, number, n_rows, check, keys, words in zip(*(asks.column(c).to_pylist() for c in _ASK)):
         if keys:
-            wanted = np.cumsum(_opened(keys)[0])
+            wanted = _opened_keys(keys)
             place = np.searchsorted(known, wanted)
             place[place == len(known)] = 0
             hit = np.flatnonzero(known[place] == wanted) if len(known) else np.zeros(0, np.int64)
-            counts = pairs[1 + at : 3 + at, place[hit]]
+            counts = pairs[at : 2 + at, place[hit]]
             some = counts.any(axis=0)
             keys = _squeezed(np.vstack([np.diff(hit[some], prepend=0), counts[:, some]]))
         if words:
@@ -463,14 +646,18 @@ def fit(features: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return w, scale
 
 
-def _features(rows: DataFrame, shares: DataFrame, sieve: Broadcast, m: Model, owners: int, extra: str, read) -> DataFrame:
+def _features(rows: DataFrame, shares: DataFrame, guide: Broadcast, m: Model, owners: int, extra: str, read) -> DataFrame:
     """(name, extra, f0 …) of rows (name, body, extra): ratio per word, ratio per
     root of words, mean of the strongest fiftieth. ``read`` makes words of a body."""
     spark, at = rows.sparkSession, m.at
     own = rows.select("name", extra, "body")
-    replies = _asks(own, owners, sieve, read).groupBy("owner").cogroup(shares.groupBy("owner")).applyInArrow(lambda a, s: _answered(a, s, at), _ASK_DDL)
-    # Written, so that the questions and the shares beside them leave the disk before the answers are dealt out.
-    replies = spark.read.schema(_ASK_DDL).parquet(_written(replies, "replies"))
+    written = []
+    for turn in range(ROUNDS):
+        asks = _asks(own.where(F.spark_partition_id() % ROUNDS == turn), owners, guide, read)
+        replies = asks.groupBy("owner").cogroup(shares.groupBy("owner")).applyInArrow(lambda a, s: _answered(a, s, at), _ASK_DDL)
+        # Written, so that the questions and the shares beside them leave the disk before the answers are dealt out.
+        written.append(_written(replies, "replies"))
+    replies = spark.read.schema(_ASK_DDL).parquet(*written)
     mail = replies.rdd.map(lambda r: (r[1], (r[2], r[0], r[3], r[4], r[5] and bytes(r[5]), r[6] and bytes(r[6]))))
     lines = own.rdd.map(tuple)
 
@@ -488,11 +675,13 @@ def _features(rows: DataFrame, shares: DataFrame, sieve: Broadcast, m: Model, ow
         chunk = Chunk()
         for _, _, body in waiting:
             chunk.add(read(body))
-        chunk.close()
+        chunk.close(guide.value.common)
         if sum(x[2] for x in answers) != chunk.check:
             raise RuntimeError("the rows of a partition changed between two reads; write the table first")
         figures, pairs = np.zeros((7, len(chunk.vocab)), np.int64), np.zeros((2, len(chunk.keys)), np.int64)
-        asked, known = _sifted(chunk.keys, sieve.value), _sifted(chunk.names, sieve.value)
+        own = np.flatnonzero(chunk.codes >= 0)
+        figures[:, own] = guide.value.figures[np.ix_(_rows_of(at), chunk.codes[own])]
+        asked, known = _asked(chunk, guide.value)
         pair_owner, word_owner = _owner(chunk.keys[asked], owners), _owner(chunk.names[known], owners)
         for owner, _, _, keys, words in answers:
             if keys:
@@ -519,11 +708,13 @@ def _features(rows: DataFrame, shares: DataFrame, sieve: Broadcast, m: Model, ow
             if mark is not None and waiting:
                 yield from scored(waiting, answers)
                 waiting = []
+                _give_back()
             if mark is not None:
                 answers = mark
             waiting.append(row)
         if waiting:
             yield from scored(waiting, answers)
+        _give_back()
 
     laid = mail.partitionBy(max(lines.getNumPartitions(), 1), int).mapPartitions(lay)
     schema = f"name long, {extra} boolean, " + ", ".join(f"f{i} double" for i in range(FEATURES))
@@ -550,20 +741,20 @@ def _scored(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataF
     chars = docs.agg(F.sum(F.length(F.col(text)))).first()[0] or 0
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // OWNED_CHARS + 1)
     known = labelled(docs, labels, doc_id, text)
-    shares, sieve, first, whole = models(known, owners)
+    shares, guide, first, whole = models(known, owners)
     # Ids alone are ordered; the rows themselves are then found where they lie.
     other = known.where(F.crc32(F.col("name").cast("string").cast("binary")) % 3 == 2).withColumn("place", F.struct(F.xxhash64("name").alias("h"), "name"))
     last = other.select("place").distinct().orderBy("place").limit(FITTED_ROWS).agg(F.max("place").alias("last")).first()["last"]
     h, name = (last.h, last.name) if last else (0, 0)
     inside = (F.col("place.h") < h) | ((F.col("place.h") == h) & (F.col("name") <= name))
     sample = other.where(inside).groupBy("name").agg(F.min("words").alias("body"), F.max("toxic").alias("toxic"))
-    fitted = _features(spark.read.parquet(_written(sample, "sample")), shares, sieve, first, owners, "toxic", _split).toPandas()
+    fitted = _features(spark.read.parquet(_written(sample, "sample")), shares, guide, first, owners, "toxic", _split).toPandas()
     # A fixed order of rows, so that sums don't depend on their arrival.
     fitted = fitted.sort_values("name")
     weights, scale = fit(fitted[[f"f{i}" for i in range(FEATURES)]].to_numpy(float), fitted["toxic"].to_numpy(float))
     rows = docs.select(F.col(doc_id).cast("long").alias("name"), F.col(text).alias("body"), held_out(doc_id).alias("held"))
     logit = sum((F.col(f"f{i}") * F.lit(float(weights[i] / scale[i])) for i in range(FEATURES)), F.lit(float(weights[-1])))
     value = F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
-    return _features(rows, shares, sieve, whole, owners, "held", _words).select(
+    return _features(rows, shares, guide, whole, owners, "held", _word_array).select(
         F.col("name").alias("doc_id"), F.col("held").alias("held_out"), value.alias("score"), (value >= THRESHOLD).cast("int").alias("predicted")
     )

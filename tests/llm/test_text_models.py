@@ -167,3 +167,54 @@ def test_written_tables_leave_no_shuffle_files(spark):
     path = toxicity._written(table, "counted")
     assert not files() - before
     assert spark.read.parquet(path).count() == 7 and table.count() == 7
+
+
+def test_toxicity_word_arrays_are_the_words():
+    texts = odd_texts() + ["\u0130x \u039f\u0394\u039f\u03a3 \u00df1_\u00e9 \u0660a\u0661", "\U0001d4d0\u4e2d a\u0301b \u00b2\u2167x", "_", "0", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x20000)]))]
+    for text in texts:
+        assert toxicity._word_array(text).to_pylist() == toxicity._words(text)
+
+
+def test_toxicity_keys_of_two_codes_are_distinct():
+    codes = np.concatenate([np.arange(1 << 16), np.random.default_rng(1).integers(0, 1 << 32, 100_000)])
+    assert (toxicity._unmixed(toxicity._mixed(codes)) == codes).all()
+    common = toxicity.Common([f"w{i}" for i in range(50)])
+    names = toxicity._named([f"w{i}" for i in range(100)])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(100), np.arange(100)))
+    own = common.codes_of(names)
+    assert (own >= 0).sum() == 50
+    keys = toxicity._pair_keys(names[a], names[b], own[a], own[b])
+    assert len(set(keys.tolist())) == 10_000 and (toxicity._short(keys) == ((a < 50) & (b < 50))).all()
+    keys.sort()
+    assert (toxicity._opened_keys(toxicity._packed_keys(keys)) == keys).all()
+
+
+def _counted(spark, known, owners=3):
+    known = known.rdd.map(lambda r: (r[0], r[1], len(r[2].split(" ")), toxicity._joined(r[2].split(" "))))
+    return toxicity.models(spark.createDataFrame(known, "name long, toxic boolean, n_words long, words binary"), owners)
+
+
+def test_toxicity_questions_are_small(spark):
+    """A known pair of common words takes less than the 5 bytes and more that its 63-bit name took."""
+    rng = random.Random(8)
+    texts = [" ".join(f"{'abcdefgh'[rng.randrange(8)]}{'abcdefgh'[rng.randrange(8)]}{'xyz'[rng.randrange(3)]}" for _ in range(1_000)) for _ in range(30)]
+    docs = documents(spark, texts).selectExpr("doc_id AS name", "doc_id % 2 = 1 AS toxic", "text AS body")
+    _, guide, _, _ = _counted(spark, docs)
+    asked = toxicity._asks(docs.coalesce(1), 3, guide, toxicity._words).select("keys").toPandas()["keys"].dropna()
+    pairs = {p for t in texts for p in zip(t.split(), t.split()[1:])}
+    assert sum(map(len, asked)) < 3.5 * len(pairs)
+
+
+def test_toxicity_does_not_depend_on_codes_or_rounds(spark, monkeypatch):
+    rng = random.Random(9)
+    some = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(300)]
+    docs = documents(spark, [" ".join(rng.choice(some) for _ in range(50)) for _ in range(40)])
+    docs = docs.selectExpr("doc_id AS name", "doc_id % 2 = 1 AS toxic", "text AS body")
+    got = []
+    for words, rounds in ((some, 2), ([], 1), (some[:90], 5)):
+        monkeypatch.setattr(toxicity, "_common", lambda known, words=words: toxicity.Common(sorted(set(words))))
+        monkeypatch.setattr(toxicity, "ROUNDS", rounds)
+        shares, guide, half, whole = _counted(spark, docs)
+        for m in (half, whole):
+            got.append(sorted(map(tuple, toxicity._features(docs, shares, guide, m, 3, "toxic", toxicity._word_array).collect())))
+    assert got[:2] == got[2:4] == got[4:] and len(got[0]) == 40 and got[0] != got[1]
