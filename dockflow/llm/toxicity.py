@@ -67,7 +67,7 @@ CODE_BITS, CODED_ROWS = 16, 4_000
 _LOW = 63 - 2 * CODE_BITS
 #: Words that a counting task holds before it sends them on, words of the texts
 #: that ask together, and characters of all texts per owner.
-FLUSH, CHUNK, OWNED_CHARS = 250_000, 1 << 19, 8_000_000
+FLUSH, CHUNK, OWNED_CHARS = 250_000, 1 << 18, 8_000_000
 #: Pairs of a chunk whose names or ratios are worked out at once.
 BLOCK = 1 << 16
 #: Texts ask in so many rounds, by partition: a round's questions leave the disk before the next one's come.
@@ -507,7 +507,7 @@ def models(known: DataFrame, owners: int) -> tuple[DataFrame, Broadcast, Model,
         table = _opened(r.packed, 1 + FIGURES)
         head[:, np.cumsum(table[0])] = table[1:]
     shares = owned.where("kind = 1").union(figured.where("kind = 2"))
-    return shares, spark.sparkContext.broadcast(Guide(bits, common, head)), Model(2, seldom, sums), Model(0, seldom, sums)
+    return shares, spark.sparkContext.broadcast(Guide(bits, common, head.astype(np.min_scalar_type(head.max(initial=0))))), Model(2, seldom, sums), Model(0, seldom, sums)
 
 
 class Chunk:
@@ -692,9 +692,11 @@ def _features(rows: DataFrame, shares: DataFrame, guide: Broadcast, m: Model, ow
                 table = _opened(words, 8)
                 start = np.searchsorted(word_owner, owner)
                 figures[:, chunk.word_order[known[start + np.cumsum(table[0])]]] = table[1:]
-        ratio = m.ratios(chunk.words, chunk.begins, figures, chunk.back, pairs)
+        ratio, lengths = m.ratios(chunk.words, chunk.begins, figures, chunk.back, pairs), chunk.lengths.tolist()
+        del chunk, figures, pairs
+        _give_back()
         end = 0
-        for (name, flag, _), n in zip(waiting, chunk.lengths.tolist()):
+        for (name, flag, _), n in zip(waiting, lengths):
             r, end = ratio[end : end + n], end + n
             if not n:
                 yield name, flag, 0.0, 0.0, 0.0
