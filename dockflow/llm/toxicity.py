@@ -25,6 +25,7 @@ pair. Which words have codes changes the size of messages and nothing else.
 
 from __future__ import annotations
 
+import ctypes
 import re
 import zlib
 from collections.abc import Iterator
@@ -110,6 +111,18 @@ def _word_array(text: str | None) -> pa.Array:
     return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(body[letter]))
 
 
+def _indices(array: pa.Array) -> np.ndarray:
+    """32-bit numbers, -1 for nulls. Arrow's own ways to numpy import pandas, 27 MB in every worker of a core."""
+    if not len(array):
+        return np.zeros(0, np.int32)
+    valid, data = array.buffers()
+    numbers = np.frombuffer(data, np.int32, len(array), 4 * array.offset)
+    if valid is not None:
+        there = np.unpackbits(np.frombuffer(valid, np.uint8), bitorder="little")[array.offset : array.offset + len(array)]
+        numbers = np.where(there, numbers, np.int32(-1))
+    return numbers
+
+
 def _pair_names(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     x = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -160,7 +173,7 @@ class Common:
 
     def codes(self, vocab: pa.Array) -> np.ndarray:
         """Their codes, -1 for words without one."""
-        return pc.fill_null(pc.index_in(vocab, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        return _indices(pc.index_in(vocab, value_set=self.words)).astype(np.int64)
 
     def codes_of(self, names: np.ndarray) -> np.ndarray:
         """The same by the names of counted words."""
@@ -210,6 +223,14 @@ def _split(data: bytes | None) -> list[str]:
     return _zstd()[1].decompress(bytes(data)).decode().split("\n") if data else []
 
 
+def _split_array(data: bytes | None) -> pa.Array:
+    """``_split`` without a Python string for each."""
+    body = np.frombuffer(_zstd()[1].decompress(bytes(data)) if data else b"", np.uint8)
+    ends = np.append(np.flatnonzero(body == 10), len(body)) if len(body) else np.zeros(0, np.int64)
+    offsets = np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends), pa.py_buffer(offsets), pa.py_buffer(body[body != 10]))
+
+
 def _two(first: bytes, second: bytes) -> bytes:
     return len(first).to_bytes(4, "little") + first + second if first or second else b""
 
@@ -524,7 +545,7 @@ class Chunk:
     def close(self, common: Common | None = None) -> None:
         self.lengths = np.array([len(t) for t in self.texts])
         coded = pa.concat_arrays(self.texts).dictionary_encode()
-        self.vocab, self.words, self.texts = coded.dictionary.to_pylist(), coded.indices.to_numpy(), []
+        self.vocab, self.words, self.texts = coded.dictionary.to_pylist(), _indices(coded.indices), []
         names = _named(self.vocab)
         self.codes = common.codes(coded.dictionary) if common else np.full(len(names), -1)
         inside = np.ones(len(self.words), bool)
@@ -542,11 +563,24 @@ class Chunk:
         self.check = zlib.crc32(self.words.tobytes(), len(self.lengths))
 
 
-def _give_back() -> None:
-    """Unused memory of Arrow's pool goes back: a core has several workers, which keep it while they wait."""
+@lru_cache(1)
+def _trim():
+    """The C library's ``malloc_trim``, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda kept: 0)
+
+
+def _give_back_arrow() -> None:
+    """Unused memory of Arrow's pool goes back between two chunks."""
     pa.default_memory_pool().release_unused()
 
 
+def _give_back() -> None:
+    """As a task begins or ends, the C library's goes back, too: a core has several workers, which keep it
+    while they wait. Between chunks that would cost a page fault for every page of the next."""
+    _give_back_arrow()
+    _trim()(0)
+
+
 def _sifted(names: np.ndarray, sieve: np.ndarray) -> np.ndarray:
     """Places of the names that the sieve lets through."""
     high = names >> _SIEVED
@@ -587,7 +621,7 @@ def _asks(rows: DataFrame, owners: int, guide: Broadcast, read) -> DataFrame:
                 if chunk.size >= CHUNK:
                     yield asked()
                     number, chunk = number + 1, Chunk()
-                    _give_back()
+                    _give_back_arrow()
         if chunk.texts:
             yield asked()
         chunk = Chunk()
@@ -652,17 +686,29 @@ def _features(rows: DataFrame, shares: DataFrame, guide: Broadcast, m: Model, ow
     spark, at = rows.sparkSession, m.at
     own = rows.select("name", extra, "body")
     written = []
+
+    def answer(asked, held):
+        out = _answered(asked, held, at)
+        _give_back()
+        return out
+
+    def plain(texts):
+        # Spark hands tasks to whichever worker waits: this one may have held the guide and a chunk just before.
+        _give_back()
+        return map(tuple, texts)
+
     for turn in range(ROUNDS):
         asks = _asks(own.where(F.spark_partition_id() % ROUNDS == turn), owners, guide, read)
-        replies = asks.groupBy("owner").cogroup(shares.groupBy("owner")).applyInArrow(lambda a, s: _answered(a, s, at), _ASK_DDL)
+        replies = asks.groupBy("owner").cogroup(shares.groupBy("owner")).applyInArrow(answer, _ASK_DDL)
         # Written, so that the questions and the shares beside them leave the disk before the answers are dealt out.
         written.append(_written(replies, "replies"))
     replies = spark.read.schema(_ASK_DDL).parquet(*written)
     mail = replies.rdd.map(lambda r: (r[1], (r[2], r[0], r[3], r[4], r[5] and bytes(r[5]), r[6] and bytes(r[6]))))
-    lines = own.rdd.map(tuple)
+    lines = own.rdd.mapPartitions(plain)
 
     def lay(own_mail):
         """Beside the first row of each chunk all answers to it, beside the others nothing."""
+        _give_back()
         chunks: dict[int, list] = {}
         for _, message in own_mail:
             chunks.setdefault(message[0], []).append(message[1:])
@@ -694,7 +740,7 @@ def _features(rows: DataFrame, shares: DataFrame, guide: Broadcast, m: Model, ow
                 figures[:, chunk.word_order[known[start + np.cumsum(table[0])]]] = table[1:]
         ratio, lengths = m.ratios(chunk.words, chunk.begins, figures, chunk.back, pairs), chunk.lengths.tolist()
         del chunk, figures, pairs
-        _give_back()
+        _give_back_arrow()
         end = 0
         for (name, flag, _), n in zip(waiting, lengths):
             r, end = ratio[end : end + n], end + n
@@ -710,7 +756,7 @@ def _features(rows: DataFrame, shares: DataFrame, guide: Broadcast, m: Model, ow
             if mark is not None and waiting:
                 yield from scored(waiting, answers)
                 waiting = []
-                _give_back()
+                _give_back_arrow()
             if mark is not None:
                 answers = mark
             waiting.append(row)
@@ -750,7 +796,7 @@ def _scored(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataF
     h, name = (last.h, last.name) if last else (0, 0)
     inside = (F.col("place.h") < h) | ((F.col("place.h") == h) & (F.col("name") <= name))
     sample = other.where(inside).groupBy("name").agg(F.min("words").alias("body"), F.max("toxic").alias("toxic"))
-    fitted = _features(spark.read.parquet(_written(sample, "sample")), shares, guide, first, owners, "toxic", _split).toPandas()
+    fitted = _features(spark.read.parquet(_written(sample, "sample")), shares, guide, first, owners, "toxic", _split_array).toPandas()
     # A fixed order of rows, so that sums don't depend on their arrival.
     fitted = fitted.sort_values("name")
     weights, scale = fit(fitted[[f"f{i}" for i in range(FEATURES)]].to_numpy(float), fitted["toxic"].to_numpy(float))

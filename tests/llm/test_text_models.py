@@ -1,8 +1,11 @@
 import os
 import random
+import subprocess
+import sys
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from texts import DOCS, documents, is_held_out, odd_texts
 
 from dockflow.llm import language, toxicity
@@ -218,3 +221,53 @@ def test_toxicity_does_not_depend_on_codes_or_rounds(spark, monkeypatch):
         for m in (half, whole):
             got.append(sorted(map(tuple, toxicity._features(docs, shares, guide, m, 3, "toxic", toxicity._word_array).collect())))
     assert got[:2] == got[2:4] == got[4:] and len(got[0]) == 40 and got[0] != got[1]
+
+
+def test_toxicity_idle_workers_are_small():
+    """A core has several workers that wait: after a chunk they hold neither its memory nor pandas."""
+    code = """
+import os, pickle, sys
+import numpy as np
+from dockflow.llm import toxicity
+
+def held():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") >> 20
+
+def use(n):
+    guide = pickle.loads(sent)
+    chunk, rng = toxicity.Chunk(), np.random.default_rng(6)
+    for _ in range(n):
+        words = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}x{'uvwxyz'[i // 100 % 6]}" * (1 + i // 600) for i in rng.integers(0, 6_000, 1_000).tolist()]
+        chunk.add(toxicity._word_array(" ".join(words)))
+    chunk.close(guide.common)
+    figures, pairs = np.ones((7, len(chunk.vocab)), np.int64), np.ones((2, len(chunk.keys)), np.int64)
+    model.ratios(chunk.words, chunk.begins, figures, chunk.back, pairs)
+
+common = toxicity.Common.__new__(toxicity.Common)
+common.words, common.names = toxicity._word_array("akxu blxu"), np.arange(2)
+sent = pickle.dumps(toxicity.Guide(np.ones(1 << toxicity.SIEVE >> 3, np.uint8), common, np.ones((14, 65_536), np.uint32)))
+model = toxicity.Model(0, np.array([5, 2] * 4), np.array([3_000, 9e5, 9e5] + [5e5, 10, 2_990] * 4))
+use(2)
+toxicity._give_back()
+before = held()
+for _ in range(3):
+    use(300)
+    toxicity._give_back()
+print(held() - before, "pandas" in sys.modules)
+"""
+    root = os.path.dirname(os.path.dirname(toxicity.__file__))
+    run = subprocess.run([sys.executable, "-c", code], env=os.environ | {"PYTHONPATH": os.path.dirname(root)}, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
+    more, pandas = run.stdout.split()
+    assert int(more) < 8 and pandas == "False"
+
+
+def test_toxicity_arrays_of_packed_words():
+    for words in ([], ["a"], ["a", "\u00e9\u4e2d", "b", "a"], ["x" * 70_000, "y"]):
+        assert toxicity._split_array(toxicity._joined(words)).to_pylist() == words == toxicity._split(toxicity._joined(words))
+    assert toxicity._split_array(None).to_pylist() == []
+    array = pa.array([None, 3, None, 5, 0, None, 7, 8, 9, None, 1], pa.int32())
+    for start in range(12):
+        assert toxicity._indices(array[start:]).tolist() == [-1 if x is None else x for x in array[start:].to_pylist()]
+    assert toxicity._indices(array[1:2]).tolist() == [3] and toxicity._indices(pa.array([4, 2], pa.int32())).tolist() == [4, 2]
