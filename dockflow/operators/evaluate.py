@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from dockflow.functions.numeric import relative_error, safe_ratio, station_state
-from dockflow.params import EMPTY_THRESHOLD, FULL_THRESHOLD
+from dockflow.functions.paths import MOMENTS, MOMENTS_DDL, moments
+from dockflow.params import DEFAULT_CAPACITY, EMPTY_THRESHOLD, FULL_THRESHOLD
 
 # Fixed order of the reported metrics.
 METRICS = [
@@ -41,12 +44,15 @@ def align(truth: DataFrame, forecast: DataFrame, *keys: str) -> DataFrame:
     return truth.select(*on, "capacity", F.col("bikes").alias("true")).join(pred, on)
 
 
-def align_paths(truth: DataFrame, forecasts: DataFrame, *keys: str) -> DataFrame:
+def align_paths(truth: DataFrame, forecasts: DataFrame, *keys: str, whole: bool = False) -> DataFrame:
     """The same from trajectories on one grid: one join row per station instead
-    of one per station and step."""
+    of one per station and step. ``whole`` leaves it at that row, with both paths
+    as arrays ``true`` and ``pred``."""
     on = ["fold_id", "station_name"]
     pred = forecasts.select(*keys, *on, F.col("bikes").alias("pred"))
     paired = truth.select(*on, "capacity", "start_ts", F.col("bikes").alias("true")).join(pred, on)
+    if whole:
+        return paired.select(*keys, *on, "capacity", "true", "pred")
     cells = F.filter(
         F.arrays_zip("true", "pred"), lambda c: c["true"].isNotNull() & c["pred"].isNotNull()
     )
@@ -76,17 +82,8 @@ def _state_scores(state: str) -> list[Column]:
     ]
 
 
-def fold_metrics(
-    pairs: DataFrame, *keys: str, empty: float = EMPTY_THRESHOLD, full: float = FULL_THRESHOLD
-) -> DataFrame:
-    """One row of all metrics per (*keys, fold_id).
-
-    Two levels: moments and counts per station, then per fold, so a fold's
-    cells are never gathered and the per-station errors fall out on the way.
-    Products are summed about a value near each station's own (``near_true`` and
-    ``near_pred`` if ``pairs`` has them, else 0), and moved to one value per fold when stations
-    are merged, so that large levels don't cost the digits of small deviations.
-    """
+def _cell_moments(pairs: DataFrame, keys: tuple[str, ...], empty: float, full: float) -> DataFrame:
+    """Moments and counts per (*keys, fold_id, station_name) of a row per step."""
     true, pred = F.col("true"), F.col("pred")
     stated = pairs.withColumns(
         {
@@ -97,7 +94,7 @@ def fold_metrics(
     err = true - pred
     near = {c: F.col(f"near_{c}") if f"near_{c}" in pairs.columns else F.lit(0.0) for c in ("true", "pred")}
     t, p = true - near["true"], pred - near["pred"]
-    per_station = stated.groupBy(*keys, "fold_id", "station_name").agg(
+    return stated.groupBy(*keys, "fold_id", "station_name").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.abs(err)).alias("abs_err"),
         F.sum(err * err).alias("sq_err"),
@@ -114,6 +111,39 @@ def fold_metrics(
         *_state_counts("full"),
         F.count_if(F.col("true_state") == F.col("pred_state")).alias("same_state"),
     )
+
+
+def _path_moments(pairs: DataFrame, keys: tuple[str, ...], empty: float, full: float) -> DataFrame:
+    """The same of a row per station and fold that holds both paths."""
+    own = [*keys, "fold_id", "station_name"]
+    rows = pairs.select(*own, F.coalesce("capacity", F.lit(DEFAULT_CAPACITY)).alias("capacity"), "true", "pred")
+
+    def run(batches):
+        for batch in batches:
+            found = moments(batch.column("true"), batch.column("pred"), batch.column("capacity"), empty, full)
+            columns = [batch.column(c) for c in own] + [pa.array(found[c]) for c in MOMENTS]
+            whole = pa.RecordBatch.from_arrays(columns, names=[*own, *MOMENTS])
+            yield whole.filter(pa.array(found["n"] > 0))
+
+    schema = StructType([*pairs.select(*own).schema.fields, *StructType.fromDDL(MOMENTS_DDL).fields])
+    return rows.mapInArrow(run, schema)
+
+
+def fold_metrics(
+    pairs: DataFrame, *keys: str, empty: float = EMPTY_THRESHOLD, full: float = FULL_THRESHOLD
+) -> DataFrame:
+    """One row of all metrics per (*keys, fold_id).
+
+    Two levels: moments and counts per station, then per fold, so a fold's
+    cells are never gathered and the per-station errors fall out on the way.
+    ``pairs`` has a row per step, or a row per station that holds its whole paths.
+    Products are summed about a value near each station's own (``near_true`` and
+    ``near_pred`` if rows per step have them, else 0; the first of a whole path), and moved to
+    one value per fold when stations are merged, so that large levels don't cost the digits
+    of small deviations.
+    """
+    of_paths = isinstance(pairs.schema["true"].dataType, ArrayType)
+    per_station = (_path_moments if of_paths else _cell_moments)(pairs, keys, empty, full)
     # A row per station and fold from here on.
     fold = Window.partitionBy(*keys, "fold_id")
     by = {c: F.col(f"near_{c}") - F.min(f"near_{c}").over(fold) for c in ("t", "p")}

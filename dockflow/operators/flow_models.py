@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.numeric import clamp, station_state
-from dockflow.functions.time import add_seconds, context_of, is_weekend
+from dockflow.functions.numeric import station_state
+from dockflow.functions.paths import clamped_context_walk, clamped_walk
+from dockflow.functions.time import is_weekend
 from dockflow.operators.folds import fold_days, grid_size, on_fold_days
 from dockflow.params import DEFAULT_CAPACITY, HOUR
-
-_CONTEXTS = 48
+from dockflow.session import cut
 
 
 def fit_station_avg(flows: DataFrame, folds: DataFrame) -> DataFrame:
@@ -51,17 +51,8 @@ def mean_flow(params: DataFrame) -> DataFrame:
     return params.groupBy("fold_id").agg(F.avg("avg_flow").alias("global_flow"))
 
 
-def _walk(start: Column, capacity: Column, steps: Column, flow_at) -> Column:
-    """x <- min(capacity, max(0, x + flow)) over the steps after the first."""
-    cap = F.coalesce(capacity, F.lit(DEFAULT_CAPACITY))
-    later = F.when(steps > 1, F.sequence(F.lit(1), F.greatest(steps - 1, F.lit(1)))).otherwise(
-        F.expr("CAST(array() AS ARRAY<INT>)")
-    )
-    return F.aggregate(
-        later,
-        F.array(start.cast("double")),
-        lambda path, i: F.array_append(path, clamp(F.element_at(path, -1) + flow_at(i), 0.0, cap)),
-    )
+def _capacity() -> Column:
+    return F.coalesce("capacity", F.lit(DEFAULT_CAPACITY))
 
 
 def _trajectory(joined: DataFrame, bikes: Column) -> DataFrame:
@@ -82,38 +73,29 @@ def forecast_station_avg(params: DataFrame, init: DataFrame, seconds: int = HOUR
     joined = init.join(params, ["fold_id", "station_name"], "left").join(F.broadcast(mean_flow(params)), "fold_id")
     flow = F.coalesce("avg_flow", "global_flow")
     steps = grid_size(F.col("test_start"), F.col("test_end"), seconds)
-    return _trajectory(joined, _walk(F.col("bikes"), F.col("capacity"), steps, lambda _: flow))
+    return _trajectory(joined, clamped_walk(F.col("bikes"), _capacity(), steps, flow))
 
 
 def forecast_temporal_flow(params: DataFrame, init: DataFrame, seconds: int = HOUR) -> DataFrame:
     """The flow of the target step's (hour, weekend) context; a key never seen
-    in training moves with the mean of all keys, not with 0."""
+    in training moves with the mean of all keys, not with 0.
+
+    The keys are gathered once, a row per fold and station, and kept: both the
+    walk and the mean read them.
+    """
     context = F.col("hour") * 2 + F.col("is_weekend").cast("int")
-    keyed = params.groupBy("fold_id", "station_name").agg(
-        F.sort_array(F.collect_list(F.struct(context.alias("context"), F.col("avg_flow").alias("flow")))).alias("seen")
-    )
-    joined = init.join(keyed, ["fold_id", "station_name"], "left").join(F.broadcast(mean_flow(params)), "fold_id")
-    fallback = F.col("global_flow")
-
-    def fill(flows: Column, e: Column) -> Column:
-        return F.array_append(F.concat(flows, F.array_repeat(fallback, e["context"] - F.size(flows))), e["flow"])
-
-    # 48 flows by context, gaps filled, so that a step looks its flow up by position.
-    by_context = F.aggregate(
-        F.coalesce("seen", F.expr("CAST(array() AS ARRAY<STRUCT<context: INT, flow: DOUBLE>>)")),
-        F.expr("CAST(array() AS ARRAY<DOUBLE>)"),
-        fill,
-        lambda flows: F.concat(flows, F.array_repeat(fallback, F.lit(_CONTEXTS) - F.size(flows))),
+    keyed = cut(
+        params.groupBy("fold_id", "station_name").agg(
+            F.sort_array(F.collect_list(F.struct(context.alias("context"), F.col("avg_flow").alias("flow")))).alias("seen")
+        )
     )
+    flows = keyed.select("fold_id", F.explode("seen.flow").alias("avg_flow"))
+    joined = init.join(keyed, ["fold_id", "station_name"], "left").join(F.broadcast(mean_flow(flows)), "fold_id")
     steps = grid_size(F.col("test_start"), F.col("test_end"), seconds)
-    start = F.col("test_start")
-
-    def walk(flows: Column) -> Column:
-        flow_at = lambda i: F.get(flows, context_of(add_seconds(start, i * seconds)))
-        return _walk(F.col("bikes"), F.col("capacity"), steps, flow_at)
-
-    # Bound as a lambda variable: the optimiser would repeat the filling per step.
-    return _trajectory(joined, F.get(F.transform(F.array(by_context), walk), 0))
+    walked = clamped_context_walk(
+        F.col("bikes"), _capacity(), steps, F.col("seen"), F.col("global_flow"), F.col("test_start"), seconds
+    )
+    return _trajectory(joined, walked)
 
 
 def forecast_states(long_forecast: DataFrame, empty: float, full: float) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.functions.numeric import clamp
+from dockflow.functions.paths import tracked_total
 from dockflow.functions.time import add_seconds, floor_to
 from dockflow.operators.endpoints import endpoint_events
 from dockflow.operators.folds import fold_days, grid_size, on_fold_days, stations_by_fold
@@ -117,23 +118,6 @@ def initial_inventory(flows: DataFrame, station_stats: DataFrame, folds: DataFra
     )
 
 
-def _tracked(start: Column, steps: Column, nets: Column) -> Column:
-    """The clamped total at every step of the grid, from ordered sparse nets
-    (step, net); steps without trips repeat the last value."""
-
-    def extend(path: Column, e: Column) -> Column:
-        last = F.element_at(path, -1)
-        held = F.concat(path, F.array_repeat(last, e["step"] - F.size(path)))
-        return F.array_append(held, F.greatest(F.lit(0.0), last + e["net"]))
-
-    return F.aggregate(
-        F.coalesce(nets, F.expr("CAST(array() AS ARRAY<STRUCT<step: INT, net: BIGINT>>)")),
-        F.array(start),
-        extend,
-        lambda path: F.concat(path, F.array_repeat(F.element_at(path, -1), steps - F.size(path))),
-    )
-
-
 def track_inventory(flows: DataFrame, init: DataFrame, seconds: int = HOUR, windows: DataFrame | None = None) -> DataFrame:
     """Observed inventory over [test_start, test_end): trips of a bucket show
     one step later, so those of the last bucket never do, and there is no
@@ -158,7 +142,7 @@ def track_inventory(flows: DataFrame, init: DataFrame, seconds: int = HOUR, wind
         "station_name",
         "capacity",
         F.col("test_start").alias("start_ts"),
-        _tracked(F.col("bikes").cast("double"), steps, F.col("nets")).alias("bikes"),
+        tracked_total(F.col("bikes"), steps, F.col("nets")).alias("bikes"),
     )
 
 

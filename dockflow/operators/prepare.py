@@ -85,6 +85,11 @@ def prepare(trips: DataFrame, stations: DataFrame, min_trips: int = MIN_TRIPS) -
 
 
 def prepare_od(od: DataFrame, stations: DataFrame, min_trips: int = MIN_TRIPS) -> tuple[DataFrame, DataFrame]:
-    """``prepare`` on an hourly origin-destination table."""
-    valid = valid_stations_of_od(od, min_trips)
+    """``prepare`` on an hourly origin-destination table.
+
+    The valid stations are kept and counted first: with their size known, the
+    table meets few stations without being shuffled by either end.
+    """
+    valid = valid_stations_of_od(od, min_trips).persist()
+    valid.count()
     return between_known(od, valid, "from_station", "to_station"), station_stats(valid, stations)

@@ -28,11 +28,17 @@ MODELS = ("persistence", "station_avg", "temporal_flow", "baseline", "markov")
 
 class Prepared(NamedTuple):
     """od: hourly trips between valid stations; flows: their hourly station
-    flows; stations: (station_name, capacity)."""
+    flows; stations: (station_name, capacity); hours: the distinct buckets of
+    ``flows``, if they are at hand."""
 
     od: DataFrame
     flows: DataFrame
     stations: DataFrame
+    hours: DataFrame | None = None
+
+    def buckets(self) -> DataFrame:
+        """A table with the buckets of the trips, the smallest there is."""
+        return self.flows if self.hours is None else self.hours
 
 
 class Folded(NamedTuple):
@@ -53,11 +59,15 @@ def model_name(name: str) -> str:
 
 def prepared(trips: DataFrame, stations: DataFrame, min_trips: int = MIN_TRIPS) -> Prepared:
     """One scan of the trips. Everything after it works on the hourly
-    origin-destination table, kept once because folds read it many times."""
+    origin-destination table, kept once because folds read it many times.
+
+    Flows lie by station: what is grouped by fold and station is grouped where it lies.
+    """
     od = od_by_hour(trips).persist()
     kept, stats = prepare_od(od, stations, min_trips)
     stats = stats.persist()
-    return Prepared(kept, flow_from_od(kept).persist(), stats)
+    flows = flow_from_od(kept).repartition("station_name").persist()
+    return Prepared(kept, flows, stats, flows.select("bucket").distinct().persist())
 
 
 def folded(data: Prepared, folds: DataFrame) -> Folded:
@@ -70,11 +80,11 @@ def folded(data: Prepared, folds: DataFrame) -> Folded:
 def folds_of(
     data: Prepared, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, increment_days: int | None = None
 ) -> DataFrame:
-    return resident(rolling_folds(data.flows, train_weeks, test_weeks, increment_days, ts="bucket"))
+    return resident(rolling_folds(data.buckets(), train_weeks, test_weeks, increment_days, ts="bucket"))
 
 
 def facts_of(data: Prepared, folds: DataFrame) -> DataFrame:
-    return resident(fold_facts(folds, data.flows))
+    return resident(fold_facts(folds, data.buckets()))
 
 
 def forecast(
@@ -93,7 +103,7 @@ def forecast(
     if name == "station_avg":
         return flow_models.forecast_station_avg(cut(flow_models.fit_station_avg(data.flows, fold.folds)), fold.init)
     if name == "temporal_flow":
-        return flow_models.forecast_temporal_flow(cut(flow_models.fit_temporal_flow(data.flows, fold.folds)), fold.init)
+        return flow_models.forecast_temporal_flow(flow_models.fit_temporal_flow(data.flows, fold.folds), fold.init)
     fit = markov.fit_markov(data.od, fold.folds, min_transitions)
     if n_simulations == 1:
         return markov.forecast_markov(fit, fold.init, steps)
@@ -119,7 +129,7 @@ def cross_validate(
     ]
     if not paths:
         raise ValueError("no models")
-    pairs = evaluate.align_paths(fold.truth, union_all(*paths), "model")
+    pairs = evaluate.align_paths(fold.truth, union_all(*paths), "model", whole=True)
     metrics = evaluate.fold_metrics(pairs, "model", empty=empty, full=full)
     dates = fold.folds.select("fold_id", F.to_date("train_start").alias("train_start"), F.to_date("test_start").alias("test_start"))
     return metrics.join(F.broadcast(dates), "fold_id")
