@@ -107,16 +107,16 @@ def clamped_walk(start: Column, capacity: Column, steps: Column, flow: Column) -
 def clamped_context_walk(
     start: Column, capacity: Column, steps: Column, seen: Column, other: Column, begin: Column, seconds: int
 ) -> Column:
-    """The same with the flow of each step's (hour, weekend) context, out of
-    ``seen``, an array of (context, flow) in order; ``other`` for contexts that aren't there.
+    """The same with the flow of each step's (hour, weekend) context, out of ``seen``,
+    the flows of all contexts or null; ``other`` where a context has none.
     ``begin`` is the time of the first value."""
 
     @F.arrow_udf("array<double>")
     def walk(start: pa.Array, capacity: pa.Array, steps: pa.Array, seen: pa.Array, other: pa.Array, begin: pa.Array) -> pa.Array:
         flows = np.repeat(_doubles(other, _UNKNOWN)[:, None], CONTEXTS, axis=1)
-        entries = seen.flatten()
-        row = np.repeat(np.arange(len(seen)), _sizes(seen))
-        flows[row, _whole(entries.field("context"), 0)] = _doubles(entries.field("flow"), _UNKNOWN)
+        own, known = seen.flatten(), seen.is_valid().to_numpy(zero_copy_only=False)
+        there = own.is_valid().to_numpy(zero_copy_only=False).reshape(-1, CONTEXTS)
+        flows[known] = np.where(there, _doubles(own, 0.0).reshape(-1, CONTEXTS), flows[known])
         begin = _whole(pc.cast(begin, pa.timestamp("us")), 0)
         return _lists(*_walk_kernel(_doubles(start, _UNKNOWN), _doubles(capacity, np.nan), _whole(steps, 1), flows, True, begin, seconds))
 

@@ -86,15 +86,17 @@ def od_by_hour(trips: DataFrame) -> DataFrame:
     )
 
 
-def flow_from_od(od: DataFrame) -> DataFrame:
-    """The hourly flow table of an origin-destination table."""
+def flow_from_od(od: DataFrame, by_station: bool = False) -> DataFrame:
+    """The hourly flow table of an origin-destination table. ``by_station`` lays all
+    rows of a station together before they are summed, and the result lies so."""
     none = F.lit(0).cast("long")
     ends = F.array(
         F.struct(F.col("from_station").alias("station_name"), F.col("trips").alias("departures"), none.alias("arrivals")),
         F.struct(F.col("to_station").alias("station_name"), none.alias("departures"), F.col("trips").alias("arrivals")),
     )
+    ends = od.select("bucket", F.inline(ends))
     return (
-        od.select("bucket", F.inline(ends))
+        (ends.repartition("station_name") if by_station else ends)
         .groupBy("station_name", "bucket")
         .agg(F.sum("departures").alias("departures"), F.sum("arrivals").alias("arrivals"))
         .withColumn("net", F.col("arrivals") - F.col("departures"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions.numeric import station_state
-from dockflow.functions.paths import clamped_context_walk, clamped_walk
+from dockflow.functions.paths import CONTEXTS, clamped_context_walk, clamped_walk
 from dockflow.functions.time import is_weekend
 from dockflow.operators.folds import fold_days, grid_size, on_fold_days
 from dockflow.params import DEFAULT_CAPACITY, HOUR
@@ -84,12 +84,12 @@ def forecast_temporal_flow(params: DataFrame, init: DataFrame, seconds: int = HO
     walk and the mean read them.
     """
     context = F.col("hour") * 2 + F.col("is_weekend").cast("int")
+    # A key's row has one flow for each of the contexts: aggregates of a fixed size, so nothing is sorted.
+    flow_of = [F.max(F.when(F.col("context") == c, F.col("avg_flow"))) for c in range(CONTEXTS)]
     keyed = cut(
-        params.groupBy("fold_id", "station_name").agg(
-            F.sort_array(F.collect_list(F.struct(context.alias("context"), F.col("avg_flow").alias("flow")))).alias("seen")
-        )
+        params.withColumn("context", context).groupBy("fold_id", "station_name").agg(F.array(*flow_of).alias("seen"))
     )
-    flows = keyed.select("fold_id", F.explode("seen.flow").alias("avg_flow"))
+    flows = keyed.select("fold_id", F.explode("seen").alias("avg_flow")).where(F.col("avg_flow").isNotNull())
     joined = init.join(keyed, ["fold_id", "station_name"], "left").join(F.broadcast(mean_flow(flows)), "fold_id")
     steps = grid_size(F.col("test_start"), F.col("test_end"), seconds)
     walked = clamped_context_walk(

@@ -40,19 +40,23 @@ def valid_stations(trips: DataFrame, min_trips: int = MIN_TRIPS) -> DataFrame:
     return _valid(counts, min_trips)
 
 
-def valid_stations_of_od(od: DataFrame, min_trips: int = MIN_TRIPS) -> DataFrame:
-    """The same from an origin-destination table, without another trip scan."""
+def trips_of_stations(od: DataFrame) -> DataFrame:
+    """(station_name, departures, arrivals) of an origin-destination table."""
     none = F.lit(0).cast("long")
     ends = F.array(
         F.struct(F.col("from_station").alias("station_name"), F.col("trips").alias("departures"), none.alias("arrivals")),
         F.struct(F.col("to_station").alias("station_name"), none.alias("departures"), F.col("trips").alias("arrivals")),
     )
-    counts = (
+    return (
         od.select(F.inline(ends))
         .groupBy("station_name")
         .agg(F.sum("departures").alias("departures"), F.sum("arrivals").alias("arrivals"))
     )
-    return _valid(counts, min_trips)
+
+
+def valid_stations_of_od(od: DataFrame, min_trips: int = MIN_TRIPS) -> DataFrame:
+    """The same from an origin-destination table, without another trip scan."""
+    return _valid(trips_of_stations(od), min_trips)
 
 
 def between_known(trips: DataFrame, known: DataFrame, start: str = "start_station_name", end: str = "end_station_name") -> DataFrame:

@@ -12,7 +12,7 @@ from dockflow.operators import ensemble, evaluate, flow_models, markov
 from dockflow.operators.endpoints import flow_from_od, od_by_hour
 from dockflow.operators.folds import fold_facts, rolling_folds
 from dockflow.operators.inventory import initial_inventory, track_inventory
-from dockflow.operators.prepare import prepare_od
+from dockflow.operators.prepare import prepare_od, trips_of_stations
 from dockflow.params import (
     EMPTY_THRESHOLD,
     FULL_THRESHOLD,
@@ -21,8 +21,11 @@ from dockflow.params import (
     TEST_WEEKS,
     TRAIN_WEEKS,
 )
-from dockflow.session import cut, resident, union_all
+from dockflow.session import cut, resident, setting, union_all
 
+#: Bytes of files that a task takes of the trips: few enough that the hours and pairs it
+#: finds, often as many as its trips, are counted in memory.
+SCAN_BYTES = "16m"
 MODELS = ("persistence", "station_avg", "temporal_flow", "baseline", "markov")
 
 
@@ -63,10 +66,20 @@ def prepared(trips: DataFrame, stations: DataFrame, min_trips: int = MIN_TRIPS)
 
     Flows lie by station: what is grouped by fold and station is grouped where it lies.
     """
-    od = od_by_hour(trips).persist()
+    with setting(trips.sparkSession, "spark.sql.files.maxPartitionBytes", SCAN_BYTES):
+        od = od_by_hour(trips).persist()
+        counts = trips_of_stations(od).persist()
+        # Reads the trips, while the setting holds; later plans find the counts kept.
+        busiest = counts.agg(F.max(F.col("departures") + F.col("arrivals"))).first()[0] or 0
     kept, stats = prepare_od(od, stations, min_trips)
     stats = stats.persist()
-    flows = flow_from_od(kept).repartition("station_name").persist()
+    hours = od.agg(F.timestamp_diff("HOUR", F.min("bucket"), F.max("bucket"))).first()[0] or 0
+    # Summing before the shuffle leaves a station a row per hour and task. Where none has
+    # more trips than there are hours, its trips are no more rows than that.
+    if busiest <= hours:
+        flows = flow_from_od(kept, by_station=True).persist()
+    else:
+        flows = flow_from_od(kept).repartition("station_name").persist()
     return Prepared(kept, flows, stats, flows.select("bucket").distinct().persist())
 
 

@@ -43,20 +43,21 @@ def test_walks_match_loop(spark, seconds):
     rows = []
     for i in range(1500):
         begin = pd.Timestamp("2025-09-04 22:30") + pd.Timedelta(hours=int(rng.randint(0, 60)))
-        seen = [(c, float(rng.normal())) for c in range(48) if rng.rand() < 0.5]
+        seen = [float(rng.normal()) if rng.rand() < 0.5 else None for _ in range(48)]
         start = None if i == 7 else float(rng.rand() * 9)
         rows.append((i, start, float(rng.randint(3, 12)), int(rng.randint(0, 200)), seen if i != 9 else None, 0.25, begin.to_pydatetime()))
-    ddl = "id int, start double, high double, steps int, seen array<struct<context: int, flow: double>>, other double, begin timestamp_ntz"
+    ddl = "id int, start double, high double, steps int, seen array<double>, other double, begin timestamp_ntz"
     df = spark.createDataFrame(rows, ddl)
     c = {n: F.col(n) for n in df.columns}
     walk = clamped_context_walk(c["start"], c["high"], c["steps"], c["seen"], c["other"], c["begin"], seconds)
     got = df.select("id", walk.alias("by_context"), clamped_walk(c["start"], c["high"], c["steps"], c["other"]).alias("even"))
     for r, (_, start, high, steps, seen, other, begin) in zip(got.orderBy("id").collect(), rows):
-        flows, x, y = dict(seen or []), start, start
+        x, y = start, start
         by_context, even = [x], [y]
         for k in range(1, steps):
             ts = pd.Timestamp(begin) + pd.Timedelta(seconds=k * seconds)
-            flow = flows.get(ts.hour * 2 + (ts.dayofweek >= 5), other)
+            own = seen[ts.hour * 2 + (ts.dayofweek >= 5)] if seen else None
+            flow = other if own is None else own
             x = min(high, 0.0 if x is None else max(0.0, x + flow))
             y = min(high, 0.0 if y is None else max(0.0, y + other))
             by_context.append(x)
