@@ -47,8 +47,17 @@ def fit_temporal_flow(flows: DataFrame, folds: DataFrame) -> DataFrame:
 
 def mean_flow(params: DataFrame) -> DataFrame:
     """(fold_id, global_flow): the mean over a fold's fitted keys, which keys
-    never seen in training move with."""
-    return params.groupBy("fold_id").agg(F.avg("avg_flow").alias("global_flow"))
+    never seen in training move with.
+
+    Rows may hold several keys each, with their ``total`` and number ``keys``.
+    Totals are added as decimals: net flows cancel, and what the order of addition
+    would leave instead of 0 moves a station that stands at a threshold across it.
+    """
+    if "keys" not in params.columns:
+        return params.groupBy("fold_id").agg(F.avg("avg_flow").alias("global_flow"))
+    exact = F.col("total").try_cast("decimal(38,18)")
+    total = F.when(F.count(exact) == F.count("total"), F.sum(exact).cast("double")).otherwise(F.sum("total"))
+    return params.groupBy("fold_id").agg((total / F.sum("keys")).alias("global_flow"))
 
 
 def _capacity() -> Column:
@@ -87,10 +96,13 @@ def forecast_temporal_flow(params: DataFrame, init: DataFrame, seconds: int = HO
     # A key's row has one flow for each of the contexts: aggregates of a fixed size, so nothing is sorted.
     flow_of = [F.max(F.when(F.col("context") == c, F.col("avg_flow"))) for c in range(CONTEXTS)]
     keyed = cut(
-        params.withColumn("context", context).groupBy("fold_id", "station_name").agg(F.array(*flow_of).alias("seen"))
+        params.withColumn("context", context)
+        .groupBy("fold_id", "station_name")
+        .agg(F.array(*flow_of).alias("seen"), F.count("avg_flow").alias("keys"))
     )
-    flows = keyed.select("fold_id", F.explode("seen").alias("avg_flow")).where(F.col("avg_flow").isNotNull())
-    joined = init.join(keyed, ["fold_id", "station_name"], "left").join(F.broadcast(mean_flow(flows)), "fold_id")
+    total = F.aggregate("seen", F.lit(0.0), lambda x, flow: x + F.coalesce(flow, F.lit(0.0)))
+    mean = mean_flow(keyed.select("fold_id", "keys", total.alias("total")))
+    joined = init.join(keyed, ["fold_id", "station_name"], "left").join(F.broadcast(mean), "fold_id")
     steps = grid_size(F.col("test_start"), F.col("test_end"), seconds)
     walked = clamped_context_walk(
         F.col("bikes"), _capacity(), steps, F.col("seen"), F.col("global_flow"), F.col("test_start"), seconds

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trip_tables import as_trips, random_trips
 
 from dockflow.functions.paths import clamped_context_walk, clamped_walk, tracked_total
-from dockflow.operators import evaluate
+from dockflow.operators import evaluate, flow_models
 from dockflow.plans import cross_validation as cv
 
 NAMES = ["Station A", "Station B", "Station C"]
@@ -116,3 +116,18 @@ def test_cross_validation_hands_on_paths(spark, monkeypatch):
     counted.collect()
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan.split("InMemoryRelation")[0]
+
+
+def test_mean_of_cancelling_flows_is_zero_in_any_order(spark):
+    """Flows that cancel, as those of all stations do: a rest of the addition would
+    move a station at a threshold across it."""
+    rng = np.random.RandomState(6)
+    flows = rng.randint(-40, 41, (4000, 24)) / 40
+    rows = [(0, f"{s}{i}", h, False, s_x) for i, row in enumerate(flows) for h, x in enumerate(row) for s, s_x in (("S", float(x)), ("T", float(-x)))]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    params = spark.createDataFrame(rows, "fold_id int, station_name string, hour int, is_weekend boolean, avg_flow double")
+    at = [pd.Timestamp(d).to_pydatetime() for d in ("2025-09-06", "2025-09-08")]
+    init = spark.createDataFrame([(0, "U", 10.0, *at, 1e-17)], "fold_id int, station_name string, capacity double, test_start timestamp_ntz, test_end timestamp_ntz, bikes double")
+    # On a weekend no key was seen, so the station moves with the mean, which is 0.
+    path = flow_models.forecast_temporal_flow(params.repartition(7), init).first().bikes
+    assert path == [1e-17] * 48
